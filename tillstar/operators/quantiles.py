@@ -10,6 +10,19 @@ from pyspark.sql import functions as F
 _BUCKETS = 256
 
 
+def _place(values: DataFrame) -> DataFrame:
+    """``_bucket``: how many of the sorted ``_cuts`` lie below ``_v``, by binary search."""
+    placed = values.withColumn("_bucket", F.lit(0))
+    step = _BUCKETS // 2
+    while step:
+        next_cut = F.element_at("_cuts", F.col("_bucket") + step)
+        placed = placed.withColumn(
+            "_bucket", F.when(next_cut < F.col("_v"), F.col("_bucket") + step).otherwise(F.col("_bucket"))
+        )
+        step //= 2
+    return placed
+
+
 def exact_percentiles(df: DataFrame, column: str, probabilities: Mapping[str, float]) -> DataFrame:
     """One row with a double column per entry of ``probabilities``.
 
@@ -26,11 +39,7 @@ def exact_percentiles(df: DataFrame, column: str, probabilities: Mapping[str, fl
     cuts = counts.agg(
         F.percentile_approx("_v", [i / _BUCKETS for i in range(1, _BUCKETS)], 10_000)
     )
-    bucketed = (
-        counts.withColumn("_cuts", cuts.scalar())
-        .withColumn("_bucket", F.size(F.filter("_cuts", lambda c: c < F.col("_v"))))
-        .drop("_cuts")
-    )
+    bucketed = _place(counts.withColumn("_cuts", cuts.scalar())).drop("_cuts")
     # At most _BUCKETS rows: the only window without a partition key.
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (

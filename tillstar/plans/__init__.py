@@ -1,6 +1,11 @@
 """Whole pipelines built from the operators, and the query registry."""
 
-from tillstar.plans import queries_layers  # noqa: F401
+from tillstar.plans import (  # noqa: F401
+    queries_analysis,
+    queries_layers,
+    queries_metrics,
+    queries_models,
+)
 from tillstar.plans.registry import QUERIES, run
 
 __all__ = ["QUERIES", "run"]
