@@ -5,6 +5,7 @@ from tillstar.plans import (  # noqa: F401
     queries_layers,
     queries_metrics,
     queries_models,
+    queries_sources,
 )
 from tillstar.plans.registry import QUERIES, run
 
