@@ -17,6 +17,8 @@ import duckdb
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+# Significant digits of doubles that are compared; 17 is every bit.
+DIGITS = int(os.environ.get("ORACLE_DIGITS", "9"))
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
@@ -39,7 +41,7 @@ def normal(v):
     if isinstance(v, int):
         return ("int", v)
     if isinstance(v, float):
-        return ("float", "nan") if math.isnan(v) else ("float", float(f"{v:.9g}") + 0.0)
+        return ("float", "nan") if math.isnan(v) else ("float", float(f"{v:.{DIGITS}g}") + 0.0)
     if isinstance(v, datetime):
         return ("datetime", v.replace(tzinfo=None))
     if isinstance(v, date):

@@ -28,23 +28,38 @@ def percent(part: Column, whole: Column, digits: int = 2) -> Column:
     return F.round(F.lit(100.0) * ratio(part, whole), digits)
 
 
+# Below this many cents on both sides, twice their product fits a long with room for the rounding term.
+_LONG_CENTS = 2_000_000_000
+
+
+def _cents(c: Column) -> Column:
+    """Whole cents as a long; exact below 2**53 cents."""
+    return F.rint(c.cast("double") * 100).cast("bigint")
+
+
+def _rounded_quotient(product: Column, whole: Column) -> Column:
+    """product / whole to the nearest integer, halves away from zero; NULL where whole is zero."""
+    size = F.abs(whole)
+    quotient = F.call_function("div", F.abs(product) * 2 + size, F.nullif(size * 2, F.lit(0)))
+    return F.when((product < 0) != (whole < 0), -quotient).otherwise(quotient)
+
+
 def proportional_share(amount: Column, part: Column, whole: Column) -> Column:
     """``amount * part / whole`` rounded half up to cents; zero where ``whole`` is zero or NULL.
 
-    The rounding is done on whole cents, so no intermediate quotient can lose a half cent:
-    round(a*p/w) is floor((2*|a*p| + |w|) / (2*|w|)), with the sign of the true quotient.
+    The rounding is done on whole cents, so no intermediate quotient can lose a half cent.
+    Amounts of ordinary size are computed with longs, larger ones with wide decimals.
     """
-    a, p, w = ((c * 100).cast(CENTS) for c in (amount, part, whole))
-    product = a * p
-    size = F.abs(w)
-    rounded = F.call_function(
-        "div",
-        (F.abs(product) * 2 + size).cast("decimal(38,0)"),
-        F.nullif((size * 2).cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)")),
+    a, p, w = _cents(amount), _cents(part), _cents(whole)
+    limit = F.lit(_LONG_CENTS / 100)
+    ordinary = (
+        (F.abs(amount.cast("double")) < limit) & (F.abs(part.cast("double")) < limit)
+        & (F.abs(whole.cast("double")) < F.lit(1e15 / 100))
     )
-    sign = F.signum(product.cast("double")) * F.signum(w.cast("double"))
-    share = (rounded * sign.cast("int")).cast("decimal(18,0)") / F.lit(100).cast("decimal(3,0)")
-    return F.coalesce(share.cast(MONEY), F.lit(0).cast(MONEY))
+    wa, wp, ww = ((c * 100).cast(CENTS) for c in (amount, part, whole))
+    wide = _rounded_quotient((wa * wp).cast("decimal(38,0)"), ww.cast("decimal(38,0)"))
+    share = F.when(ordinary, _rounded_quotient(a * p, w)).otherwise(wide.cast("bigint"))
+    return F.coalesce((share * F.lit("0.01").cast("decimal(3,2)")).cast(MONEY), F.lit(0).cast(MONEY))
 
 
 def sum_of_rounded(c: Column, digits: int = 0) -> Column:

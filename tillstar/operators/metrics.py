@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from tillstar.functions.dates import month_index
 from tillstar.functions.numbers import ratio
-from tillstar.operators.ranking import competition_rank, share_of_max
+from tillstar.operators.ranking import competition_rank
 from tillstar.operators.star import UnrelatedError, edge
+from tillstar.session import reliable_checkpoint
 
 TOTAL = "decimal(28,2)"
 
@@ -242,12 +243,13 @@ def ranked(
     """
     label = _split(by)[1]
     names = [name] if second is None else [name, second]
-    values = metric(star, names, [by], filters)
+    # Ranks and maxima are taken from one aggregation, kept as a table of one row per member.
+    values = reliable_checkpoint(metric(star, names, [by], filters))
     listed = competition_rank(values, name, n)
-    listed = share_of_max(listed, name, n, "share_of_max")
-    if second is not None:
-        top = values.agg(F.max(second)).scalar()
-        listed = listed.withColumn("second_share", ratio(F.col(second), top))
+    for value, share in ((name, "share_of_max"), (second, "second_share")):
+        if value is not None:
+            top = values.agg(F.max(value)).scalar()
+            listed = listed.withColumn(share, ratio(F.col(value), top))
     return listed.select("position", label, *names, "share_of_max", *(["second_share"] if second else []))
 
 
@@ -258,11 +260,12 @@ def natural_list(
     """Members in their own order instead of by value; those without a value are left out."""
     label, position = _split(by)[1], _split(order)[1]
     values = metric(star, names, [by, order], filters).filter(F.col(names[0]).isNotNull())
-    for i, name in enumerate(names):
-        suffix = "share_of_max" if i == 0 else "second_share"
-        values = share_of_max(values, name, 0, suffix)
+    shares = ["share_of_max", "second_share"][: len(names)]
+    # A list in natural order is short: weekdays, months, years.
+    whole = Window.partitionBy()
     return values.select(
-        position, label, *names, *["share_of_max", "second_share"][: len(names)]
+        position, label, *names,
+        *[ratio(F.col(n), F.max(n).over(whole)).alias(s) for n, s in zip(names, shares, strict=True)],
     )
 
 

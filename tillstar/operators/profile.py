@@ -41,67 +41,80 @@ def as_strings(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
 
 
-def _column_statistics(name: str) -> Column:
+def _samples(name: str) -> Column:
+    """Up to five values of a column, from state of constant size: extremes by value, by length
+    and by reversed text."""
     raw = F.col(f"`{name}`")
     v = F.when(raw != "", raw)
-    integer, decimal = v.rlike(INTEGER), v.rlike(DECIMAL)
-    number = integer | decimal
-    body = F.regexp_replace(v, "^-+", "")
-    whole = F.substring_index(body, ".", 1)
-    fraction = F.when(decimal, F.length(F.substring_index(body, ".", -1))).otherwise(F.lit(0))
-    small = F.when(integer & (F.length(body) <= MAX_DIGITS), F.expr(f"try_cast(regexp_replace(`{name}`, '^-+', '') AS bigint)"))
-    leading_zero = (F.length(v) > 1) & v.startswith("0") & (F.substring(v, 2, 1) != ".")
-    # Samples with bounded state: extremes by value, by length and by reversed text.
-    by_length = F.struct(F.length(v).alias("n"), v.alias("v"))
-    has_value = v.isNotNull()
-    samples = F.array(
+    width = 9
+    by_length = F.concat(F.lpad(F.length(v).cast("string"), width, "0"), v)
+    picked = F.array(
         F.min(v), F.max(v),
-        F.min(F.when(has_value, by_length))["v"], F.max(F.when(has_value, by_length))["v"],
+        F.substr(F.min(by_length), F.lit(width + 1)), F.substr(F.max(by_length), F.lit(width + 1)),
         F.reverse(F.min(F.reverse(v))),
     )
     return F.struct(
-        F.lit(name).alias("coluna"),
-        F.count(F.lit(1)).alias("n_total"),
-        F.count_if(v.isNull()).alias("n_vazio"),
-        F.coalesce(F.max(F.length(v)), F.lit(0)).alias("len_max"),
-        F.coalesce(F.bool_or(leading_zero), F.lit(False)).alias("zero_a_esquerda"),
-        F.coalesce(F.bool_and(integer), F.lit(True)).alias("so_inteiro"),
-        F.coalesce(F.bool_and(number), F.lit(True)).alias("so_decimal"),
-        F.coalesce(F.bool_and(v.isin(*BOOLEANS)), F.lit(True)).alias("so_booleano"),
-        F.coalesce(F.bool_and(v.rlike(DATE)), F.lit(True)).alias("so_data"),
-        F.coalesce(F.bool_and(v.rlike(TIMESTAMP)), F.lit(True)).alias("so_timestamp"),
-        F.coalesce(F.max(F.when(number, F.length(whole))), F.lit(0)).alias("digitos_max"),
-        F.coalesce(F.max(fraction), F.lit(0)).alias("escala_max"),
-        F.coalesce(F.max(small), F.lit(0).cast("bigint")).alias("maior_abs"),
-        F.array_sort(F.array_distinct(F.array_compact(samples))).alias("amostras"),
+        F.lit(name).alias("_name"),
+        F.array_sort(F.array_distinct(F.array_compact(picked))).alias("amostras"),
     )
 
 
-# Wide aggregates are split so that generated code stays within what the JVM compiles.
-COLUMNS_PER_PASS = 25
-
-
 def profile_columns(strings: DataFrame, table: str) -> DataFrame:
     """One row of statistics per column of an all-text table.
 
-    All columns of a batch come from one aggregate over one scan; every statistic has constant
-    size per column. The empty string is the only empty value. A column without values keeps
-    all its "only ..." flags.
+    The cells are unpivoted and aggregated by column name with buffers of fixed size, so the
+    work is one hash aggregate however many columns there are. Samples are one more scan.
+    The empty string is the only empty value; a column without values keeps its "only ..." flags.
     """
     positions = {name: i for i, name in enumerate(strings.columns)}
-    batches = [strings.columns[i : i + COLUMNS_PER_PASS] for i in range(0, len(strings.columns), COLUMNS_PER_PASS)]
-    profiles = None
-    for batch in batches:
-        part = strings.agg(F.array(*[_column_statistics(c) for c in batch]).alias("stats"))
-        rows = part.select(F.explode("stats").alias("s")).select("s.*")
-        profiles = rows if profiles is None else profiles.unionByName(rows)
+    cells = strings.unpivot([], strings.columns, "coluna", "_raw").select(
+        "coluna", F.when(F.col("_raw") != "", F.col("_raw")).alias("v")
+    )
+    v = F.col("v")
+    tested = cells.select(
+        "coluna", "v",
+        v.rlike(INTEGER).alias("_int"), v.rlike(DECIMAL).alias("_dec"),
+        F.ltrim(v, F.lit("-")).alias("_body"),
+        v.isin(*BOOLEANS).alias("_bool"), v.rlike(DATE).alias("_date"), v.rlike(TIMESTAMP).alias("_ts"),
+    )
+    body, number = F.col("_body"), F.col("_int") | F.col("_dec")
+    leading_zero = (F.length(v) > 1) & v.startswith("0") & (F.substring(v, 2, 1) != ".")
+    small = F.when(F.col("_int") & (F.length(body) <= MAX_DIGITS), body.try_cast("bigint"))
+    fraction = F.when(F.col("_dec"), F.length(F.substring_index(body, ".", -1)))
+
+    def all_true(c: str | Column) -> Column:
+        return F.coalesce(F.bool_and(c), F.lit(True))
+
+    statistics = tested.groupBy("coluna").agg(
+        F.count(F.lit(1)).alias("n_total"),
+        F.count_if(v.isNull()).alias("n_vazio"),
+        F.coalesce(F.max(F.length(v)), F.lit(0)).alias("len_max"),
+        F.coalesce(F.bool_or(leading_zero), F.lit(False)).alias("zero_a_esquerda"),
+        all_true("_int").alias("so_inteiro"),
+        all_true(number).alias("so_decimal"),
+        all_true("_bool").alias("so_booleano"),
+        all_true("_date").alias("so_data"),
+        all_true("_ts").alias("so_timestamp"),
+        F.coalesce(F.max(F.when(number, F.length(F.substring_index(body, ".", 1)))), F.lit(0)).alias("digitos_max"),
+        F.coalesce(F.max(fraction), F.lit(0)).alias("escala_max"),
+        F.coalesce(F.max(small), F.lit(0).cast("bigint")).alias("maior_abs"),
+    )
+    samples = strings.agg(F.array(*[_samples(c) for c in strings.columns]).alias("s")).select(F.inline("s"))
     position = F.create_map(*[F.lit(x) for item in positions.items() for x in item])
     filled = F.when(
         F.col("n_total") > 0,
         F.lit(100.0) * (F.col("n_total") - F.col("n_vazio")) / F.col("n_total"),
     ).otherwise(F.lit(0.0))
-    return profiles.select(
-        F.lit(table).alias("tabela"), position[F.col("coluna")].alias("posicao"), "*",
+    # One row per column on both sides; a table without rows has samples but no statistics.
+    joined = samples.join(statistics, F.col("_name") == F.col("coluna"), "left")
+    zero = {c: F.coalesce(c, F.lit(0)) for c in ("n_total", "n_vazio", "len_max", "digitos_max", "escala_max", "maior_abs")}
+    flags = {c: F.coalesce(c, F.lit(True)) for c in ("so_inteiro", "so_decimal", "so_booleano", "so_data", "so_timestamp")}
+    return joined.withColumns(
+        zero | flags | {"zero_a_esquerda": F.coalesce("zero_a_esquerda", F.lit(False)), "coluna": F.col("_name")}
+    ).select(
+        F.lit(table).alias("tabela"), position[F.col("coluna")].alias("posicao"), "coluna",
+        "n_total", "n_vazio", "len_max", "zero_a_esquerda", "so_inteiro", "so_decimal", "so_booleano",
+        "so_data", "so_timestamp", "digitos_max", "escala_max", "maior_abs", "amostras",
         filled.alias("pct_preenchido"),
     )
 

@@ -37,7 +37,7 @@ def exact_percentiles(df: DataFrame, column: str, probabilities: Mapping[str, fl
         .agg(F.count(F.lit(1)).alias("_n"))
     )
     cuts = counts.agg(
-        F.percentile_approx("_v", [i / _BUCKETS for i in range(1, _BUCKETS)], 10_000)
+        F.percentile_approx("_v", [i / _BUCKETS for i in range(1, _BUCKETS)], 2_000)
     )
     bucketed = _place(counts.withColumn("_cuts", cuts.scalar())).drop("_cuts")
     # At most _BUCKETS rows: the only window without a partition key.

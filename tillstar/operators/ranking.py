@@ -35,12 +35,6 @@ def competition_rank(df: DataFrame, value: str, n: int, name: str = "position")
     return df.join(F.broadcast(ranks), F.col(value) == F.col("_v")).drop("_v")
 
 
-def share_of_max(df: DataFrame, value: str, n: int, name: str = "share_of_max") -> DataFrame:
-    """``value`` over the largest value of the list, as double. The maximum is one scalar."""
-    top = df.agg(F.max(value)).scalar()
-    return df.withColumn(name, F.try_divide(F.col(value).cast("double"), top.cast("double")))
-
-
 def number_all_rows(df: DataFrame, order: Sequence[Column], name: str = "position") -> DataFrame:
     """Positions 1..n over the whole table, by a distributed sort.
 

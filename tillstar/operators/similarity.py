@@ -203,8 +203,10 @@ def similarity_fact(rows: DataFrame, reference, reference_name: str, names: Data
 
 
 # Rows and columns of one block of the interaction matrix.
-BLOCK_ITEMS = 2048
+BLOCK_ITEMS = 4096
 BLOCK_CUSTOMERS = 4096
+# Blocks in which more than this share of the cell products is non-zero are multiplied densely.
+DENSE_ABOVE = 0.002
 
 
 def common_buyers(pairs: DataFrame, items: int, customers: int,
@@ -213,8 +215,8 @@ def common_buyers(pairs: DataFrame, items: int, customers: int,
 
     A blocked sparse matrix product. Items and customers fall into blocks by hash; a group holds
     one block of customers and two blocks of items, so its size does not depend on how busy a
-    customer or an item is. Inside, one small matrix product counts all its item pairs at once,
-    and only sums per item pair leave the task. A pair of the input is copied once per item
+    customer or an item is. Inside, one small matrix product (sparse, or dense where the block is
+    well filled) counts all its item pairs at once, and only sums per item pair leave the task. A pair of the input is copied once per item
     block, not once per item it shares a customer with.
     """
     item_blocks = max(1, -(-items // (block_items // 2)))
@@ -237,18 +239,24 @@ def common_buyers(pairs: DataFrame, items: int, customers: int,
         right = group["_block"].to_numpy() == group["_b"].iloc[0]
         item = group["item"].to_numpy()
 
-        def matrix(side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            names, columns = np.unique(item[side], return_inverse=True)
-            cells = np.zeros((len(customer), len(names)), dtype=np.float32)
-            cells[rows[side], columns] = 1.0
-            return names, cells
-
-        names_a, a = matrix(left)
-        names_b, b = matrix(right)
-        product = a.T @ b
-        i, j = np.nonzero(product)
+        names_a, columns_a = np.unique(item[left], return_inverse=True)
+        names_b, columns_b = np.unique(item[right], return_inverse=True)
+        rows_a, rows_b = rows[left], rows[right]
+        crossings = np.bincount(rows_a, minlength=len(customer)) @ np.bincount(rows_b, minlength=len(customer))
+        if crossings < DENSE_ABOVE * len(customer) * len(names_a) * len(names_b):
+            met = pd.merge(pd.DataFrame({"c": rows_a, "a": columns_a}), pd.DataFrame({"c": rows_b, "b": columns_b}), on="c")
+            codes, counts = np.unique(met["a"].to_numpy() * len(names_b) + met["b"].to_numpy(), return_counts=True)
+            i, j = np.divmod(codes, len(names_b))
+        else:
+            def matrix(at: np.ndarray, columns: np.ndarray, width: int) -> np.ndarray:
+                cells = np.zeros((len(customer), width), dtype=np.float32)
+                cells[at, columns] = 1.0
+                return cells
+
+            product = matrix(rows_a, columns_a, len(names_a)).T @ matrix(rows_b, columns_b, len(names_b))
+            i, j = np.nonzero(product)
+            counts = product[i, j].astype(np.int64)
         first, second = names_a[i], names_b[j]
-        counts = product[i, j].astype(np.int64)
         if group["_a"].iloc[0] == group["_b"].iloc[0]:
             keep = first <= second
             first, second, counts = first[keep], second[keep], counts[keep]

@@ -62,6 +62,11 @@ def _sql(select: str, extra: str = "") -> str:
     return over_ctes(select, MODEL_CTES + (",\n" + extra if extra else ""))
 
 
+def _round_deviations(df):
+    """Nine decimals, where the last bits depend on the order of summation."""
+    return df.withColumn("desvios_da_media", F.round("desvios_da_media", 9))
+
+
 @query("unified_items", _sql(
     "SELECT * REPLACE (CAST(unit_price AS DOUBLE) AS unit_price, CAST(line_total AS DOUBLE) AS line_total, "
     "CAST(mes AS TIMESTAMP) AS mes) FROM m_items"))
@@ -108,11 +113,11 @@ def forecast_error_rows(c: Context):
 
 
 @query("forecast_error_totals", _sql(
-    "SELECT sum(moving_average) AS soma_prevista, sum(unidades) AS soma_real, avg(abs(unidades - moving_average)) AS mae, "
+    "SELECT sum(moving_average) AS soma_prevista, sum(unidades) AS soma_real, round(avg(abs(unidades - moving_average)), 9) AS mae, "
     "CAST(round_even(sum(moving_average), 0) AS BIGINT) AS soma_arredondada, "
     "CAST(sum(round_even(moving_average, 0)) AS BIGINT) AS soma_dos_arredondados FROM m_modelos WHERE NOT eh_treino"))
 def forecast_error_totals(c: Context):
-    return forecast.error_totals(c.forecasts)
+    return forecast.error_totals(c.forecasts).withColumn("mae", F.round("mae", 9))
 
 
 _LONG = " UNION ALL ".join(
@@ -121,14 +126,14 @@ _LONG = " UNION ALL ".join(
 
 
 @query("forecast_model_comparison", _sql(
-    f"SELECT modelo, soma, mae, row_number() OVER (ORDER BY mae, o) = 1 AS melhor FROM ({_LONG})"))
+    f"SELECT modelo, soma, round(mae, 9) AS mae, row_number() OVER (ORDER BY mae, o) = 1 AS melhor FROM ({_LONG})"))
 def forecast_model_comparison(c: Context):
-    return forecast.model_errors(c.forecasts)
+    return forecast.model_errors(c.forecasts).withColumn("mae", F.round("mae", 9))
 
 
 @query("forecast_by_scenario", _sql(
     "SELECT cenario, max(media) AS media_movel, CAST(round_even(sum(media), 0) AS BIGINT) AS previsao, sum(unidades) AS \"real\", "
-    "avg(abs(unidades - media)) AS mae FROM (SELECT *, avg(unidades) FILTER (eh_treino AND mes > DATE '2000-09-01') OVER (PARTITION BY cenario) AS media "
+    "round(avg(abs(unidades - media)), 9) AS mae FROM (SELECT *, avg(unidades) FILTER (eh_treino AND mes > DATE '2000-09-01') OVER (PARTITION BY cenario) AS media "
     "FROM c_serie) WHERE NOT eh_treino GROUP BY cenario",
     f"c_vendas AS (SELECT CAST(product_id AS VARCHAR) AS cenario, mes, sum(quantidade) AS u FROM m_items WHERE produto = '{TARGET_NAME}' GROUP BY 1, 2 "
     f"UNION ALL SELECT 'all', mes, sum(quantidade) FROM m_items WHERE produto = '{TARGET_NAME}' GROUP BY 2), "
@@ -136,7 +141,8 @@ def forecast_model_comparison(c: Context):
     "FROM (SELECT DISTINCT cenario FROM c_vendas) s CROSS JOIN m_meses m LEFT JOIN c_vendas v ON v.cenario = s.cenario AND v.mes = m.mes)"))
 def forecast_by_scenario(c: Context):
     return forecast.by_scenario(
-        c.unified, c.target_ids, forecast.first_month(c.raw["orders"]), TRAIN_END, TEST_END)
+        c.unified, c.target_ids, forecast.first_month(c.raw["orders"]), TRAIN_END, TEST_END
+    ).withColumn("mae", F.round("mae", 9))
 
 
 @query("training_year_month_pivot", _sql(
@@ -191,11 +197,11 @@ def similar_items_top(c: Context):
 
 
 @query("similarity_distinguishability", _sql(
-    "SELECT CAST(posicao AS INTEGER) AS posicao, product_id, similaridade, desvios_da_media, "
+    "SELECT CAST(posicao AS INTEGER) AS posicao, product_id, similaridade, round(desvios_da_media, 9) AS desvios_da_media, "
     "CASE WHEN posicao < 5 THEN similaridade - proxima END AS gap, CASE WHEN posicao < 5 THEN 100.0 * (similaridade - proxima) / similaridade END AS gap_pct "
     "FROM (SELECT *, lead(similaridade) OVER (ORDER BY posicao) AS proxima FROM m_similaridade) WHERE posicao <= 5"))
 def similarity_distinguishability(c: Context):
-    return similarity.distinguishability(c.similar, 5)
+    return _round_deviations(similarity.distinguishability(c.similar, 5))
 
 
 _SUBSETS = {
@@ -240,9 +246,9 @@ def basket_items_top(c: Context):
     return similarity.basket_ranking(c.purchases, c.reference, c.labels, 5)
 
 
-@query("similarity_fact", _sql("SELECT * FROM m_similaridade"))
+@query("similarity_fact", _sql("SELECT * REPLACE (round(desvios_da_media, 9) AS desvios_da_media) FROM m_similaridade"))
 def similarity_fact(c: Context):
-    return similarity.similarity_fact(c.purchases, c.reference, REFERENCE_NAME, c.labels)
+    return _round_deviations(similarity.similarity_fact(c.purchases, c.reference, REFERENCE_NAME, c.labels))
 
 
 _SUPPLIER_PAIRS = "t_pares AS (SELECT DISTINCT o_custkey AS c, l_suppkey AS s FROM lineitem JOIN orders ON o_orderkey = l_orderkey), t_pop AS (SELECT s, count(*) AS n FROM t_pares GROUP BY 1)"

@@ -112,7 +112,7 @@ def _profile_sql(table: str) -> str:
             f"coalesce(max(CASE WHEN {number} THEN length(split_part(ltrim(v, '-'), '.', 1)) END), 0) AS digitos_max, "
             f"coalesce(max(CASE WHEN regexp_matches(v, '{profile.DECIMAL}') THEN length(split_part(v, '.', 2)) ELSE 0 END), 0) AS escala_max, "
             f"coalesce(max(CASE WHEN regexp_matches(v, '{profile.INTEGER}') AND length(ltrim(v, '-')) <= 18 THEN CAST(ltrim(v, '-') AS BIGINT) END), 0) AS maior_abs, "
-            "list_sort(list_distinct([min(v), max(v), min({'n': length(v), 'v': v}).v, max({'n': length(v), 'v': v}).v, reverse(min(reverse(v)))])) AS amostras "
+            "list_sort(list_distinct([min(v), max(v), substr(min(lpad(CAST(length(v) AS VARCHAR), 9, '0') || v), 10), substr(max(lpad(CAST(length(v) AS VARCHAR), 9, '0') || v), 10), reverse(min(reverse(v)))])) AS amostras "
             f"FROM (SELECT CASE WHEN {col} <> '' THEN {col} END AS v FROM t_{table})")
     return " UNION ALL ".join(parts)
 
@@ -223,11 +223,11 @@ def orphan_values(c: Context):
 
 # -- files -------------------------------------------------------------------------------------
 
-_FILES = ("orders", "products", "categories", "customers", "suppliers")
+_FILES = ("orders", "order_items", "products", "categories", "customers", "suppliers")
 _runs = count()
 
 
-def _written(c: Context) -> dict[str, str]:
+def write_files(c: Context) -> dict[str, str]:
     """The text tables as CSV in the shared folder: the files that the loading queries read.
 
     Every query call writes a folder of its own, so concurrent runs do not meet.
@@ -239,16 +239,22 @@ def _written(c: Context) -> dict[str, str]:
     return {name: f"{root}/{name}" for name in _FILES}
 
 
+def published_root(paths: Mapping[str, str]) -> str:
+    return paths["orders"].removesuffix("/orders") + "-published"
+
+
 def _declared(columns: list[str], **typed: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(n, typed.get(n, T.StringType())) for n in columns])
 
 
-_DECLARED = {
+DECLARED = {
     "orders": _declared(
         # Declared in another order than the files have: columns bind by name.
         list(reversed(_TEXT_COLUMNS["orders"])), id=T.LongType(), customer_id=T.LongType(), total=T.DecimalType(18, 2),
         created_at=T.TimestampNTZType(), due_at=T.DateType(), is_open=T.BooleanType(), salesperson_id=T.IntegerType(),
         movement=T.DecimalType(8, 3), big_number=T.LongType()),
+    "order_items": _declared(_TEXT_COLUMNS["order_items"], order_id=T.LongType(), product_id=T.LongType(),
+                             line=T.IntegerType(), discount=T.DecimalType(4, 2)),
     "products": _declared(_TEXT_COLUMNS["products"], id=T.LongType(), category_id=T.LongType()),
     "categories": _declared(_TEXT_COLUMNS["categories"], id=T.LongType()),
     "customers": _declared(_TEXT_COLUMNS["customers"], id=T.LongType()),
@@ -261,33 +267,30 @@ _DECLARED = {
        "CAST(is_open AS BOOLEAN) AS is_open, priority, order_code, series, notes, CAST(nullif(salesperson_id, '') AS INTEGER) AS salesperson_id, "
        "access_key, CAST(movement AS DOUBLE) AS movement, CAST(big_number AS BIGINT) AS big_number FROM t_orders")
 def csv_load_typed(c: Context):
-    return csv.load_tables(c.spark, _written(c), _DECLARED)["orders"]
+    return csv.load_tables(c.spark, write_files(c), DECLARED)["orders"]
 
 
 @query("load_report", f"WITH {_text_ctes(*_FILES)} " + " UNION ALL ".join(
     f"SELECT '{t}' AS \"table\", {len(_TEXT_COLUMNS[t])} AS n_cols, 'LF' AS terminator, count(*) AS n_file, count(*) AS n_loaded, "
     f"count(*) AS n_stored, true AS ok FROM t_{t}" for t in _FILES))
 def load_report(c: Context):
-    paths = _written(c)
-    loaded = csv.load_tables(c.spark, paths, _DECLARED)
-    root = paths["orders"].removesuffix("/orders") + "-published"
-    stored = publish.publish(c.spark, root, loaded, "first")
-    return csv.reconcile(c.spark, paths, loaded, stored)
+    paths = write_files(c)
+    return publish.bulk_load(c.spark, paths, DECLARED, published_root(paths), "first")
 
 
-@query("load_report_totals", f"WITH {_text_ctes(*_FILES)} SELECT 5::BIGINT AS tables, sum(n)::BIGINT AS rows, "
+@query("load_report_totals", f"WITH {_text_ctes(*_FILES)} SELECT 6::BIGINT AS tables, sum(n)::BIGINT AS rows, "
        "sum(n) FILTER (t IN ('orders', 'customers'))::BIGINT AS subset_rows, true AS ok FROM ("
        + " UNION ALL ".join(f"SELECT '{t}' AS t, count(*) AS n FROM t_{t}" for t in _FILES) + ")")
 def load_report_totals(c: Context):
-    paths = _written(c)
-    report = csv.reconcile(c.spark, paths, csv.load_tables(c.spark, paths, _DECLARED))
+    paths = write_files(c)
+    report = publish.bulk_load(c.spark, paths, DECLARED, published_root(paths), "first")
     return csv.report_totals(report, ["orders", "customers"])
 
 
 @query("csv_inventory", f"WITH {_text_ctes(*_FILES)} " + " UNION ALL ".join(
     f"SELECT '{t}' AS \"table\", {len(_TEXT_COLUMNS[t])} AS n_cols, 'LF' AS terminator, count(*) AS n_file FROM t_{t}" for t in _FILES))
 def csv_inventory(c: Context):
-    return csv.inventory(c.spark, _written(c))
+    return csv.inventory(c.spark, write_files(c))
 
 
 @query("published_layer_view", over_ctes(

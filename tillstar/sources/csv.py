@@ -99,8 +99,11 @@ def inventory(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), rows)
 
 
-def check_files(spark: SparkSession, paths: Mapping[str, str], folder: str | None = None) -> None:
-    """All files present, none with mixed terminators; warn about files nobody listed."""
+def check_files(spark: SparkSession, paths: Mapping[str, str], folder: str | None = None) -> DataFrame:
+    """All files present, none with mixed terminators; warn about files nobody listed.
+
+    Returns the inventory, kept as one local row per table so that files are not counted again.
+    """
     missing = [p for p in paths.values() if not path_exists(spark, p)]
     if missing:
         raise LoadError(f"missing files: {', '.join(missing)}")
@@ -108,9 +111,16 @@ def check_files(spark: SparkSession, paths: Mapping[str, str], folder: str | Non
         extra = sorted(set(csv_names(spark, folder)) - set(paths))
         if extra:
             warnings.warn(f"files outside the table list are ignored: {', '.join(extra)}", stacklevel=2)
-    mixed = [r["table"] for r in inventory(spark, paths).filter("terminator = 'mixed'").select("table").collect()]
+    found = one_row_per_table(inventory(spark, paths))
+    mixed = [r["table"] for r in found.filter("terminator = 'mixed'").collect()]
     if mixed:
         raise LoadError(f"mixed line terminators in {', '.join(mixed)}: the extract is damaged")
+    return found
+
+
+def one_row_per_table(report: DataFrame) -> DataFrame:
+    """A report computed once: its rows, as few as there are tables, become a local relation."""
+    return report.sparkSession.createDataFrame(report.collect(), report.schema)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -133,17 +143,15 @@ def load_tables(spark: SparkSession, paths: Mapping[str, str], declared: Mapping
     return Tables({t: lambda t=t, p=p: read_csv(spark, p, declared[t]) for t, p in paths.items()})
 
 
-def reconcile(spark: SparkSession, paths: Mapping[str, str], loaded: Mapping[str, DataFrame],
-              stored: Mapping[str, DataFrame] | None = None) -> DataFrame:
-    """The load report: lines in the file, rows loaded and rows stored per table, and whether all agree."""
-    def counted(df: DataFrame, table: str, name: str) -> DataFrame:
-        every_column = F.count(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
-        return df.agg(every_column.alias(name)).select(F.lit(table).alias("table"), name)
+def reconcile(found: DataFrame, loaded: Mapping[str, int], stored: Mapping[str, DataFrame]) -> DataFrame:
+    """The load report: lines in the file, rows loaded and rows stored per table, and whether all agree.
 
-    frames = [inventory(spark, paths)]
-    for name, source in (("n_loaded", loaded), ("n_stored", stored or loaded)):
-        frames.append(reduce(lambda a, b: a.unionByName(b), [counted(source[t], t, name) for t in paths]))
-    report = reduce(lambda a, b: a.join(b, "table"), frames)
+    ``found`` is the inventory of the files, ``loaded`` the row counts taken while loading, and
+    ``stored`` the tables as they can be read now: three counts from three different readings.
+    """
+    counts = found.sparkSession.createDataFrame(list(loaded.items()), "table string, n_loaded bigint")
+    rows = [df.agg(F.count(F.lit(1)).alias("n_stored")).select(F.lit(t).alias("table"), "n_stored") for t, df in stored.items()]
+    report = found.join(counts, "table").join(reduce(lambda a, b: a.unionByName(b), rows), "table")
     agree = (F.col("n_file") == F.col("n_loaded")) & (F.col("n_loaded") == F.col("n_stored"))
     return report.withColumn("ok", agree)
 

@@ -8,14 +8,18 @@ repeated run replaces it, so loading is idempotent.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillstar.operators.quality import require
-from tillstar.sources.csv import path_exists
+from tillstar.sources.csv import check_files, load_tables, one_row_per_table, path_exists, reconcile
 from tillstar.sources.tables import Tables
 
+# Tables written at the same time.
+JOBS = 4
+
 
 def publish(
     spark: SparkSession,
@@ -28,8 +32,13 @@ def publish(
 
     ``checks`` gets the written tables and returns rows of (check, expected, actual, ok).
     """
-    for name, df in tables.items():
-        df.write.mode("overwrite").option("compression", "snappy").parquet(f"{root}/run={run}/{name}")
+
+    def write(name: str) -> None:
+        tables[name].write.mode("overwrite").option("compression", "snappy").parquet(f"{root}/run={run}/{name}")
+
+    # Each table is a Spark job of its own; submitting several keeps the executors busy.
+    with ThreadPoolExecutor(max_workers=JOBS) as pool:
+        list(pool.map(write, tables))
     written = read_run(spark, root, run, tuple(tables))
     if checks is not None:
         require(checks(written))
@@ -54,3 +63,32 @@ def create_views(tables: Mapping[str, DataFrame], prefix: str = "") -> None:
     """Temporary views, so that published tables can be queried in SQL."""
     for name in tables:
         tables[name].createOrReplaceTempView(f"{prefix}{name}")
+
+
+def bulk_load(
+    spark: SparkSession, paths: Mapping[str, str], declared: Mapping, root: str, run: str
+) -> DataFrame:
+    """Load files into typed tables, all or none, and return the load report.
+
+    Files and headers are checked first. Rows are counted by the job that writes them, compared
+    with the lines of the files and with the stored tables, and the load becomes current only
+    if all three agree for every table.
+    """
+    found = check_files(spark, paths)
+    observed = {t: Observation(f"load {t}") for t in paths}
+    tables = {
+        t: df.observe(observed[t], F.count(F.lit(1)).alias("rows"))
+        for t, df in load_tables(spark, paths, declared).items()
+    }
+    reports = []
+
+    def verify(written: Tables) -> DataFrame:
+        loaded = {t: o.get["rows"] for t, o in observed.items()}
+        reports.append(one_row_per_table(reconcile(found, loaded, written)))
+        return reports[0].select(
+            F.concat(F.lit("rows of "), "table").alias("check"), F.col("n_file").alias("expected"),
+            F.col("n_stored").alias("actual"), "ok",
+        )
+
+    publish(spark, root, tables, run, verify)
+    return reports[0]
