@@ -8,14 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstar.functions.numbers import MONEY, proportional_share
-from tillstar.operators.skew import (
-    HOT_GROUP_ROWS,
-    PIECE,
-    SIZE,
-    group_totals,
-    hot_groups,
-    meet_totals,
-)
+from tillstar.operators.skew import HOT_GROUP_ROWS, PIECE, hot_keys, join_in_pieces
 
 
 def allocate(
@@ -35,35 +28,35 @@ def allocate(
     up to its amount. Headers whose lines sum to zero give everything to that one line.
     ``headers`` has one row per ``key``; lines without a header are left out.
 
-    The lines are shuffled once: they meet their header and line total by (key, piece), and the
-    window that adds up the rounded shares runs on that same partitioning. Only keys that were
-    split into pieces need their sum from elsewhere, a map-side aggregate over hot rows alone.
+    The lines are shuffled once, by (key, piece), to meet their header; the windows run on that
+    same partitioning and see at most one piece. The totals of keys that were split come from
+    map-side aggregates over the hot rows alone, one row per hot key.
     """
-    ids = [F.col(c) for c in line_id]
-    largest = F.min(F.struct((-F.col(value)).alias("_rank"), *ids)).alias("_largest")
-    totals = (
-        group_totals(lines, [key], F.sum(value).alias("_whole"), largest)
-        .join(headers.select(key, F.col(amount).cast(MONEY).alias("_amount")), key)
+    hot = hot_keys(lines, [key], hot_rows)
+    heads = headers.select(key, F.col(amount).cast(MONEY).alias("_amount"))
+    hot_lines = lines.join(F.broadcast(hot.select(key)), key)
+    hot_heads = heads.join(F.broadcast(hot_lines.groupBy(key).agg(F.sum(value).alias("_hot_whole"))), key)
+    largest = F.min(F.struct((-F.col(value)).alias("_rank"), *line_id)).alias("_hot_largest")
+    hot_share = proportional_share(F.col("_amount"), F.col(value), F.col("_hot_whole"))
+    hot_totals = lines.join(F.broadcast(hot_heads), key).groupBy(key).agg(
+        F.max("_hot_whole").alias("_hot_whole"), F.sum(hot_share).alias("_hot_sum"), largest
     )
-    share = proportional_share(F.col("_amount"), F.col(value), F.col("_whole"))
 
-    placed = meet_totals(lines, totals, [key], hot_rows).withColumn("_share", share)
-    hot = hot_groups(totals, hot_rows).select(key, "_whole", "_amount")
-    hot_sums = (
-        lines.join(F.broadcast(hot), key)
-        .groupBy(key).agg(F.sum(share).alias("_hot_sum"))
+    in_order = Window.partitionBy(key, PIECE).orderBy(F.desc(value), *line_id)
+    piece = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    placed = (
+        join_in_pieces(lines, heads, hot, [key])
+        .withColumn("_piece_whole", F.sum(value).over(piece))
+        .withColumn("_first", F.row_number().over(in_order) == 1)
+        .join(F.broadcast(hot_totals), key, "left")
     )
-    in_piece = F.sum("_share").over(Window.partitionBy(key, PIECE))
-    is_largest = F.lit(True)
+    whole = F.coalesce(F.col("_hot_whole"), F.col("_piece_whole"))
+    is_hot_largest = F.lit(True)
     for c in line_id:
-        is_largest = is_largest & (F.col(c) == F.col(f"_largest.{c}"))
-    left_over = F.col("_amount") - F.coalesce(F.col("_hot_sum"), F.col("_piece_sum"))
-    return (
-        placed.withColumn("_piece_sum", in_piece)
-        .join(F.broadcast(hot_sums), key, "left")
-        .withColumn(
-            name,
-            (F.col("_share") + F.when(is_largest, F.coalesce(left_over, F.lit(0))).otherwise(F.lit(0))).cast(MONEY),
-        )
-        .select(*lines.columns, name)
+        is_hot_largest = is_hot_largest & (F.col(c) == F.col(f"_hot_largest.{c}"))
+    is_largest = F.when(F.col("_hot_largest").isNotNull(), is_hot_largest).otherwise(F.col("_first"))
+    shared = placed.withColumn("_share", proportional_share(F.col("_amount"), F.col(value), whole)).withColumn(
+        "_total_share", F.coalesce(F.col("_hot_sum"), F.sum("_share").over(piece))
     )
+    left_over = F.when(is_largest, F.coalesce(F.col("_amount") - F.col("_total_share"), F.lit(0))).otherwise(F.lit(0))
+    return shared.withColumn(name, (F.col("_share") + left_over).cast(MONEY)).select(*lines.columns, name)

@@ -182,9 +182,13 @@ def basket_ranking(rows: DataFrame, reference, names: DataFrame, n: int) -> Data
     )
 
 
-def similarity_fact(rows: DataFrame, reference, reference_name: str, names: DataFrame) -> DataFrame:
-    """Every other item with similarity, deviations from the mean, position and shared orders."""
-    similar = similar_to(interactions(rows), reference)
+def similarity_fact(
+    similar: DataFrame, rows: DataFrame, reference, reference_name: str, names: DataFrame
+) -> DataFrame:
+    """Every other item with similarity, deviations from the mean, position and shared orders.
+
+    ``similar`` comes from ``similar_to``; ``rows`` are the lines it was made from.
+    """
     stats = spread(similar).select(F.struct("media", "desvio")).scalar()
     scored = (
         similar.select("item", "similaridade").withColumn("_s", stats)
@@ -276,7 +280,8 @@ def common_buyers(pairs: DataFrame, items: int, customers: int,
 def cosine_matrix(pairs: DataFrame, block_items: int = BLOCK_ITEMS, block_customers: int = BLOCK_CUSTOMERS) -> DataFrame:
     """Cosine of every two items sharing a buyer (``item_a`` <= ``item_b``); all others are 0.
 
-    The two counts that size the blocks are the only values that reach the driver.
+    The two counts that size the blocks are the only values that reach the driver. ``pairs`` is
+    read four times, so it should be a stored table rather than a long plan.
     """
     sizes = pairs.agg(
         F.approx_count_distinct("item").alias("items"), F.approx_count_distinct("customer_id").alias("customers")

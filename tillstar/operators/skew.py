@@ -1,8 +1,8 @@
-"""Group totals on every row without gathering a group in one task.
+"""Joining many rows to one row per key without gathering a key in one task.
 
-A window over a key puts all rows of that key in one task. When one key may hold a third of
-the table, that task never ends. Here the totals come from a map-side combined aggregate,
-and rows of a hot key meet their totals in several pieces.
+A window or a join over a key puts all rows of that key in one task. When one key may hold a
+third of the table, that task never ends. Here a hot key is spread over pieces, each of which
+meets its own copy of the key's one row; all other keys stay whole.
 """
 
 from __future__ import annotations
@@ -14,71 +14,59 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A key with more rows than this is spread over ceil(rows / HOT_GROUP_ROWS) pieces. The set of
-# such keys has at most (table rows / HOT_GROUP_ROWS) entries, which is what bounds the
-# broadcast below: a trillion rows give at most half a million keys.
+# such keys has at most (table rows / HOT_GROUP_ROWS) entries, which is what bounds every
+# broadcast of it: a trillion rows give at most half a million keys.
 HOT_GROUP_ROWS = 2_000_000
 
-SIZE = "_group_rows"
 PIECE = "_piece"
 _PIECES = "_pieces"
 
 
-def group_totals(rows: DataFrame, keys: Sequence[str], *aggregates: Column) -> DataFrame:
-    """One row per key with its row count and ``aggregates``."""
-    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(SIZE), *aggregates)
+def hot_keys(rows: DataFrame, keys: Sequence[str], hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+    """The few keys with more than ``hot_rows`` rows, and into how many pieces each is split.
 
-
-def hot_groups(totals: DataFrame, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
-    """The few keys with more than ``hot_rows`` rows."""
-    return totals.filter(F.col(SIZE) > hot_rows)
+    Only the key columns are read, and counts are combined before they are shuffled.
+    """
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
+    return sizes.select(*keys, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias(_PIECES))
 
 
-def meet_totals(
-    rows: DataFrame,
-    totals: DataFrame,
-    keys: Sequence[str],
-    hot_rows: int = HOT_GROUP_ROWS,
-    null_safe: bool = False,
+def join_in_pieces(
+    rows: DataFrame, groups: DataFrame, hot: DataFrame, keys: Sequence[str], null_safe: bool = False
 ) -> DataFrame:
-    """Inner join of ``rows`` to ``totals`` (one row per key), keeping ``SIZE`` and ``PIECE``.
+    """Inner join of ``rows`` to ``groups`` (one row per key), partitioned by ``keys`` and ``PIECE``.
 
-    A cold key is piece 0, whole. The rows of a hot key are spread over pieces of about
-    ``hot_rows`` rows, each meeting its own copy of the totals. The piece of a row depends only
-    on its content and its input partition, so a retried task assigns it again alike, and
-    identical copies of a row still spread. ``null_safe`` lets NULL keys form a group.
+    The piece of a row depends only on its content and its input partition, so a retried task
+    assigns it again alike, and identical copies of a row still spread. ``null_safe`` lets NULL
+    keys match each other. ``PIECE`` stays in the result: a window over (keys, PIECE) needs no
+    further shuffle and sees at most a piece.
     """
 
-    def match(left: DataFrame, right: DataFrame) -> Column:
-        pairs = [(left[k], right[f"_g_{k}"]) for k in keys]
-        return reduce(
-            lambda a, b: a & b, [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs]
-        )
+    def match(left: DataFrame, right: DataFrame, prefix: str) -> Column:
+        pairs = [(left[k], right[f"{prefix}{k}"]) for k in keys]
+        return reduce(lambda a, b: a & b, [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs])
 
-    renamed = totals.withColumnsRenamed({k: f"_g_{k}" for k in keys})
-    pieces = F.ceil(F.col(SIZE) / F.lit(hot_rows)).cast("int")
-    hot = hot_groups(renamed, hot_rows).select(
-        *[f"_g_{k}" for k in keys], pieces.alias(_PIECES)
-    )
+    split = F.broadcast(hot.withColumnsRenamed({k: f"_h_{k}" for k in keys}))
     content = F.pmod(F.xxhash64(*[rows[c] for c in rows.columns]), F.col(_PIECES))
     origin = F.pmod(F.spark_partition_id(), F.col(_PIECES))
-    spread = rows.join(F.broadcast(hot), match(rows, hot), "left").select(
-        *[rows[c] for c in rows.columns],
-        F.when(F.col(_PIECES).isNotNull(), F.pmod(content + origin, F.col(_PIECES)))
-        .otherwise(F.lit(0)).cast("int").alias(PIECE),
+    piece = F.when(F.col(_PIECES).isNotNull(), F.pmod(content + origin, F.col(_PIECES))).otherwise(F.lit(0))
+    spread = rows.join(split, match(rows, split, "_h_"), "left").select(
+        *[rows[c] for c in rows.columns], piece.cast("int").alias(PIECE)
     )
-    last_piece = F.when(F.col(SIZE) > hot_rows, pieces - 1).otherwise(F.lit(0))
-    copies = renamed.withColumn("_g_piece", F.explode(F.sequence(F.lit(0), last_piece)))
-    joined = spread.join(copies, match(spread, copies) & (spread[PIECE] == copies["_g_piece"]))
+    copies = groups.join(split, match(groups, split, "_h_"), "left").select(
+        *[groups[c].alias(f"_g_{c}" if c in keys else c) for c in groups.columns],
+        F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_PIECES) - 1, F.lit(0)))).alias("_g_piece"),
+    )
+    joined = spread.join(copies, match(spread, copies, "_g_") & (spread[PIECE] == copies["_g_piece"]))
     return joined.drop("_g_piece", *[f"_g_{k}" for k in keys])
 
 
 def with_group_totals(
-    rows: DataFrame,
-    keys: Sequence[str],
-    *aggregates: Column,
-    hot_rows: int = HOT_GROUP_ROWS,
-    null_safe: bool = True,
+    rows: DataFrame, keys: Sequence[str], *aggregates: Column, hot_rows: int = HOT_GROUP_ROWS
 ) -> DataFrame:
-    """Every row with the ``aggregates`` of its key: an unordered window, safe for hot keys."""
-    totals = group_totals(rows, keys, *aggregates)
-    return meet_totals(rows, totals, keys, hot_rows, null_safe).drop(SIZE, PIECE)
+    """Every row with the ``aggregates`` of its key: an unordered window, safe for hot keys.
+
+    NULL keys form a group, as they do in a window.
+    """
+    totals = rows.groupBy(*keys).agg(*aggregates)
+    return join_in_pieces(rows, totals, hot_keys(rows, keys, hot_rows), keys, null_safe=True).drop(PIECE)

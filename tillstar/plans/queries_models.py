@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tillstar.operators import forecast, ranking, similarity
 from tillstar.plans.oracle_base import over_ctes
 from tillstar.plans.registry import REFERENCE_NAME, TARGET_NAME, TEST_END, TRAIN_END, Context, query
+from tillstar.session import reliable_checkpoint
 
 # The two model facts in SQL: a dense monthly series with three forecasts, and similarities.
 MODEL_CTES = f"""
@@ -248,7 +249,7 @@ def basket_items_top(c: Context):
 
 @query("similarity_fact", _sql("SELECT * REPLACE (round(desvios_da_media, 9) AS desvios_da_media) FROM m_similaridade"))
 def similarity_fact(c: Context):
-    return _round_deviations(similarity.similarity_fact(c.purchases, c.reference, REFERENCE_NAME, c.labels))
+    return _round_deviations(similarity.similarity_fact(c.similar, c.purchases, c.reference, REFERENCE_NAME, c.labels))
 
 
 _SUPPLIER_PAIRS = "t_pares AS (SELECT DISTINCT o_custkey AS c, l_suppkey AS s FROM lineitem JOIN orders ON o_orderkey = l_orderkey), t_pop AS (SELECT s, count(*) AS n FROM t_pares GROUP BY 1)"
@@ -260,7 +261,7 @@ _SUPPLIER_PAIRS = "t_pares AS (SELECT DISTINCT o_custkey AS c, l_suppkey AS s FR
     "JOIN t_pop x ON x.s = a.s JOIN t_pop y ON y.s = b.s GROUP BY 1, 2"))
 def cosine_matrix_suppliers(c: Context):
     bought = c.driver["lineitem"].join(c.driver["orders"], F.col("l_orderkey") == F.col("o_orderkey"))
-    return similarity.cosine_matrix(similarity.interactions(bought, "o_custkey", "l_suppkey"))
+    return similarity.cosine_matrix(reliable_checkpoint(similarity.interactions(bought, "o_custkey", "l_suppkey")))
 
 
 @query("cosine_matrix_checks", _sql(

@@ -14,6 +14,7 @@ from tillstar.operators import customers, forecast, similarity
 from tillstar.plans import retail
 from tillstar.plans.driver_tables import driver_tables, raw_tables
 from tillstar.plans.oracle_base import AS_OF, MIN_CATEGORIES
+from tillstar.session import reliable_checkpoint
 from tillstar.sources.export import bi_types
 from tillstar.sources.tables import Tables
 
@@ -97,11 +98,13 @@ class Context:
 
     @cached_property
     def pairs(self) -> DataFrame:
-        return similarity.interactions(self.purchases)
+        """Who bought what, kept as a table: every similarity reads it several times."""
+        return reliable_checkpoint(similarity.interactions(self.purchases))
 
     @cached_property
     def similar(self) -> DataFrame:
-        return similarity.similar_to(self.pairs, self.reference)
+        """One row per item, read for its statistics and again for its ranking."""
+        return reliable_checkpoint(similarity.similar_to(self.pairs, self.reference))
 
     @cached_property
     def labels(self) -> DataFrame:
@@ -114,7 +117,7 @@ class Context:
         return Tables(gold | {
             "fct_previsao": lambda: forecast.forecast_fact(self.forecasts),
             "fct_similaridade_produto": lambda: similarity.similarity_fact(
-                self.purchases, self.reference, REFERENCE_NAME, self.labels),
+                self.similar, self.purchases, self.reference, REFERENCE_NAME, self.labels),
         })
 
 
