@@ -62,11 +62,6 @@ def proportional_share(amount: Column, part: Column, whole: Column) -> Column:
     return F.coalesce((share * F.lit("0.01").cast("decimal(3,2)")).cast(MONEY), F.lit(0).cast(MONEY))
 
 
-def sum_of_rounded(c: Column, digits: int = 0) -> Column:
-    """Half-even rounding of a total, as opposed to totalling rounded parts."""
-    return F.bround(c, digits)
-
-
 def grouped_number(c: Column, digits: int = 0) -> Column:
     """Digits grouped by ``.`` with ``,`` before the decimals."""
     return F.translate(F.format_number(c, digits), ",.", ".,")
