@@ -20,6 +20,12 @@ def test_junk_tokens_become_null_and_text_is_trimmed(spark):
     assert got == [None] * 7 + ["ok", "two words", "\tx", None, "nab"]
 
 
+def test_junk_function_in_sql(spark):
+    text.register_sql_functions(spark)
+    row = spark.sql("SELECT null_if_junk(' x '), null_if_junk('TBD'), null_if_junk(NULL)").first()
+    assert tuple(row) == ("x", None, None)
+
+
 def test_labels_carry_the_id_where_a_name_is_junk_or_shared(spark):
     df = spark.createDataFrame([(1, "rope", 2), (2, "?", 1), (3, "sail", 1), (4, None, 1)], "id int, name string, n long")
     assert [r[0] for r in df.select(text.display_label("id", "name", "n")).collect()] == [

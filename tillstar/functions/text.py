@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # Tokens that count as "no text", compared trimmed and in lower case.
@@ -30,6 +30,15 @@ def null_if_junk(c: Column | str) -> Column:
     return F.when((trimmed != "") & ~F.lower(trimmed).isin(*JUNK_TOKENS), trimmed)
 
 
+def register_sql_functions(spark: SparkSession) -> None:
+    """``null_if_junk`` for SQL users, as a SQL function that the optimizer sees through."""
+    tokens = ", ".join(f"'{t}'" for t in JUNK_TOKENS)
+    spark.sql(
+        "CREATE OR REPLACE TEMPORARY FUNCTION null_if_junk(v STRING) RETURNS STRING RETURN "
+        f"CASE WHEN trim(v) <> '' AND lower(trim(v)) NOT IN ({tokens}) THEN trim(v) END"
+    )
+
+
 def is_junk(c: Column | str) -> Column:
     return null_if_junk(c).isNull()
 

@@ -11,8 +11,9 @@ from collections.abc import Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from tillstar.operators import cleaning, star
+from tillstar.operators import cleaning, customers, star
 from tillstar.operators.skew import HOT_GROUP_ROWS
 from tillstar.sources.tables import Tables
 
@@ -42,17 +43,30 @@ def silver(raw: Mapping[str, DataFrame], as_of: datetime, hot_rows: int = HOT_GR
     return tables
 
 
+def lines_with_product(raw: Mapping[str, DataFrame]) -> DataFrame:
+    """The product of each order line, by its variant."""
+    lines = raw["order_items"].select(F.col("id").alias("order_item_id"), "order_id", "product_variant_id")
+    return customers.line_products(lines, raw["product_variants"], "product_variant_id", "id")
+
+
 def gold(
     silver: Mapping[str, DataFrame], brands: DataFrame, as_of: datetime,
     min_categories: int = star.MIN_CATEGORIES, elite_size: int = star.ELITE_SIZE,
+    line_products: DataFrame | None = None,
 ) -> Tables:
-    """The star schema: six dimensions, six facts and the daily store view."""
+    """The star schema: six dimensions, six facts and the daily store view.
+
+    ``line_products`` (order_item_id, order_id, product_id) serves the tables that need only the
+    product of a line. It is the cleaned lines themselves unless given; where the layers are
+    chained without publishing them, ``lines_with_product`` saves allocating discounts for it.
+    """
     s = silver
+    hop = (lambda: s["itens_pedido"]) if line_products is None else (lambda: line_products)
     tables: Tables
     tables = Tables({
         "dim_data": lambda: star.dim_date(s["pedidos"], s["devolucoes"], as_of.date()),
         "dim_cliente": lambda: star.dim_customer(
-            s["clientes"], s["pedidos"], s["itens_pedido"], s["produtos"], min_categories, elite_size),
+            s["clientes"], s["pedidos"], hop(), s["produtos"], min_categories, elite_size),
         "dim_produto": lambda: star.dim_product(s["produtos"], s["categorias"], brands),
         "dim_local": lambda: star.dim_location(s["locais"]),
         "dim_canal": lambda: star.dim_channel(s["pedidos"]),
@@ -61,7 +75,7 @@ def gold(
         "fct_item_pedido": lambda: star.fct_order_item(s["itens_pedido"], s["pedidos"]),
         "fct_pagamento": lambda: star.fct_payment(s["pagamentos"]),
         "fct_venda_diaria_pos": lambda: star.fct_daily_store_sales(s["pedidos"]),
-        "fct_devolucao": lambda: star.fct_return(s["devolucoes"], s["itens_pedido"]),
+        "fct_devolucao": lambda: star.fct_return(s["devolucoes"], hop()),
         "fct_estoque_atual": lambda: star.fct_stock(s["estoque"], s["variantes"]),
         "vw_venda_diaria_pos": lambda: star.daily_store_view(
             tables["fct_venda_diaria_pos"], tables["dim_data"]),
