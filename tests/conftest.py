@@ -10,7 +10,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 def spark(tmp_path_factory):
     from tillstar.session import build_session
 
-    session = build_session("tests", master="local[4]", **{
+    session = build_session("tests", master="local[8]", **{
         "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g",
         "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints")),
