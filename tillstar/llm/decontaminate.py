@@ -58,7 +58,7 @@ def _fingerprints(windows: DataFrame, lengths: list[int]) -> DataFrame:
     parts = []
     for length in lengths:
         k = min(GRAM, length)
-        grams = F.transform(_positions(F.col("window"), k), lambda i, k=k: _gram(F.col("window"), i, k))
+        grams = F.transform(_positions(F.col("window"), k), lambda i: _gram(F.col("window"), i, k))
         parts.append(windows.filter(F.col("length") == length).select("length", F.array_min(grams).alias("gram")))
     out = parts[0]
     for p in parts[1:]:
@@ -75,7 +75,7 @@ def _filters(prints: DataFrame, rows: int) -> tuple[int, dict[int, Column]]:
     """A bitmap of the fingerprints for each length, as constants; more fingerprints only fill it up."""
     bits = min(MAX_FILTER_BITS, max(MIN_FILTER_BITS, (32 * rows).bit_length()))
     word, bit = _filter_bit(F.col("gram"), bits)
-    masks = prints.groupBy("length", word.alias("word")).agg(F.bit_or(F.shiftleft(F.lit(1).cast("long"), bit)).alias("mask")).collect()
+    masks = prints.groupBy("length", word.alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("mask")).collect()
     by_length: dict[int, dict[int, int]] = {}
     for m in masks:
         by_length.setdefault(m["length"], {})[m["word"]] = m["mask"]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import decontaminate, exact, shard
+from tillstar.llm import chat, decontaminate, exact, shard
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -78,3 +78,16 @@ SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, sha256(d
 FROM d JOIN g USING (body)""")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+OPENING = "</s>[INST] ok [/INST]"
+
+
+@query("op7_chat_windows")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-1, 0, "user", OPENING), (-1, 1, "assistant", OPENING)], "conv_id long, turn long, role string, text string")
+    read = chat.read_back(chat.chat_windows(turns.unionByName(extra)))
+    return read.select(
+        "conv_id", "n_turns", F.sha2("turns", 256).alias("turns_sha256"), F.char_length("loss_text").cast("long").alias("loss_chars"),
+        F.sha2("loss_text", 256).alias("loss_sha256"), "formatted_chars")
