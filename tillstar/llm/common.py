@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,3 +50,8 @@ def alphanumeric_words(text: Column) -> Column:
     """Runs of ASCII digits, ASCII letters (lower-cased) and characters beyond ASCII; null has none."""
     parts = F.split(lower_ascii(F.coalesce(text, F.lit(""))), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     return F.array_remove(parts, "")
+
+
+def ship(module: str) -> None:
+    """Send the functions of a module to the Python workers by value, so that they need no copy of the library."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import chat, decontaminate, exact, shard
+from tillstar.llm import chat, decontaminate, exact, pii, secret_scan, shard
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -91,3 +91,20 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select(
         "conv_id", "n_turns", F.sha2("turns", 256).alias("turns_sha256"), F.char_length("loss_text").cast("long").alias("loss_chars"),
         F.sha2("loss_text", 256).alias("loss_sha256"), "formatted_chars")
+
+
+def _span_digest(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
+    base = F.filter("spans", lambda s: s["base"])
+    return found.select(
+        "doc_id", *[pii.count_of(F.col("spans"), k).alias(f"n_{k}") for k in kinds],
+        F.sha2(pii.span_list(base), 256).alias("base_sha256"), pii.span_list(F.col("spans")).alias("spans"))
+
+
+@query("op5_personal_data")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _span_digest(pii.personal_data(table(spark, sf_dir, "documents")), pii.BASE_KINDS)
+
+
+@query("op6_secrets")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _span_digest(secret_scan.secrets(table(spark, sf_dir, "documents")), secret_scan.BASE_KINDS)
