@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import chat, decontaminate, exact, pii, secret_scan, shard
+from tillstar.llm import chat, decontaminate, exact, pack, pii, secret_scan, shard
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -108,3 +108,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_secrets")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _span_digest(secret_scan.secrets(table(spark, sf_dir, "documents")), secret_scan.BASE_KINDS)
+
+
+@query("op4_min_slack_packing")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack.packed(table(spark, sf_dir, "documents")).drop("ids")
