@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import chat, decontaminate, exact, pack, pii, secret_scan, shard
+from tillstar.llm import chat, decontaminate, exact, pack, pii, secret_scan, shard, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -113,3 +113,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_min_slack_packing")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack.packed(table(spark, sf_dir, "documents")).drop("ids")
+
+
+@query("op9_simhash_pigeonring")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
