@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import chat, decontaminate, exact, pack, pii, secret_scan, shard, simhash
+from tillstar.llm import chat, decontaminate, exact, lines, pack, pii, secret_scan, shard, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -118,3 +118,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_simhash_pigeonring")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op10_line_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lines.dedup_lines(table(spark, sf_dir, "documents"))
+    return kept.select(
+        "doc.doc_id", F.col("n_lines").cast("long"), F.size("removed").cast("long").alias("n_removed"),
+        F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
