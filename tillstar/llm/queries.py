@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import chat, decontaminate, exact, lines, pack, pii, secret_scan, shard, simhash
+from tillstar.llm import chat, decontaminate, exact, lines, pack, pii, quality, secret_scan, shard, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -126,3 +126,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select(
         "doc.doc_id", F.col("n_lines").cast("long"), F.size("removed").cast("long").alias("n_removed"),
         F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
+@query("op8_crf_quality")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scores.select(
+        "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= quality.PREDICT).cast("int").alias("predicted"))
