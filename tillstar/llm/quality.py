@@ -148,7 +148,7 @@ def fit(texts: list[str], labels: list[int], rounds: int = ROUNDS, penalty: floa
     """The field that maximizes the penalized likelihood of the labels, both labels weighing the same."""
     field = Field(np.zeros(FEATURES), np.zeros((2, 2)))
     if not texts or len(set(labels)) < 2:
-        field.shift = 0.0 if not labels else (4.0 if labels[0] else -4.0)
+        field.shift = -4.0 if labels and not labels[0] else 4.0
         return field
     x, weight, per_line = features(texts)
     y = np.repeat(np.array(labels, dtype=float), per_line)
@@ -232,7 +232,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", t
     """One row per document: ``doc_id, score`` (0 to 1, higher is better).
 
     The score depends on the text alone. A null text counts as empty; an empty text is one empty line. Without
-    labels of both kinds every text gets the same score. Repeated rows are scored each, an empty table gives an
+    labels of both kinds every text gets the same score, a low one only if all labels are bad. Repeated rows are scored each, an empty table gives an
     empty result. No shuffle of documents; memory is bounded by a batch and the longest text. Other columns
     are not looked at.
     """
