@@ -86,7 +86,9 @@ OPENING = "</s>[INST] ok [/INST]"
 @query("op7_chat_windows")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    extra = spark.createDataFrame([(-1, 0, "user", OPENING), (-1, 1, "assistant", OPENING)], "conv_id long, turn long, role string, text string")
+    extra = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(OPENING).alias("text"))
     read = chat.read_back(chat.chat_windows(turns.unionByName(extra)))
     return read.select(
         "conv_id", "n_turns", F.sha2("turns", 256).alias("turns_sha256"), F.char_length("loss_text").cast("long").alias("loss_chars"),

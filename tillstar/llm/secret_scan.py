@@ -31,7 +31,9 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 # About so many documents, chosen by a hash of their id, give the labelled strings.
 TRAIN_DOCUMENTS = 4000
 # A string counts as random beyond this log-likelihood ratio, per character and in all.
-MIN_RATIO, MIN_TOTAL = 0.5, 15.0
+MIN_RATIO, MIN_TOTAL = 2.0, 40.0
+# Weight of single characters' frequencies against those of pairs.
+BACK_OFF = 50.0
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -84,10 +86,18 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", documents
     table = {(r["random"], r["pair"]): r["n"] for r in counts.groupBy("random", "pair").agg(F.sum("n").alias("n")).collect()
              if r["pair"][-1] in ALPHABET}
     firsts: dict[tuple[bool, str], int] = {}
+    seconds: dict[tuple[bool, str], int] = {}
+    total = {True: 0, False: 0}
     for (label, pair), n in table.items():
         firsts[label, pair[0]] = firsts.get((label, pair[0]), 0) + n
-    size = len(ALPHABET)
-    log_p = lambda label, a, b: math.log((table.get((label, a + b), 0) + 0.5) / (firsts.get((label, a), 0) + 0.5 * size))
+        seconds[label, pair[1]] = seconds.get((label, pair[1]), 0) + n
+        total[label] += n
+
+    def log_p(label: bool, a: str, b: str) -> float:
+        # After a rare character the model falls back on how frequent b is at all.
+        single = (seconds.get((label, b), 0) + 0.5) / (total[label] + 0.5 * len(ALPHABET))
+        return math.log((table.get((label, a + b), 0) + BACK_OFF * single) / (firsts.get((label, a), 0) + BACK_OFF))
+
     return {a + b: log_p(True, a, b) - log_p(False, a, b) for a in "^" + ALPHABET for b in ALPHABET}
 
 
