@@ -48,7 +48,7 @@ def labelled_strings(text: str) -> tuple[list[str], list[str]]:
     """Random strings and ordinary identifiers of one document.
 
     Random are the base matches' values, and two digests of the text, written as base 64 and in hex.
-    Ordinary are all other strings.
+    Ordinary are all other strings shorter than those that are judged, since a longer one may be a secret nobody labelled.
     """
     spans = base_spans(text)
     digest = hashlib.sha256(text.encode()).digest()
@@ -57,7 +57,7 @@ def labelled_strings(text: str) -> tuple[list[str], list[str]]:
     covered = bytearray(len(text)) if spans else None
     for _, s, e in spans:
         covered[s:e] = b"\1" * (e - s)
-    ordinary = [m.group() for m in _IDENTIFIER.finditer(text) if covered is None or not any(covered[m.start():m.end()])]
+    ordinary = [m.group() for m in _IDENTIFIER.finditer(text) if m.end() - m.start() < MIN_RANDOM and (covered is None or not any(covered[m.start():m.end()]))]
     return random, ordinary
 
 
