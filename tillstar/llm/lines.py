@@ -63,32 +63,40 @@ def within_edits(a: Column, b: Column) -> Column:
     """
     band = 2 * EDITS + 1
     full = (1 << band) - 1
-    x, y = F.split(a, ""), F.split(b, "")
     shift = lambda f, v: F.call_function(f, v, F.lit(1))
 
-    def step(rows: Column, j: Column) -> Column:
+    def step(at_j: Column, j: Column) -> Column:
         match = F.lit(0)
         for o in range(band):
             at = j + (o - EDITS)
-            same = F.when(at >= 0, F.get(x, at) == F.get(y, j))
+            same = F.when(at >= 0, F.get(at_j["x"], at) == F.get(at_j["y"], j))
             match = match.bitwiseOR(F.when(same, F.lit(1 << o)).otherwise(F.lit(0)))
         new = []
         for e in range(EDITS + 1):
-            row = rows[f"r{e}"].bitwiseAND(match)
+            row = at_j[f"r{e}"].bitwiseAND(match)
             if e:
-                old = rows[f"r{e - 1}"]
+                old = at_j[f"r{e - 1}"]
                 row = row.bitwiseOR(old).bitwiseOR(shift("shiftright", old)).bitwiseOR(shift("shiftleft", new[-1])).bitwiseAND(F.lit(full))
             new.append(row)
-        return F.struct(*[r.alias(f"r{e}") for e, r in enumerate(new)])
+        return F.struct(at_j["x"].alias("x"), at_j["y"].alias("y"), *[r.alias(f"r{e}") for e, r in enumerate(new)])
 
-    # With e errors the first e characters of a may be skipped before b begins.
-    start = F.struct(*[F.lit(sum(1 << (EDITS + k) for k in range(e + 1))).alias(f"r{e}") for e in range(EDITS + 1)])
+    # The characters travel in the state, so that they are split once. With e errors the first e characters of a
+    # may be skipped before b begins.
+    rows = [F.lit(sum(1 << (EDITS + k) for k in range(e + 1))).alias(f"r{e}") for e in range(EDITS + 1)]
+    start = F.struct(F.split(a, "").alias("x"), F.split(b, "").alias("y"), *rows)
     n, m = F.char_length(b), F.char_length(a)
     last = F.aggregate(F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>")), start, step)
     bit = m - n + EDITS
     return (F.abs(m - n) <= EDITS) & (F.getbit(last[f"r{EDITS}"], F.least(F.greatest(bit, F.lit(0)), F.lit(band - 1))) == 1)
 
 
+def _half_agrees(a: Column, b: Column) -> Column:
+    """A condition for one edit that is quick to check: the first or the last half of the shorter is in place in both."""
+    half = F.floor(F.least(F.char_length(a), F.char_length(b)) / 2).cast("int")
+    end = lambda c: F.substr(c, F.char_length(c) - half + 1, half)
+    return (F.substr(a, F.lit(1), half) == F.substr(b, F.lit(1), half)) | (end(a) == end(b))
+
+
 def similar_lines(distinct: DataFrame, bodies, pair_limit: int = PAIR_LIMIT) -> DataFrame:
     """Links ``a, b`` between ids of distinct lines, connecting all lines within ``EDITS`` edits of each other.
 
@@ -112,11 +120,14 @@ def similar_lines(distinct: DataFrame, bodies, pair_limit: int = PAIR_LIMIT) ->
     shared = F.when(prefix, F.substr("body", F.lit(1), size)).otherwise(F.substr("body", n - size + 1, size))
     free = F.when(prefix, F.substr("body", size + 1, n - size)).otherwise(F.substr("body", F.lit(1), n - size))
     known = stored(met.join(lines, "id").select("key", "n", "probe", "id", shared.alias("shared"), free.alias("free")), "line-parts")
-    few, many = known.filter(F.col("n") <= pair_limit), known.filter(F.col("n") > pair_limit)
+    # Pairs cost far more than their rows weigh, so these partitions are not to be merged for being small.
+    partitions = int(known.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    few = known.filter(F.col("n") <= pair_limit).repartition(partitions, "key", "shared")
+    many = known.filter(F.col("n") > pair_limit)
     named = lambda df, c: df.select("key", "shared", F.col("id").alias(c), F.col("probe").alias(f"{c}_probe"), F.col("free").alias(f"{c}_free"))
     pairs = named(few, "a").join(named(few.filter(~F.col("probe")), "b"), ["key", "shared"]) \
         .filter((F.col("a_probe") | (F.col("a") < F.col("b"))) & (F.col("a") != F.col("b"))) \
-        .filter(within_edits(F.col("a_free"), F.col("b_free"))).select("a", "b")
+        .filter(_half_agrees(F.col("a_free"), F.col("b_free"))).filter(within_edits(F.col("a_free"), F.col("b_free"))).select("a", "b")
     cut = lambda at: F.concat(F.substr(F.col("free"), F.lit(1), at), F.substr(F.col("free"), at + 2, F.char_length("free")))
     places = F.when(F.char_length("free") > 0, F.sequence(F.lit(0), F.char_length("free") - 1)).otherwise(F.array().cast("array<int>"))
     variants = many.select("key", "shared", "probe", "id", F.explode(F.transform(places, lambda p: F.struct(p.alias("at"), F.md5(cut(p)).alias("rest")))).alias("v")) \
