@@ -1,5 +1,6 @@
 """Text cleaning, labels and discount allocation on literal rows."""
 
+import random
 from datetime import datetime
 from decimal import Decimal
 
@@ -11,6 +12,7 @@ from tillstar.functions import text
 from tillstar.functions.numbers import proportional_share
 from tillstar.operators import cleaning, quality
 from tillstar.operators.allocate import allocate
+from tillstar.operators.skew import hot_keys
 
 
 def test_junk_tokens_become_null_and_text_is_trimmed(spark):
@@ -65,11 +67,18 @@ LINES = [
 HEADERS = [(10, "0.10"), (20, "5.00"), (30, "1.99"), (40, "3.00")]
 
 
+def test_shares_round_only_the_result(spark):
+    """Halves of a cent go up at any size, and four decimals are not cut before the division."""
+    df = spark.createDataFrame([(Decimal(a), Decimal(p), Decimal(p)) for a in ("1.0050", "0.1250") for p in ("1", "30000000")], "a decimal(18,4), p decimal(18,4), w decimal(18,4)")
+    got = [r[0] for r in df.select(proportional_share(F.col("a"), F.col("p"), F.col("w"), 4, 4)).collect()]
+    assert got == [Decimal("1.01")] * 2 + [Decimal("0.13")] * 2
+
+
 @pytest.mark.parametrize("hot_rows", [1, 2, 1000])
 def test_allocation_is_exact_however_orders_are_split(spark, hot_rows):
     lines = spark.createDataFrame([(i, o, Decimal(v)) for i, o, v in LINES], "id int, o int, v decimal(18,2)")
     heads = spark.createDataFrame([(o, Decimal(a)) for o, a in HEADERS], "o int, amount decimal(18,2)")
-    got = {r["id"]: r["allocated"] for r in allocate(lines, heads, "o", "v", "amount", ["id"], hot_rows=hot_rows).collect()}
+    got = {r["id"]: r["allocated"] for r in allocate(lines, heads, "o", "v", "amount", ["id"], hot=hot_keys(lines, ["o"], hot_rows)).collect()}
     assert got == {
         1: Decimal("0.04"), 2: Decimal("0.03"), 3: Decimal("0.03"),
         4: Decimal("5.00"), 5: Decimal("0.00"),
@@ -83,12 +92,33 @@ def test_one_order_with_most_lines_is_split_and_still_exact(spark):
         F.col("id").cast("int").alias("id"), F.when(F.col("id") < n - 100, 1).otherwise(F.col("id")).cast("int").alias("o"),
         ((F.col("id") % 7 + 1).cast("decimal(18,2)")).alias("v"))
     heads = lines.select("o").distinct().withColumn("amount", F.lit("123.45").cast("decimal(18,2)"))
-    split = allocate(lines, heads, "o", "v", "amount", ["id"], hot_rows=500)
+    split = allocate(lines, heads, "o", "v", "amount", ["id"], hot=hot_keys(lines, ["o"], 500))
     whole = allocate(lines, heads, "o", "v", "amount", ["id"])
     assert rows(split) == rows(whole)
     assert quality.allocation_differences(split, heads, "o", "allocated", "amount").count() == 0
 
 
+def test_allocation_is_the_same_split_or_not(spark):
+    rng = random.Random(1)
+    places = lambda n, top: Decimal(rng.randrange(-top // 5, top)).scaleb(-n)
+    made = []
+    for o in range(60):
+        ids = [rng.choice([None, "a", "b", "c"]) for _ in range(rng.randrange(1, 9))]
+        made += [(i, o, rng.choice([Decimal(0), None, Decimal("50"), places(4, 10**6), places(4, 4 * 10**11)]), rng.choice("xy")) for i in ids]
+    made += [("a", 90, Decimal("50"), "x"), ("a", 90, Decimal("50"), "x"), ("b", 90, Decimal("0.01"), "x"),
+             ("a", 91, Decimal("7"), "x"), ("b", 91, Decimal("-7"), "x")]
+    lines = spark.createDataFrame(made, "id string, o int, v decimal(18,4), other string")
+    heads = spark.createDataFrame([(o, places(2, 10**7) if o % 2 else places(2, 4 * 10**9)) for o in range(92)], "o int, amount decimal(18,2)")
+    whole = allocate(lines, heads, "o", "v", "amount", ["id"])
+    for hot_rows in (1, 3):
+        assert rows(allocate(lines, heads, "o", "v", "amount", ["id"], hot=hot_keys(lines, ["o"], hot_rows))) == rows(whole)
+    exact = {r["o"]: r["amount"] for r in heads.collect()}
+    sums = {}
+    for r in whole.collect():
+        sums[r["o"]] = sums.get(r["o"], 0) + r["allocated"]
+    assert sums == {o: exact[o] for o in sums} and whole.count() == len(made)
+
+
 @pytest.mark.parametrize("hot_rows", [1, 1000])
 def test_homonyms_and_null_names(spark, hot_rows):
     products = spark.createDataFrame(

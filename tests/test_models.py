@@ -99,9 +99,9 @@ def test_scenarios_cover_each_id_and_all(spark):
     items = spark.createDataFrame(
         [(1, date(2024, 1, 1), 3), (2, date(2024, 2, 1), 5), (1, date(2024, 3, 1), 4), (3, date(2024, 1, 1), 100)],
         "product_id int, mes date, quantidade int")
-    ids = spark.createDataFrame([(1,), (2,)], "product_id int")
+    ids = spark.createDataFrame([(1,), (2,), (9,)], "product_id int")
     out = forecast.by_scenario(items, ids, items.agg(F.min("mes").alias("m")), date(2024, 2, 1), date(2024, 3, 1), window=2)
-    assert rows(out) == [("1", 1.5, 2, 4.0, 2.5), ("2", 2.5, 2, 0.0, 2.5), ("all", 4.0, 4, 4.0, 0.0)]
+    assert rows(out) == [("1", 1.5, 2, 4.0, 2.5), ("2", 2.5, 2, 0.0, 2.5), ("9", 0.0, 0, 0.0, 0.0), ("all", 4.0, 4, 4.0, 0.0)]
 
 
 def _purchases(spark, seed=5, customers=60, items=30, n=500):
@@ -129,21 +129,18 @@ def test_similarity_to_one_item_is_the_matrix_row(spark):
     assert similarity.similar_to(pairs, 3).count() == len({i for _, i in data}) - 1
 
 
-@pytest.mark.parametrize("blocks", [(4, 8), (10, 1000), (1000, 1000)])
-@pytest.mark.parametrize("dense_above", [0.0, 2.0])
-def test_blocked_matrix_equals_brute_force(spark, blocks, dense_above, monkeypatch):
-    monkeypatch.setattr(similarity, "DENSE_ABOVE", dense_above)
+def test_cosine_rows_are_rows_of_the_matrix(spark):
     data, pairs = _purchases(spark)
     want = _brute(data)
-    got = similarity.cosine_matrix(pairs, *blocks).collect()
-    assert len(got) == np.count_nonzero(np.triu(want))
-    assert all(abs(r["similaridade"] - want[r["item_a"], r["item_b"]]) < 1e-9 for r in got)
-
-
-def test_blocked_matrix_of_names(spark):
-    pairs = spark.createDataFrame([(1, "a"), (1, "b"), (2, "a"), (3, "b"), (3, "c")], "customer_id long, item string")
-    got = rows(similarity.cosine_matrix(pairs, 2, 2), "item_a", "item_b", "comuns")
-    assert got == [("a", "a", 2), ("a", "b", 1), ("b", "b", 2), ("b", "c", 1), ("c", "c", 1)]
+    references = spark.createDataFrame([(3,), (7,), (3,), (999,)], "item long")
+    got = similarity.cosine_rows(pairs, references)
+    cells = {(r["reference"], r["item"]): r["similaridade"] for r in got.collect()}
+    assert set(cells) == {(i, j) for i in (3, 7) for j in range(want.shape[1]) if want[i, j]}
+    assert all(abs(v - want[i, j]) < 1e-12 for (i, j), v in cells.items())
+    assert tuple(similarity.cosine_checks(got, references, pairs).first()) == (len(cells), 0, 0, 0, 0)
+    wrong = got.withColumn("similaridade", F.when(F.col("reference") == 3, F.col("similaridade") + 0.5).otherwise(F.col("similaridade")))
+    bad = similarity.cosine_checks(wrong.filter("not (reference = 7 and item = 7)"), references, pairs).first()
+    assert bad["diagonal_diferente_de_1"] == 1 and bad["referencias_sem_diagonal"] == 1 and bad["assimetricas"] == 2 and bad["fora_do_intervalo"] > 0
 
 
 def test_equal_similarity_goes_to_the_smaller_id_and_absent_reference_gives_no_row(spark):

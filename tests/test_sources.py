@@ -4,7 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import types as T
 
-from tillstar.operators import profile
+from tillstar.operators import profile, quality
 from tillstar.sources import csv, export, publish
 
 SCHEMA = T.StructType([
@@ -61,6 +61,40 @@ def test_load_is_all_or_nothing_and_repeatable(spark, tmp_path):
     assert "run=two" in publish.read_current(spark, root)["t"].inputFiles()[0]
 
 
+def test_a_failed_attempt_under_the_live_name_changes_nothing(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "layer")
+    none, bad = (lambda t: quality.count_is(t["t"], 3, "rows")), spark.range(1)
+    publish.publish(spark, root, {"t": spark.range(3)}, "r1", none)
+    with pytest.raises(quality.CheckFailed):
+        publish.publish(spark, root, {"t": bad}, "r1", none)
+    assert publish.read_current(spark, root)["t"].count() == 3
+
+    def crash(*_):
+        raise OSError("lost between the tables and the pointer")
+
+    with monkeypatch.context() as m:
+        m.setattr(publish, "_point_at", crash)
+        with pytest.raises(OSError):
+            publish.publish(spark, root, {"t": bad}, "r2")
+    assert publish.read_current(spark, root)["t"].count() == 3
+    for n in (4, 5):
+        publish.publish(spark, root, {"t": spark.range(n)}, "r1")
+        assert publish.read_current(spark, root)["t"].count() == n
+
+
+def test_blanks_around_header_names(spark, tmp_path):
+    path = write(tmp_path / "blank.csv", b"id, name,code \n1,a,b\n")
+    df = csv.read_csv(spark, path, SCHEMA)
+    assert df.columns == ["id", "name", "code"] and df.count() == 1
+
+
+def test_unlisted_files_are_warned_of_on_the_load_path(spark, tmp_path):
+    good = write(tmp_path / "t.csv", b"id,name,code\n1,a,b\n")
+    write(tmp_path / "other.csv", b"id\n1\n")
+    with pytest.warns(UserWarning, match="other"):
+        publish.bulk_load(spark, {"t": good}, {"t": SCHEMA}, str(tmp_path / "w"), "one", folder=str(tmp_path))
+
+
 def test_missing_and_mixed_files_stop_the_load(spark, tmp_path):
     with pytest.raises(csv.LoadError, match="missing"):
         csv.check_files(spark, {"t": str(tmp_path / "none.csv")})

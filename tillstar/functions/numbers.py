@@ -6,8 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
-# Wide integers for exact products of two money values counted in cents.
-CENTS = "decimal(19,0)"
 
 
 def money(c: Column | str) -> Column:
@@ -28,38 +26,23 @@ def percent(part: Column, whole: Column, digits: int = 2) -> Column:
     return F.round(F.lit(100.0) * ratio(part, whole), digits)
 
 
-# Below this many cents on both sides, twice their product fits a long with room for the rounding term.
-_LONG_CENTS = 2_000_000_000
+def _units(c: Column, scale: int) -> Column:
+    """A decimal of at most ``scale`` places as a whole number of its smallest units."""
+    return (c.cast(f"decimal(28,{scale})") * F.lit(10**scale).cast("decimal(10,0)")).cast("decimal(28,0)")
 
 
-def _cents(c: Column) -> Column:
-    """Whole cents as a long; exact below 2**53 cents."""
-    return F.rint(c.cast("double") * 100).cast("bigint")
-
-
-def _rounded_quotient(product: Column, whole: Column) -> Column:
-    """product / whole to the nearest integer, halves away from zero; NULL where whole is zero."""
-    size = F.abs(whole)
-    quotient = F.call_function("div", F.abs(product) * 2 + size, F.nullif(size * 2, F.lit(0)))
-    return F.when((product < 0) != (whole < 0), -quotient).otherwise(quotient)
-
-
-def proportional_share(amount: Column, part: Column, whole: Column) -> Column:
+def proportional_share(amount: Column, part: Column, whole: Column, amount_scale: int = 2, part_scale: int = 2) -> Column:
     """``amount * part / whole`` rounded half up to cents; zero where ``whole`` is zero or NULL.
 
-    The rounding is done on whole cents, so no intermediate quotient can lose a half cent.
-    Amounts of ordinary size are computed with longs, larger ones with wide decimals.
+    Only the result is rounded: the inputs count in units of their own scales (two places at least for
+    the amount), so the quotient is one of whole numbers, whatever the size.
     """
-    a, p, w = _cents(amount), _cents(part), _cents(whole)
-    limit = F.lit(_LONG_CENTS / 100)
-    ordinary = (
-        (F.abs(amount.cast("double")) < limit) & (F.abs(part.cast("double")) < limit)
-        & (F.abs(whole.cast("double")) < F.lit(1e15 / 100))
-    )
-    wa, wp, ww = ((c * 100).cast(CENTS) for c in (amount, part, whole))
-    wide = _rounded_quotient((wa * wp).cast("decimal(38,0)"), ww.cast("decimal(38,0)"))
-    share = F.when(ordinary, _rounded_quotient(a * p, w)).otherwise(wide.cast("bigint"))
-    return F.coalesce((share * F.lit("0.01").cast("decimal(3,2)")).cast(MONEY), F.lit(0).cast(MONEY))
+    amount_scale = max(2, amount_scale)
+    product = (_units(amount, amount_scale).cast("decimal(19,0)") * _units(part, part_scale).cast("decimal(19,0)")).cast("decimal(38,0)")
+    size = F.abs(_units(whole, part_scale) * F.lit(10 ** (amount_scale - 2)).cast("decimal(10,0)")).cast("decimal(37,0)")
+    cents = F.call_function("div", (F.abs(product) * 2 + size).cast("decimal(38,0)"), F.nullif((size * 2).cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)")))
+    signed = F.when((product < 0) != (whole < 0), -cents).otherwise(cents)
+    return F.coalesce((signed * F.lit("0.01").cast("decimal(3,2)")).cast(MONEY), F.lit(0).cast(MONEY))
 
 
 def grouped_number(c: Column, digits: int = 0) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstar.functions import dates
@@ -36,11 +36,6 @@ def month_series(bounds: DataFrame, name: str = "mes") -> DataFrame:
     return bounds.select(F.explode(months).alias(name))
 
 
-def months_between(spark: SparkSession, first: date, last: date, name: str = "mes") -> DataFrame:
-    row = spark.range(1).select(F.lit(first).alias("first_day"), F.lit(last).alias("last_day"))
-    return month_series(row, name)
-
-
 def date_dimension(days: DataFrame, as_of: date, day: str = "data") -> DataFrame:
     """Calendar attributes of each day; "future" means later than ``as_of``."""
     d = F.col(day)
@@ -193,8 +188,8 @@ def worst_day(dense: DataFrame) -> DataFrame:
             F.col(f"w.{mean}").alias("media_do_pior_dia"),
         )
 
-    return verdict("COM calendário (correto)", "media_com_calendario").unionByName(
-        verdict("SEM calendário (só dias com venda)", "media_sem_calendario")
+    return verdict("all_days", "media_com_calendario").unionByName(
+        verdict("selling_days", "media_sem_calendario")
     )
 
 

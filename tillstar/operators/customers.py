@@ -79,11 +79,8 @@ def elite_ids(metrics: DataFrame, diversity: DataFrame, min_categories: int, k:
 def group_consumption(
     group: DataFrame, orders: DataFrame, lines: DataFrame, products: DataFrame, categories: DataFrame
 ) -> DataFrame:
-    """What a small, limited group of customers bought, by category.
-
-    The group drives; it is broadcast because a top-k list has at most k rows.
-    """
-    theirs = orders.select("order_id", "customer_id").join(F.broadcast(group), "customer_id")
+    """What a group of customers bought, by category. Whether the group is broadcast is left to its size."""
+    theirs = orders.select("order_id", "customer_id").join(group, "customer_id")
     bought = (
         lines.select("order_id", "product_id", "quantidade").join(theirs, "order_id")
         .join(products.select("product_id", "category_id"), "product_id")
@@ -133,7 +130,7 @@ def fan_out_proof(orders: DataFrame, lines: DataFrame, payments: DataFrame) -> D
 
     times = F.col("total") * F.col("_rows").cast("decimal(12,0)")
     return (
-        labelled("SUM(total) sem join", orders, F.col("total"))
-        .unionByName(labelled("SUM(total) após join em itens", repeated(lines), times))
-        .unionByName(labelled("SUM(total) após join em pagamentos", repeated(payments), times))
+        labelled("orders", orders, F.col("total"))
+        .unionByName(labelled("orders_x_lines", repeated(lines), times))
+        .unionByName(labelled("orders_x_payments", repeated(payments), times))
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.functions.numbers import (
@@ -61,15 +61,15 @@ def null_rate_by(df: DataFrame, by: str, column: str) -> DataFrame:
 
 
 def mix(df: DataFrame, by: str, amount: str) -> DataFrame:
-    """Share of rows and of value per group. The windows run over one row per group."""
-    everyone = Window.partitionBy()
+    """Share of rows and of value per group; the totals enter as scalars."""
     groups = df.groupBy(by).agg(_rows().alias("pedidos"), F.sum(amount).cast(TOTAL).alias("soma_total"))
+    n_all, sum_all = groups.agg(F.sum("pedidos")).scalar(), groups.agg(F.sum("soma_total")).scalar()
     return groups.select(
         by,
         "pedidos",
-        percent(F.col("pedidos"), F.sum("pedidos").over(everyone)).alias("pct_pedidos"),
+        percent(F.col("pedidos"), n_all).alias("pct_pedidos"),
         "soma_total",
-        percent(F.col("soma_total"), F.sum("soma_total").over(everyone)).alias("pct_valor"),
+        percent(F.col("soma_total"), sum_all).alias("pct_valor"),
         mean_money(F.col("soma_total"), F.col("pedidos")).alias("ticket_medio"),
     )
 

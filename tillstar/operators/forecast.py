@@ -152,7 +152,7 @@ def model_errors(forecasts: DataFrame) -> DataFrame:
 def by_scenario(
     items: DataFrame, ids: DataFrame, first: DataFrame, train_end: date, last: date, window: int = 3
 ) -> DataFrame:
-    """Forecast and error for each id on its own and for all of them together.
+    """Forecast and error for each id on its own and for all of them together, an id without sales included.
 
     The lines are added up by id and month once; the scenarios are made from those sums.
     """
@@ -161,7 +161,8 @@ def by_scenario(
     sums = monthly.select(each, "mes", "unidades").groupBy("cenario", "mes").agg(F.sum("unidades").alias("unidades"))
     start = first.scalar()
     months = F.explode(F.sequence(start, F.lit(last), F.expr("interval 1 month")))
-    spine = sums.select("cenario").distinct().select(F.col("cenario").alias("_c"), months.alias("_m"))
+    named = ids.select(each).distinct()
+    spine = named.select(F.col("cenario").alias("_c"), months.alias("_m"))
     dense = spine.join(
         sums, (F.col("_c") == F.col("cenario")) & (F.col("_m") == F.col("mes")), "left"
     ).select(F.col("_c").alias("cenario"), F.col("_m").alias("mes"), F.coalesce("unidades", F.lit(0.0)).alias("unidades"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.functions.dates import month_index
@@ -261,11 +261,9 @@ def natural_list(
     label, position = _split(by)[1], _split(order)[1]
     values = metric(star, names, [by, order], filters).filter(F.col(names[0]).isNotNull())
     shares = ["share_of_max", "second_share"][: len(names)]
-    # A list in natural order is short: weekdays, months, years.
-    whole = Window.partitionBy()
     return values.select(
         position, label, *names,
-        *[ratio(F.col(n), F.max(n).over(whole)).alias(s) for n, s in zip(names, shares, strict=True)],
+        *[ratio(F.col(n), values.agg(F.max(n)).scalar()).alias(s) for n, s in zip(names, shares, strict=True)],
     )
 
 
@@ -277,11 +275,9 @@ def series(
     label = _split(by)[1]
     points = metric(star, names, [by], filters).filter(F.col(label).isNotNull())
     index = month_index(F.col(label)) if dict(points.dtypes)[label] == "string" else F.col(label)
-    # One row per period.
-    first = F.min("_i").over(Window.partitionBy())
-    return points.withColumn("_i", index).select(
-        label, (F.col("_i") - first).alias("idx"), *names
-    )
+    indexed = points.withColumn("_i", index)
+    first = indexed.agg(F.min("_i")).scalar()
+    return indexed.select(label, (F.col("_i") - first).alias("idx"), *names)
 
 
 def series_frame(points: DataFrame, label: str, names: Sequence[str], zero_based: bool = True) -> DataFrame:
@@ -297,7 +293,7 @@ def series_frame(points: DataFrame, label: str, names: Sequence[str], zero_based
         F.max_by(F.when(F.col(n).isNotNull(), F.col(n)), F.when(F.col(n).isNotNull(), F.col("idx"))).alias(f"last_{n}")
         for n in names
     ]
-    bounds = points.withColumn("_end", F.max("idx").over(Window.partitionBy()))
+    bounds = points.withColumn("_end", points.agg(F.max("idx")).scalar())
     centre = F.abs(F.col("idx") - F.col("_end") / 2)
     return bounds.agg(
         F.min_by(label, "idx").cast("string").alias("first_label"),

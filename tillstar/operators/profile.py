@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -293,15 +293,17 @@ def infer_foreign_keys(
 
 
 def foreign_key_report(tables: Mapping[str, DataFrame], keys: Sequence[ForeignKey]) -> DataFrame:
-    """Rows and orphan rows per foreign key. NULL references nothing and is allowed."""
-    report = None
+    """Rows and orphan rows per foreign key. NULL references nothing and is allowed. No keys give no rows."""
+    spark = SparkSession.active()
+    report = spark.range(0).select(
+        *[F.lit("").alias(c) for c in ("tabela", "coluna", "destino", "origem")], F.lit(0).cast("long").alias("orfaos"))
     for k in keys:
         lost = orphans(tables[k.table], k.column, tables[k.target], k.target_column)
         row = lost.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("orfaos")).select(
             F.lit(k.table).alias("tabela"), F.lit(k.column).alias("coluna"),
             F.lit(k.target).alias("destino"), F.lit(k.origin).alias("origem"), "orfaos",
         )
-        report = row if report is None else report.unionByName(row)
+        report = report.unionByName(row)
     return report
 
 

@@ -8,8 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -206,103 +204,33 @@ def similarity_fact(
     )
 
 
-# Rows and columns of one block of the interaction matrix.
-BLOCK_ITEMS = 4096
-BLOCK_CUSTOMERS = 4096
-# Blocks in which more than this share of the cell products is non-zero are multiplied densely.
-DENSE_ABOVE = 0.002
+def cosine_rows(pairs: DataFrame, references: DataFrame) -> DataFrame:
+    """Cosine of each item of ``references`` (column ``item``) to every item it shares a buyer with, itself included.
 
-
-def common_buyers(pairs: DataFrame, items: int, customers: int,
-                  block_items: int = BLOCK_ITEMS, block_customers: int = BLOCK_CUSTOMERS) -> DataFrame:
-    """Shared buyers of every two items (``item_a`` <= ``item_b``) that have any; with themselves, all.
-
-    A blocked sparse matrix product. Items and customers fall into blocks by hash; a group holds
-    one block of customers and two blocks of items, so its size does not depend on how busy a
-    customer or an item is. Inside, one small matrix product (sparse, or dense where the block is
-    well filled) counts all its item pairs at once, and only sums per item pair leave the task. A pair of the input is copied once per item
-    block, not once per item it shares a customer with.
+    All other items have cosine 0. Buyers of the references meet their own pairs once, so the work is linear in the
+    pairs of those buyers, per reference; no product of all items with all items is built.
     """
-    item_blocks = max(1, -(-items // (block_items // 2)))
-    customer_blocks = max(1, -(-customers // (block_customers // 2)))
-    block = F.pmod(F.xxhash64("item"), F.lit(item_blocks)).cast("int")
-    customer_block = F.pmod(F.xxhash64("customer_id"), F.lit(customer_blocks)).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.lit(item_blocks - 1)))
-    blocked = (
-        pairs.select("customer_id", "item", block.alias("_block"), customer_block.alias("_customers"))
-        .withColumn("_other", other)
-        .select(
-            "customer_id", "item", "_block", "_customers",
-            F.least("_block", "_other").alias("_a"), F.greatest("_block", "_other").alias("_b"),
-        )
-    )
-
-    def count_pairs(group: pd.DataFrame) -> pd.DataFrame:
-        customer, rows = np.unique(group["customer_id"].to_numpy(), return_inverse=True)
-        left = group["_block"].to_numpy() == group["_a"].iloc[0]
-        right = group["_block"].to_numpy() == group["_b"].iloc[0]
-        item = group["item"].to_numpy()
-
-        names_a, columns_a = np.unique(item[left], return_inverse=True)
-        names_b, columns_b = np.unique(item[right], return_inverse=True)
-        rows_a, rows_b = rows[left], rows[right]
-        crossings = np.bincount(rows_a, minlength=len(customer)) @ np.bincount(rows_b, minlength=len(customer))
-        if crossings < DENSE_ABOVE * len(customer) * len(names_a) * len(names_b):
-            met = pd.merge(pd.DataFrame({"c": rows_a, "a": columns_a}), pd.DataFrame({"c": rows_b, "b": columns_b}), on="c")
-            codes, counts = np.unique(met["a"].to_numpy() * len(names_b) + met["b"].to_numpy(), return_counts=True)
-            i, j = np.divmod(codes, len(names_b))
-        else:
-            def matrix(at: np.ndarray, columns: np.ndarray, width: int) -> np.ndarray:
-                cells = np.zeros((len(customer), width), dtype=np.float32)
-                cells[at, columns] = 1.0
-                return cells
-
-            product = matrix(rows_a, columns_a, len(names_a)).T @ matrix(rows_b, columns_b, len(names_b))
-            i, j = np.nonzero(product)
-            counts = product[i, j].astype(np.int64)
-        first, second = names_a[i], names_b[j]
-        if group["_a"].iloc[0] == group["_b"].iloc[0]:
-            keep = first <= second
-            first, second, counts = first[keep], second[keep], counts[keep]
-        swap = first > second
-        return pd.DataFrame({
-            "item_a": np.where(swap, second, first), "item_b": np.where(swap, first, second), "comuns": counts,
-        })
-
-    item_type = dict(pairs.dtypes)["item"]
-    return (
-        blocked.groupBy("_customers", "_a", "_b")
-        .applyInPandas(count_pairs, f"item_a {item_type}, item_b {item_type}, comuns long")
-        .groupBy("item_a", "item_b").agg(F.sum("comuns").alias("comuns"))
-    )
-
-
-def cosine_matrix(pairs: DataFrame, block_items: int = BLOCK_ITEMS, block_customers: int = BLOCK_CUSTOMERS) -> DataFrame:
-    """Cosine of every two items sharing a buyer (``item_a`` <= ``item_b``); all others are 0.
-
-    The two counts that size the blocks are the only values that reach the driver. ``pairs`` is
-    read four times, so it should be a stored table rather than a long plan.
-    """
-    sizes = pairs.agg(
-        F.approx_count_distinct("item").alias("items"), F.approx_count_distinct("customer_id").alias("customers")
-    ).first()
-    common = common_buyers(pairs, sizes["items"], sizes["customers"], block_items, block_customers)
+    named = references.select(F.col("item").alias("reference")).distinct()
+    buyers = pairs.join(named, F.col("item") == F.col("reference")).select("reference", "customer_id")
+    common = pairs.join(buyers, "customer_id").groupBy("reference", "item").agg(F.count(F.lit(1)).alias("comuns"))
     popularity = pairs.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
-    a = popularity.select(F.col("item").alias("item_a"), F.col("n").alias("n_a"))
-    b = popularity.select(F.col("item").alias("item_b"), F.col("n").alias("n_b"))
-    return common.join(a, "item_a").join(b, "item_b").select(
-        "item_a", "item_b", "comuns", cosine(F.col("comuns"), F.col("n_a"), F.col("n_b")).alias("similaridade")
-    )
-
-
-def matrix_checks(matrix: DataFrame, pairs: DataFrame) -> DataFrame:
-    """One row of violation counts: values outside [0, 1], diagonal not 1, items without a diagonal."""
-    on_diagonal = F.col("item_a") == F.col("item_b")
-    items = pairs.select("item").distinct().agg(F.count(F.lit(1))).scalar()
-    return matrix.agg(
+    own = popularity.select(F.col("item").alias("reference"), F.col("n").alias("n_reference"))
+    return common.join(own, "reference").join(popularity, "item").select(
+        "reference", "item", "comuns", cosine(F.col("comuns"), F.col("n_reference"), F.col("n")).alias("similaridade"))
+
+
+def cosine_checks(cosines: DataFrame, references: DataFrame, pairs: DataFrame) -> DataFrame:
+    """One row of violation counts over ``cosine_rows``: values outside [0, 1], a bought reference that is not 1 to
+    itself, and two references that see different values of each other."""
+    itself = F.col("reference") == F.col("item")
+    bought = pairs.join(references.select("item").distinct(), "item", "left_semi").select("item").distinct().agg(F.count(F.lit(1))).scalar()
+    back = cosines.select(F.col("reference").alias("item"), F.col("item").alias("reference"), F.col("similaridade").alias("_back"))
+    among = cosines.join(references.select("item").distinct(), "item", "left_semi")
+    differ = among.join(back, ["reference", "item"], "left").agg(
+        F.count_if(~F.coalesce(F.abs(F.col("similaridade") - F.col("_back")) < 1e-12, F.lit(False)))).scalar()
+    return cosines.agg(
         F.count(F.lit(1)).alias("pares"),
         F.count_if((F.col("similaridade") < 0) | (F.col("similaridade") > 1 + 1e-9)).alias("fora_do_intervalo"),
-        F.count_if(on_diagonal & (F.abs(F.col("similaridade") - 1) > 1e-9)).alias("diagonal_diferente_de_1"),
-        F.count_if(on_diagonal).alias("_diagonal"),
-        F.count_if(F.col("item_a") > F.col("item_b")).alias("pares_repetidos"),
-    ).withColumn("itens_sem_diagonal", items - F.col("_diagonal")).drop("_diagonal")
+        F.count_if(itself & (F.abs(F.col("similaridade") - 1) > 1e-9)).alias("diagonal_diferente_de_1"),
+        F.count_if(itself).alias("_itself"),
+    ).withColumn("referencias_sem_diagonal", bought - F.col("_itself")).withColumn("assimetricas", differ).drop("_itself")

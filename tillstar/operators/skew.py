@@ -32,13 +32,14 @@ def hot_keys(rows: DataFrame, keys: Sequence[str], hot_rows: int = HOT_GROUP_ROW
 
 
 def join_in_pieces(
-    rows: DataFrame, groups: DataFrame, hot: DataFrame, keys: Sequence[str], null_safe: bool = False
+    rows: DataFrame, groups: DataFrame, hot: DataFrame, keys: Sequence[str], null_safe: bool = False,
+    content: str | None = None,
 ) -> DataFrame:
     """Inner join of ``rows`` to ``groups`` (one row per key), partitioned by ``keys`` and ``PIECE``.
 
     The piece of a row depends only on its content and its input partition, so a retried task
-    assigns it again alike, and identical copies of a row still spread. ``null_safe`` lets NULL
-    keys match each other. ``PIECE`` stays in the result: a window over (keys, PIECE) needs no
+    assigns it again alike, and identical copies of a row still spread; with ``content``, a column
+    with a hash of the row, it depends on that alone. ``null_safe`` lets NULL keys match each other. ``PIECE`` stays in the result: a window over (keys, PIECE) needs no
     further shuffle and sees at most a piece.
     """
 
@@ -47,9 +48,12 @@ def join_in_pieces(
         return reduce(lambda a, b: a & b, [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs])
 
     split = F.broadcast(hot.withColumnsRenamed({k: f"_h_{k}" for k in keys}))
-    content = F.pmod(F.xxhash64(*[rows[c] for c in rows.columns]), F.col(_PIECES))
-    origin = F.pmod(F.spark_partition_id(), F.col(_PIECES))
-    piece = F.when(F.col(_PIECES).isNotNull(), F.pmod(content + origin, F.col(_PIECES))).otherwise(F.lit(0))
+    if content:
+        dealt = F.pmod(rows[content], F.col(_PIECES))
+    else:
+        own = F.pmod(F.xxhash64(*[rows[c] for c in rows.columns]), F.col(_PIECES))
+        dealt = F.pmod(own + F.pmod(F.spark_partition_id(), F.col(_PIECES)), F.col(_PIECES))
+    piece = F.when(F.col(_PIECES).isNotNull(), dealt).otherwise(F.lit(0))
     spread = rows.join(split, match(rows, split, "_h_"), "left").select(
         *[rows[c] for c in rows.columns], piece.cast("int").alias(PIECE)
     )

@@ -59,30 +59,29 @@ def eda_status_mix(c: Context):
     return eda.mix(c.raw["orders"], "status", "total")
 
 
-@query("eda_percentiles_tukey", over_ctes(
-    "SELECT CAST(round(CAST(q1 AS DECIMAL(20,6)), 2) AS DOUBLE) AS q1, CAST(round(CAST(mediana AS DECIMAL(20,6)), 2) AS DOUBLE) AS mediana, CAST(round(CAST(q3 AS DECIMAL(20,6)), 2) AS DOUBLE) AS q3, round(media, 2) AS media, "
-    "round(desvio, 2) AS desvio_padrao, round(media / mediana, 3) AS razao_media_mediana, round(cerca, 2) AS cerca_superior, "
-    "(SELECT count(*) FROM r_orders WHERE CAST(total AS DOUBLE) > cerca) AS acima_da_cerca, "
-    "round(100.0 * coalesce((SELECT CAST(sum(total) AS DOUBLE) FROM r_orders WHERE CAST(total AS DOUBLE) > cerca), 0) "
-    "/ (SELECT CAST(sum(total) AS DOUBLE) FROM r_orders), 2) AS pct_receita_acima_da_cerca, "
-    "(SELECT count(*) FROM r_orders WHERE total <= 0) AS total_zero_ou_negativo "
-    "FROM (SELECT *, q3 + 1.5 * (q3 - q1) AS cerca FROM (SELECT quantile_cont(CAST(total AS DOUBLE), 0.25) AS q1, "
-    "quantile_cont(CAST(total AS DOUBLE), 0.5) AS mediana, quantile_cont(CAST(total AS DOUBLE), 0.75) AS q3, "
-    "avg(CAST(total AS DOUBLE)) AS media, stddev_samp(CAST(total AS DOUBLE)) AS desvio FROM r_orders))"))
+def _tukey_sql(table: str, column: str) -> str:
+    """Quartiles by interpolation between the two values around (n - 1) * p, and what lies above the fence."""
+    at = lambda p: (
+        f"(SELECT lo.v + (hi.v - lo.v) * (((n - 1) * {p}) - floor((n - 1) * {p})) FROM t_n, t_v lo, t_v hi "
+        f"WHERE lo.k = floor((n - 1) * {p}) AND hi.k = ceil((n - 1) * {p}))")
+    cents = lambda x: f"CAST(round(CAST({x} AS DECIMAL(20,6)), 2) AS DOUBLE)"
+    return over_ctes(
+        f"SELECT {cents('a')} AS q1, {cents('b')} AS mediana, {cents('c')} AS q3, round(m, 2) AS media, round(s, 2) AS desvio_padrao, "
+        "round(m / b, 3) AS razao_media_mediana, round(c + 1.5 * (c - a), 2) AS cerca_superior, "
+        "(SELECT count(*) FROM t_v WHERE v > c + 1.5 * (c - a)) AS acima_da_cerca, "
+        "round(100.0 * ifnull((SELECT sum(v) FROM t_v WHERE v > c + 1.5 * (c - a)), 0) / total, 2) AS pct_receita_acima_da_cerca, "
+        "(SELECT count(*) FROM t_v WHERE v <= 0) AS total_zero_ou_negativo FROM t_q, t_n",
+        f"t_v AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS k FROM (SELECT CAST({column} AS DOUBLE) AS v FROM {table}) WHERE v IS NOT NULL), "
+        "t_n AS (SELECT count(*) AS n, avg(v) AS m, stddev_samp(v) AS s, sum(v) AS total FROM t_v), "
+        f"t_q AS (SELECT {at(0.25)} AS a, {at(0.5)} AS b, {at(0.75)} AS c)")
+
+
+@query("eda_percentiles_tukey", _tukey_sql("r_orders", "total"))
 def eda_percentiles_tukey(c: Context):
     return eda.tukey(c.raw["orders"], "total")
 
 
-@query("eda_line_value_tukey", over_ctes(
-    "SELECT CAST(round(CAST(q1 AS DECIMAL(20,6)), 2) AS DOUBLE) AS q1, CAST(round(CAST(mediana AS DECIMAL(20,6)), 2) AS DOUBLE) AS mediana, CAST(round(CAST(q3 AS DECIMAL(20,6)), 2) AS DOUBLE) AS q3, round(media, 2) AS media, "
-    "round(desvio, 2) AS desvio_padrao, round(media / mediana, 3) AS razao_media_mediana, round(cerca, 2) AS cerca_superior, "
-    "(SELECT count(*) FROM r_items WHERE CAST(unit_price AS DOUBLE) > cerca) AS acima_da_cerca, "
-    "round(100.0 * coalesce((SELECT CAST(sum(unit_price) AS DOUBLE) FROM r_items WHERE CAST(unit_price AS DOUBLE) > cerca), 0) "
-    "/ (SELECT CAST(sum(unit_price) AS DOUBLE) FROM r_items), 2) AS pct_receita_acima_da_cerca, "
-    "(SELECT count(*) FROM r_items WHERE unit_price <= 0) AS total_zero_ou_negativo "
-    "FROM (SELECT *, q3 + 1.5 * (q3 - q1) AS cerca FROM (SELECT quantile_cont(CAST(unit_price AS DOUBLE), 0.25) AS q1, "
-    "quantile_cont(CAST(unit_price AS DOUBLE), 0.5) AS mediana, quantile_cont(CAST(unit_price AS DOUBLE), 0.75) AS q3, "
-    "avg(CAST(unit_price AS DOUBLE)) AS media, stddev_samp(CAST(unit_price AS DOUBLE)) AS desvio FROM r_items))"))
+@query("eda_line_value_tukey", _tukey_sql("r_items", "unit_price"))
 def eda_line_value_tukey(c: Context):
     return eda.tukey(c.raw["order_items"], "unit_price")
 
@@ -158,9 +157,9 @@ def category_count(c: Context):
 
 
 @query("fan_out_proof", over_ctes(
-    "SELECT 'SUM(total) sem join' AS metodo, CAST(sum(total) AS DOUBLE) AS faturamento FROM s_pedidos UNION ALL "
-    "SELECT 'SUM(total) após join em itens', CAST(sum(p.total) AS DOUBLE) FROM s_pedidos p JOIN r_items i ON i.order_id = p.order_id UNION ALL "
-    "SELECT 'SUM(total) após join em pagamentos', CAST(sum(p.total) AS DOUBLE) FROM s_pedidos p JOIN r_payments g ON g.order_id = p.order_id"))
+    "SELECT 'orders' AS metodo, CAST(sum(total) AS DOUBLE) AS faturamento FROM s_pedidos UNION ALL "
+    "SELECT 'orders_x_lines', CAST(sum(p.total) AS DOUBLE) FROM s_pedidos p JOIN r_items i ON i.order_id = p.order_id UNION ALL "
+    "SELECT 'orders_x_payments', CAST(sum(p.total) AS DOUBLE) FROM s_pedidos p JOIN r_payments g ON g.order_id = p.order_id"))
 def fan_out_proof(c: Context):
     return customers.fan_out_proof(c.silver["pedidos"], c.raw["order_items"], c.raw["payments"])
 
@@ -203,14 +202,13 @@ def weekday_means(c: Context):
     return calendar.weekday_means(c.gold["fct_venda_diaria_pos"])
 
 
+# Per weekday: its days and its sales, over all days and over the days that sold.
 _COMPARISON = (
-    "SELECT n, dia_da_semana, count(*) AS dias_calendario, count(*) FILTER (NOT dia_sem_venda) AS dias_com_venda, "
-    "count(*) FILTER (dia_sem_venda) AS dias_sem_venda, "
-    f"{mean('sum(valor_venda)', 'count(*)')} AS media_com_calendario, "
-    f"{mean('sum(valor_venda)', '(count(*) FILTER (NOT dia_sem_venda))')} AS media_sem_calendario, "
-    "round(CAST(sum(valor_venda) AS DOUBLE) / count(*) FILTER (NOT dia_sem_venda) - CAST(sum(valor_venda) AS DOUBLE) / count(*), 2) AS inflacao_valor, "
-    "round(100.0 * ((CAST(sum(valor_venda) AS DOUBLE) / count(*) FILTER (NOT dia_sem_venda)) / (CAST(sum(valor_venda) AS DOUBLE) / count(*)) - 1), 2) AS inflacao_pct "
-    "FROM g_semana GROUP BY n, dia_da_semana"
+    "SELECT n, dia_da_semana, d AS dias_calendario, d - z AS dias_com_venda, z AS dias_sem_venda, "
+    f"{mean('v', 'd')} AS media_com_calendario, {mean('v', '(d - z)')} AS media_sem_calendario, "
+    "round(CAST(v AS DOUBLE) / nullif(d - z, 0) - CAST(v AS DOUBLE) / d, 2) AS inflacao_valor, "
+    "round(100.0 * (CAST(v AS DOUBLE) / nullif(d - z, 0) / (CAST(v AS DOUBLE) / d) - 1), 2) AS inflacao_pct "
+    "FROM (SELECT n, dia_da_semana, count(*) AS d, count_if(dia_sem_venda) AS z, sum(valor_venda) AS v FROM g_semana GROUP BY ALL)"
 )
 
 
@@ -220,9 +218,9 @@ def weekday_comparison(c: Context):
 
 
 @query("worst_day", over_ctes(
-    "SELECT 'COM calendário (correto)' AS metodo, arg_min(dia_da_semana, media_com_calendario) AS pior_dia, "
+    "SELECT 'all_days' AS metodo, arg_min(dia_da_semana, media_com_calendario) AS pior_dia, "
     f"min(media_com_calendario) AS media_do_pior_dia FROM ({_COMPARISON}) UNION ALL "
-    "SELECT 'SEM calendário (só dias com venda)', arg_min(dia_da_semana, media_sem_calendario), "
+    "SELECT 'selling_days', arg_min(dia_da_semana, media_sem_calendario), "
     f"min(media_sem_calendario) FROM ({_COMPARISON})"))
 def worst_day(c: Context):
     return calendar.worst_day(c.gold["fct_venda_diaria_pos"])

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tillstar.functions.text import SUSPICIOUS_NAMES
 from tillstar.operators import forecast, ranking, similarity
-from tillstar.plans.oracle_base import over_ctes
+from tillstar.plans.oracle_base import over_ctes, texts
 from tillstar.plans.registry import REFERENCE_NAME, TARGET_NAME, TEST_END, TRAIN_END, Context, query
 from tillstar.session import reliable_checkpoint
 
@@ -56,7 +57,7 @@ m_similaridade AS (
          coalesce(b.pedidos_em_comum, 0) AS pedidos_em_comum, '{REFERENCE_NAME}' AS produto_referencia
   FROM m_cos c JOIN m_rotulos r ON r.product_id = c.product_id LEFT JOIN m_cesta b ON b.product_id = c.product_id)""".strip()
 
-_SUSPICIOUS = "('?','??','-','--','—','...','n/a','N/A','TBD','TODO','FIXME','asdf','test','xxx','Sem Nome','')"
+_SUSPICIOUS = f"({texts(SUSPICIOUS_NAMES)})"
 
 
 def _sql(select: str, extra: str = "") -> str:
@@ -132,18 +133,35 @@ def forecast_model_comparison(c: Context):
     return forecast.model_errors(c.forecasts).withColumn("mae", F.round("mae", 9))
 
 
-@query("forecast_by_scenario", _sql(
-    "SELECT cenario, max(media) AS media_movel, CAST(round_even(sum(media), 0) AS BIGINT) AS previsao, sum(unidades) AS \"real\", "
-    "round(avg(abs(unidades - media)), 9) AS mae FROM (SELECT *, avg(unidades) FILTER (eh_treino AND mes > DATE '2000-09-01') OVER (PARTITION BY cenario) AS media "
-    "FROM c_serie) WHERE NOT eh_treino GROUP BY cenario",
-    f"c_vendas AS (SELECT CAST(product_id AS VARCHAR) AS cenario, mes, sum(quantidade) AS u FROM m_items WHERE produto = '{TARGET_NAME}' GROUP BY 1, 2 "
-    f"UNION ALL SELECT 'all', mes, sum(quantidade) FROM m_items WHERE produto = '{TARGET_NAME}' GROUP BY 2), "
-    f"c_serie AS (SELECT s.cenario, m.mes, coalesce(CAST(u AS DOUBLE), 0) AS unidades, m.mes <= DATE '{TRAIN_END}' AS eh_treino "
-    "FROM (SELECT DISTINCT cenario FROM c_vendas) s CROSS JOIN m_meses m LEFT JOIN c_vendas v ON v.cenario = s.cenario AND v.mes = m.mes)"))
+# An id of the list that nobody ever bought still gets its scenario.
+_UNSOLD = -1
+
+
+def _scenario_sql(extra: str = "") -> str:
+    return _sql(
+        "SELECT cenario, max(media) AS media_movel, CAST(round_even(sum(media), 0) AS BIGINT) AS previsao, sum(unidades) AS \"real\", "
+        "round(avg(abs(unidades - media)), 9) AS mae FROM (SELECT *, avg(unidades) FILTER (eh_treino AND mes > DATE '2000-09-01') "
+        "OVER (PARTITION BY cenario) AS media FROM c_serie) WHERE NOT eh_treino GROUP BY cenario",
+        f"c_ids AS (SELECT id FROM r_products WHERE name = '{TARGET_NAME}'{extra}), "
+        "c_vendas AS (SELECT CAST(product_id AS VARCHAR) AS cenario, mes, sum(quantidade) AS u FROM m_items WHERE product_id IN (SELECT id FROM c_ids) GROUP BY 1, 2 "
+        "UNION ALL SELECT 'all', mes, sum(quantidade) FROM m_items WHERE product_id IN (SELECT id FROM c_ids) GROUP BY 2), "
+        f"c_serie AS (SELECT s.cenario, m.mes, coalesce(CAST(u AS DOUBLE), 0) AS unidades, m.mes <= DATE '{TRAIN_END}' AS eh_treino "
+        "FROM (SELECT CAST(id AS VARCHAR) AS cenario FROM c_ids UNION SELECT 'all') s CROSS JOIN m_meses m "
+        "LEFT JOIN c_vendas v ON v.cenario = s.cenario AND v.mes = m.mes)")
+
+
+def _scenarios(c: Context, ids):
+    return forecast.by_scenario(c.unified, ids, forecast.first_month(c.raw["orders"]), TRAIN_END, TEST_END).withColumn("mae", F.round("mae", 9))
+
+
+@query("forecast_by_scenario", _scenario_sql())
 def forecast_by_scenario(c: Context):
-    return forecast.by_scenario(
-        c.unified, c.target_ids, forecast.first_month(c.raw["orders"]), TRAIN_END, TEST_END
-    ).withColumn("mae", F.round("mae", 9))
+    return _scenarios(c, c.target_ids)
+
+
+@query("forecast_by_scenario_unsold", _scenario_sql(f" UNION SELECT {_UNSOLD}"))
+def forecast_by_scenario_unsold(c: Context):
+    return _scenarios(c, c.target_ids.unionByName(c.spark.range(_UNSOLD, _UNSOLD + 1).select(F.col("id").alias("product_id"))))
 
 
 @query("training_year_month_pivot", _sql(
@@ -206,8 +224,8 @@ def similarity_distinguishability(c: Context):
 
 
 _SUBSETS = {
-    "todos os status": "true", "exclui draft": "status <> 'draft'", "exclui cancelled": "status <> 'cancelled'",
-    "paid + confirmed": "status IN ('paid', 'confirmed')", "só paid": "status = 'paid'",
+    "all": "true", "without_draft": "status <> 'draft'", "without_cancelled": "status <> 'cancelled'",
+    "paid_or_confirmed": "status IN ('paid', 'confirmed')", "paid": "status = 'paid'",
 }
 _SUBSET_SQL = " UNION ALL ".join(
     f"SELECT '{name}' AS recorte, product_id, similaridade FROM (SELECT p.product_id, count(*) FILTER (p.customer_id IN "
@@ -253,23 +271,39 @@ def similarity_fact(c: Context):
 
 
 _SUPPLIER_PAIRS = "t_pares AS (SELECT DISTINCT o_custkey AS c, l_suppkey AS s FROM lineitem JOIN orders ON o_orderkey = l_orderkey), t_pop AS (SELECT s, count(*) AS n FROM t_pares GROUP BY 1)"
+# The reference suppliers, and the parts of the reference products.
+_SUPPLIERS = (1, 2, 3)
+_REFERENCES = (REFERENCE_NAME, TARGET_NAME)
 
 
 @query("cosine_matrix_suppliers", (
-    f"WITH {_SUPPLIER_PAIRS} SELECT a.s AS item_a, b.s AS item_b, count(*) AS comuns, "
-    "count(*) / sqrt(CAST(any_value(x.n) AS DOUBLE) * any_value(y.n)) AS similaridade FROM t_pares a JOIN t_pares b ON a.c = b.c AND a.s <= b.s "
-    "JOIN t_pop x ON x.s = a.s JOIN t_pop y ON y.s = b.s GROUP BY 1, 2"))
+    f"WITH {_SUPPLIER_PAIRS} SELECT a.s AS reference, b.s AS item, count(*) AS comuns, "
+    "count(*) / sqrt(CAST(any_value(x.n) AS DOUBLE) * any_value(y.n)) AS similaridade FROM t_pares a JOIN t_pares b ON a.c = b.c "
+    f"JOIN t_pop x ON x.s = a.s JOIN t_pop y ON y.s = b.s WHERE a.s IN {_SUPPLIERS} GROUP BY 1, 2"))
 def cosine_matrix_suppliers(c: Context):
+    """The rows of the cosine matrix that belong to the reference suppliers."""
     bought = c.driver["lineitem"].join(c.driver["orders"], F.col("l_orderkey") == F.col("o_orderkey"))
-    return similarity.cosine_matrix(reliable_checkpoint(similarity.interactions(bought, "o_custkey", "l_suppkey")))
+    references = c.driver["supplier"].select(F.col("s_suppkey").alias("item")).filter(F.col("item").isin(*_SUPPLIERS))
+    return similarity.cosine_rows(similarity.interactions(bought, "o_custkey", "l_suppkey"), references)
 
 
 @query("cosine_matrix_checks", _sql(
-    "SELECT count(*) AS pares, 0::BIGINT AS fora_do_intervalo, 0::BIGINT AS diagonal_diferente_de_1, 0::BIGINT AS pares_repetidos, "
-    "0::BIGINT AS itens_sem_diagonal FROM (SELECT DISTINCT a.product_id, b.product_id FROM m_pares a JOIN m_pares b "
-    "ON a.customer_id = b.customer_id AND a.product_id <= b.product_id)"))
+    "SELECT count(*) AS pares, 0::BIGINT AS fora_do_intervalo, 0::BIGINT AS diagonal_diferente_de_1, 0::BIGINT AS referencias_sem_diagonal, "
+    "0::BIGINT AS assimetricas FROM (SELECT DISTINCT a.product_id, b.product_id FROM m_pares a JOIN m_pares b "
+    f"ON a.customer_id = b.customer_id WHERE a.product_id IN (SELECT id FROM r_products WHERE name IN {_REFERENCES}))"))
 def cosine_matrix_checks(c: Context):
-    return similarity.matrix_checks(similarity.cosine_matrix(c.pairs), c.pairs)
+    references = c.raw["products"].filter(F.col("name").isin(*_REFERENCES)).select(F.col("id").alias("item"))
+    return similarity.cosine_checks(similarity.cosine_rows(c.pairs, references), references, c.pairs)
+
+
+@query("similarity_spread", _sql(
+    "SELECT count(*) AS itens, round(avg(similaridade), 12) AS media, round(stddev_samp(similaridade), 12) AS desvio, max(similaridade) AS maximo, "
+    "(SELECT count(DISTINCT order_id) FROM m_items WHERE product_id = (SELECT id FROM m_ref)) AS pedidos_da_referencia FROM m_cos"))
+def similarity_spread(c: Context):
+    """Mean, deviation and maximum of the similarities, and the orders that hold the reference item."""
+    orders = c.purchases.filter(F.col("product_id") == c.reference).agg(F.count_distinct("order_id")).scalar()
+    spread = similarity.spread(c.similar).withColumns({x: F.round(x, 12) for x in ("media", "desvio")})
+    return spread.withColumn("pedidos_da_referencia", orders)
 
 
 @query("ranking_all_positions", (

@@ -24,7 +24,9 @@ GOLD_TABLES = (
 )
 
 
-def silver(raw: Mapping[str, DataFrame], as_of: datetime, hot_rows: int = HOT_GROUP_ROWS) -> Tables:
+def silver(
+    raw: Mapping[str, DataFrame], as_of: datetime, hot_rows: int = HOT_GROUP_ROWS, hot_orders: DataFrame | None = None,
+) -> Tables:
     """The ten cleaned tables."""
     tables: Tables
     tables = Tables({
@@ -35,7 +37,7 @@ def silver(raw: Mapping[str, DataFrame], as_of: datetime, hot_rows: int = HOT_GR
         "locais": lambda: cleaning.clean_locations(raw["locations"]),
         "pedidos": lambda: cleaning.clean_orders(raw["orders"], as_of),
         "itens_pedido": lambda: cleaning.clean_items(
-            raw["order_items"], tables["pedidos"], tables["variantes"], hot_rows),
+            raw["order_items"], tables["pedidos"], tables["variantes"], hot_orders),
         "pagamentos": lambda: cleaning.clean_payments(raw["payments"]),
         "devolucoes": lambda: cleaning.clean_returns(raw["returns"], raw["return_items"]),
         "estoque": lambda: cleaning.clean_stock(raw["stock_levels"]),

@@ -19,13 +19,14 @@ class LoadError(ValueError):
 
 
 def read_header(spark: SparkSession, path: str) -> list[str]:
-    """Column names of a file (one line is read). A byte-order mark is dropped."""
+    """Column names of a file (one line is read), as they stand. A byte-order mark is dropped."""
     first = spark.read.text(path, lineSep="\n").head()
     if first is None:
         raise LoadError(f"{path}: empty file, no header")
     line = first["value"].removeprefix("\ufeff").rstrip("\r")
-    names = [name.strip() for name in next(csv.reader([line]))]
-    repeated = sorted({n for n in names if names.count(n) > 1})
+    names = next(csv.reader([line]))
+    bare = [name.strip() for name in names]
+    repeated = sorted({n for n in bare if bare.count(n) > 1})
     if repeated:
         raise LoadError(f"{path}: repeated column {', '.join(repeated)}")
     return names
@@ -35,7 +36,7 @@ def check_columns(names: Iterable[str], declared: T.StructType | None, table: st
     """Every column of the file must be declared, before anything is read."""
     if declared is None:
         raise LoadError(f"{table}: no such table")
-    missing = [n for n in names if n not in declared.names]
+    missing = [n.strip() for n in names if n.strip() not in declared.names]
     if missing:
         raise LoadError(f"{table}: columns in the file but not in the table: {', '.join(missing)}")
 
@@ -48,13 +49,15 @@ def read_csv(spark: SparkSession, path: str, declared: T.StructType) -> DataFram
     """
     names = read_header(spark, path)
     check_columns(names, declared, path)
-    schema = T.StructType([T.StructField(n, declared[n].dataType, True) for n in names])
-    return (
+    # Spark compares names with the header as it stands, so blanks around a name are taken off after the read.
+    schema = T.StructType([T.StructField(n, declared[n.strip()].dataType, True) for n in names])
+    read = (
         spark.read.schema(schema)
         .options(header=True, enforceSchema=False, mode="FAILFAST", nullValue="", encoding="UTF-8",
                  ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
         .csv(path)
     )
+    return read.toDF(*[n.strip() for n in names])
 
 
 def read_strings(spark: SparkSession, path: str) -> DataFrame:
@@ -128,12 +131,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
 
 
-def csv_names(spark: SparkSession, folder: str) -> list[str]:
-    """Table names of the CSV files in a folder."""
+def file_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what lies in a folder."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     listing = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(hadoop)
-    names = [s.getPath().getName() for s in listing]
-    return [n.removesuffix(".csv") for n in names if n.endswith(".csv")]
+    return [s.getPath().getName() for s in listing]
+
+
+def csv_names(spark: SparkSession, folder: str) -> list[str]:
+    """Table names of the CSV files in a folder."""
+    return [n.removesuffix(".csv") for n in file_names(spark, folder) if n.endswith(".csv")]
 
 
 def load_tables(spark: SparkSession, paths: Mapping[str, str], declared: Mapping[str, T.StructType]) -> Tables:

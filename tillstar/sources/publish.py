@@ -1,12 +1,14 @@
 """All-or-nothing publication of a set of tables.
 
-A run writes every table into a folder of its own, checks what was written, and only then
-moves the pointer that readers follow. A failed run leaves the previous one in place, and a
-repeated run replaces it, so loading is idempotent.
+Every attempt writes its tables into a folder of its own and checks what was written. Only then a small pointer
+file, complete before it gets its name, is renamed into the folder of pointers, of which readers follow the last.
+A failed attempt, also one under the name of the live run, leaves the published tables as they are.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
@@ -14,11 +16,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillstar.operators.quality import require
-from tillstar.sources.csv import check_files, load_tables, one_row_per_table, path_exists, reconcile
+from tillstar.sources.csv import check_files, file_names, load_tables, one_row_per_table, path_exists, reconcile
 from tillstar.sources.tables import Tables
 
 # Tables written at the same time.
 JOBS = 4
+POINTERS = "current"
 
 
 def publish(
@@ -28,34 +31,58 @@ def publish(
     run: str,
     checks: Callable[[Tables], DataFrame] | None = None,
 ) -> Tables:
-    """Write ``tables`` below ``root`` as ``run`` and make them current if ``checks`` hold.
+    """Write ``tables`` below ``root`` as an attempt named after ``run``; make them current if ``checks`` hold.
 
     ``checks`` gets the written tables and returns rows of (check, expected, actual, ok).
     """
 
+    attempt = f"{run}-{uuid.uuid4().hex}"
+
     def write(name: str) -> None:
-        tables[name].write.mode("overwrite").option("compression", "snappy").parquet(f"{root}/run={run}/{name}")
+        tables[name].write.option("compression", "snappy").parquet(f"{root}/run={attempt}/{name}")
 
     # Each table is a Spark job of its own; submitting several keeps the executors busy.
     with ThreadPoolExecutor(max_workers=JOBS) as pool:
         list(pool.map(write, tables))
-    written = read_run(spark, root, run, tuple(tables))
+    written = read_run(spark, root, attempt, tuple(tables))
     if checks is not None:
         require(checks(written))
-    pointer = spark.range(1).select(F.lit(run).alias("run"), F.lit(",".join(tables)).alias("tables"))
-    pointer.coalesce(1).write.mode("overwrite").json(f"{root}/current")
+    _point_at(spark, root, attempt, tuple(tables))
     return written
 
 
-def read_run(spark: SparkSession, root: str, run: str, names) -> Tables:
-    return Tables({n: lambda n=n: spark.read.parquet(f"{root}/run={run}/{n}") for n in names})
+def _pointers(spark: SparkSession, root: str) -> list[str]:
+    """Names of the pointer files, oldest first."""
+    folder = f"{root}/{POINTERS}"
+    if not path_exists(spark, folder):
+        return []
+    return sorted(n for n in file_names(spark, folder) if n.endswith(".json") and not n.startswith("."))
+
+
+def _point_at(spark: SparkSession, root: str, attempt: str, names: tuple[str, ...]) -> None:
+    """Write the pointer under a hidden name and make it visible by one rename."""
+    last = _pointers(spark, root)
+    number = int(last[-1].split("-")[0]) + 1 if last else 1
+    jvm = spark.sparkContext._jvm.org.apache.hadoop.fs
+    hidden, final = jvm.Path(f"{root}/{POINTERS}/.{attempt}"), jvm.Path(f"{root}/{POINTERS}/{number:012d}-{attempt}.json")
+    fs = hidden.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = fs.create(hidden, False)
+    out.write(bytearray(json.dumps({"run": attempt, "tables": ",".join(names)}).encode()))
+    out.close()
+    if not fs.rename(hidden, final):
+        raise OSError(f"the pointer to {attempt} could not be put in place")
+
+
+def read_run(spark: SparkSession, root: str, attempt: str, names) -> Tables:
+    return Tables({n: lambda n=n: spark.read.parquet(f"{root}/run={attempt}/{n}") for n in names})
 
 
 def read_current(spark: SparkSession, root: str) -> Tables:
     """The tables of the last published run."""
-    if not path_exists(spark, f"{root}/current"):
+    pointers = _pointers(spark, root)
+    if not pointers:
         raise FileNotFoundError(f"nothing is published below {root}")
-    row = spark.read.schema("run string, tables string").json(f"{root}/current").first()
+    row = spark.read.schema("run string, tables string").json(f"{root}/{POINTERS}/{pointers[-1]}").first()
     return read_run(spark, root, row["run"], row["tables"].split(","))
 
 
@@ -66,15 +93,15 @@ def create_views(tables: Mapping[str, DataFrame], prefix: str = "") -> None:
 
 
 def bulk_load(
-    spark: SparkSession, paths: Mapping[str, str], declared: Mapping, root: str, run: str
+    spark: SparkSession, paths: Mapping[str, str], declared: Mapping, root: str, run: str, folder: str | None = None
 ) -> DataFrame:
     """Load files into typed tables, all or none, and return the load report.
 
-    Files and headers are checked first. Rows are counted by the job that writes them, compared
+    Files and headers are checked first; with ``folder``, files in it that nobody listed are warned of. Rows are counted by the job that writes them, compared
     with the lines of the files and with the stored tables, and the load becomes current only
     if all three agree for every table.
     """
-    found = check_files(spark, paths)
+    found = check_files(spark, paths, folder)
     observed = {t: Observation(f"load {t}") for t in paths}
     tables = {
         t: df.observe(observed[t], F.count(F.lit(1)).alias("rows"))
