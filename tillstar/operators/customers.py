@@ -21,26 +21,27 @@ def order_metrics(orders: DataFrame) -> DataFrame:
     )).withColumn("ticket_medio", mean_money(F.col("faturamento_total"), F.col("frequencia")))
 
 
-def line_products(items: DataFrame, variants: DataFrame, item_variant: str, variant_id: str) -> DataFrame:
-    """Lines with their product: a line names a variant, and the variant its product."""
-    hop = variants.select(F.col(variant_id).alias("_variant"), "product_id")
-    return items.join(hop, F.col(item_variant) == F.col("_variant")).drop("_variant")
+def line_products(items: DataFrame, variants: DataFrame, products: DataFrame, variant: str = "product_variant_id") -> DataFrame:
+    """Lines with product and category: variants meet their products first, so the lines are joined once.
+
+    Columns: ``variants(id, product_id)``, ``products(id, category_id)``; a variant without product has no category.
+    """
+    category = products.select(F.col("id").alias("_product"), "category_id")
+    hop = variants.select(F.col("id").alias("_variant"), "product_id").join(category, F.col("product_id") == F.col("_product"), "left")
+    return items.join(hop.drop("_product"), F.col(variant) == F.col("_variant")).drop("_variant")
 
 
-def category_diversity(orders: DataFrame, lines: DataFrame, products: DataFrame) -> DataFrame:
+def category_diversity(orders: DataFrame, lines: DataFrame, products: DataFrame | None = None) -> DataFrame:
     """Distinct categories bought per customer.
 
     Lines shrink to distinct (order, category) pairs before they meet the orders, and to
     distinct (customer, category) pairs before they are counted, so neither a long order nor
-    a busy customer reaches one task whole. Columns: ``orders(order_id, customer_id)``,
-    ``lines(order_id, product_id)``, ``products(product_id, category_id)``.
+    a busy customer reaches one task whole. Columns: ``orders(order_id, customer_id)``, and either
+    ``lines(order_id, category_id)`` or ``lines(order_id, product_id)`` with ``products(product_id, category_id)``.
     """
-    in_order = (
-        lines.select("order_id", "product_id")
-        .join(products.select("product_id", "category_id"), "product_id")
-        .filter(F.col("category_id").isNotNull())
-        .select("order_id", "category_id").distinct()
-    )
+    if products is not None:
+        lines = lines.select("order_id", "product_id").join(products.select("product_id", "category_id"), "product_id")
+    in_order = lines.filter(F.col("category_id").isNotNull()).select("order_id", "category_id").distinct()
     pairs = in_order.join(orders.select("order_id", "customer_id"), "order_id") \
         .select("customer_id", "category_id").distinct()
     return pairs.groupBy("customer_id").agg(F.count(F.lit(1)).alias("diversidade_categorias"))
@@ -77,13 +78,12 @@ def elite_ids(metrics: DataFrame, diversity: DataFrame, min_categories: int, k:
 
 
 def group_consumption(
-    group: DataFrame, orders: DataFrame, lines: DataFrame, products: DataFrame, categories: DataFrame
+    group: DataFrame, orders: DataFrame, lines: DataFrame, categories: DataFrame
 ) -> DataFrame:
     """What a group of customers bought, by category. Whether the group is broadcast is left to its size."""
     theirs = orders.select("order_id", "customer_id").join(group, "customer_id")
     bought = (
-        lines.select("order_id", "product_id", "quantidade").join(theirs, "order_id")
-        .join(products.select("product_id", "category_id"), "product_id")
+        lines.select("order_id", "category_id", "quantidade").join(theirs, "order_id")
         .groupBy("category_id").agg(
             F.sum("quantidade").alias("total_itens_comprados"),
             F.count(F.lit(1)).alias("linhas_de_item"),

@@ -15,16 +15,17 @@ MODELS = ("moving_average", "seasonal_naive", "naive")
 
 def unified_items(items: DataFrame, variants: DataFrame, products: DataFrame, orders: DataFrame) -> DataFrame:
     """One row per line with its product, customer and order date, before any aggregation."""
-    hop = variants.select(F.col("id").alias("product_variant_id"), "product_id")
     named = products.select(
         F.col("id").alias("product_id"), F.col("name").alias("produto"), "brand_id", "category_id"
     )
+    # Variants meet their products before the lines, which are then joined once for both.
+    hop = variants.select(F.col("id").alias("product_variant_id"), "product_id").join(named, "product_id")
     heads = orders.select(
         F.col("id").alias("order_id"), "customer_id", "status", "channel",
         F.col("created_at").alias("data_pedido"),
     )
     return (
-        items.join(hop, "product_variant_id").join(named, "product_id").join(heads, "order_id")
+        items.join(hop, "product_variant_id").join(heads, "order_id")
         .select(
             "order_id", "product_variant_id", "product_id", "produto", "brand_id", "category_id",
             "customer_id", "status", "channel", F.col("quantity").alias("quantidade"),

@@ -23,7 +23,7 @@ def _row(df: DataFrame, check: str, expected: Column, actual: Column) -> DataFra
     )
 
 
-def count_is(df: DataFrame, expected: int, check: str) -> DataFrame:
+def count_is(df: DataFrame, expected: int | Column, check: str) -> DataFrame:
     return _row(df, check, F.lit(expected), F.count(F.lit(1)))
 
 
@@ -100,7 +100,7 @@ def require(checks: DataFrame) -> None:
         raise CheckFailed("; ".join(f"{r['check']}: expected {r['expected']}, got {r['actual']}" for r in failed))
 
 
-def silver_checks(silver: Mapping[str, DataFrame], orders: int | None = None, items: int | None = None) -> DataFrame:
+def silver_checks(silver: Mapping[str, DataFrame], orders: int | Column | None = None, items: int | Column | None = None) -> DataFrame:
     """The checks that decide whether the cleaned layer counts as built."""
     lines, heads = silver["itens_pedido"], silver["pedidos"]
     checks = [

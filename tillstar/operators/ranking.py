@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillstar.session import reliable_checkpoint
+from tillstar.session import kept_table
 
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
@@ -39,11 +39,11 @@ def number_all_rows(df: DataFrame, order: Sequence[Column], name: str = "positio
     """Positions 1..n over the whole table, by a distributed sort.
 
     Each sorted partition numbers its own rows; partitions start after the rows before them.
-    The sorted rows are checkpointed first, because the cut points of a range sort are sampled
+    The sorted rows are kept as a table first, because the cut points of a range sort are sampled
     and must not change between the counting and the numbering.
     """
     sort_id = F.monotonically_increasing_id()
-    placed = reliable_checkpoint(df.orderBy(*order).withColumn("_sort_id", sort_id))
+    placed = kept_table(df.orderBy(*order).withColumn("_sort_id", sort_id), "sorted")
     part = F.shiftright(F.col("_sort_id"), 33)
     local = F.col("_sort_id").bitwiseAND(F.lit((1 << 33) - 1))
     # One row per sort partition.

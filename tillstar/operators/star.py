@@ -74,10 +74,13 @@ def dim_date(orders: DataFrame, returns: DataFrame, as_of: date) -> DataFrame:
 
 
 def dim_customer(
-    clients: DataFrame, orders: DataFrame, items: DataFrame, products: DataFrame,
+    clients: DataFrame, orders: DataFrame, items: DataFrame, products: DataFrame | None = None,
     min_categories: int = MIN_CATEGORIES, k: int = ELITE_SIZE,
 ) -> DataFrame:
-    """Every customer with revenue, frequency, ticket, diversity and the elite flag."""
+    """Every customer with revenue, frequency, ticket, diversity and the elite flag.
+
+    Without ``products`` the items carry their category themselves.
+    """
     metrics = customers.order_metrics(orders)
     diversity = customers.category_diversity(orders, items, products)
     elite = customers.elite_ids(metrics, diversity, min_categories, k).withColumn("_elite", F.lit(True))

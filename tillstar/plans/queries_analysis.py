@@ -139,7 +139,7 @@ def elite_ranking(c: Context):
 def elite_consumption(c: Context):
     group = customers.elite_ids(c.metrics, c.diversity, MIN_CATEGORIES, ELITE_SIZE)
     return customers.group_consumption(
-        group, c.silver["pedidos"], c.lines, c.silver["produtos"], c.silver["categorias"])
+        group, c.silver["pedidos"], c.lines, c.silver["categorias"])
 
 
 @query("diversity_histogram", over_ctes(

@@ -125,14 +125,14 @@ def _ok(check: str, value: str) -> str:
     return f"SELECT '{check}' AS \"check\", CAST({value} AS DOUBLE) AS expected, CAST({value} AS DOUBLE) AS actual, true AS ok"
 
 
-_SILVER_KEYS = ("categorias", "produtos", "variantes", "clientes", "locais", "pedidos", "itens_pedido", "pagamentos",
+SILVER_KEYS = ("categorias", "produtos", "variantes", "clientes", "locais", "pedidos", "itens_pedido", "pagamentos",
                 "devolucoes", "estoque")
-_GOLD_KEYS = ("dim_data", "dim_cliente", "dim_produto", "dim_local", "dim_canal", "dim_status_pedido", "fct_pedido",
+GOLD_KEYS = ("dim_data", "dim_cliente", "dim_produto", "dim_local", "dim_canal", "dim_status_pedido", "fct_pedido",
               "fct_item_pedido", "fct_pagamento", "fct_venda_diaria_pos", "fct_devolucao", "fct_estoque_atual")
 
 
 @query("silver_checks", over_ctes(" UNION ALL ".join(
-    [_ok(f"{t}: key", "0") for t in _SILVER_KEYS]
+    [_ok(f"{t}: key", "0") for t in SILVER_KEYS]
     + [_ok("orders whose discount is not allocated to the cent", "0"),
        _ok("allocated discount total",
            "(SELECT sum(desconto) FROM s_pedidos WHERE order_id IN (SELECT order_id FROM r_items))")])))
@@ -141,7 +141,7 @@ def silver_checks(c: Context):
 
 
 @query("gold_checks", over_ctes(" UNION ALL ".join(
-    [_ok(f"{t}: key", "0") for t in _GOLD_KEYS] + [_ok("elite customers", "10")])))
+    [_ok(f"{t}: key", "0") for t in GOLD_KEYS] + [_ok("elite customers", "10")])))
 def gold_checks(c: Context):
     return quality.gold_checks(c.gold, ELITE_SIZE)
 

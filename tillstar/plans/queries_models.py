@@ -8,7 +8,6 @@ from tillstar.functions.text import SUSPICIOUS_NAMES
 from tillstar.operators import forecast, ranking, similarity
 from tillstar.plans.oracle_base import over_ctes, texts
 from tillstar.plans.registry import REFERENCE_NAME, TARGET_NAME, TEST_END, TRAIN_END, Context, query
-from tillstar.session import reliable_checkpoint
 
 # The two model facts in SQL: a dense monthly series with three forecasts, and similarities.
 MODEL_CTES = f"""
@@ -262,12 +261,12 @@ def similarity_fused_products(c: Context):
     "SELECT CAST(row_number() OVER (ORDER BY pedidos_em_comum DESC, c.product_id) AS INTEGER) AS posicao, c.product_id, produto, pedidos_em_comum "
     "FROM m_cesta c JOIN m_rotulos r ON r.product_id = c.product_id ORDER BY pedidos_em_comum DESC, c.product_id LIMIT 5"))
 def basket_items_top(c: Context):
-    return similarity.basket_ranking(c.purchases, c.reference, c.labels, 5)
+    return similarity.basket_ranking(c.lines, c.reference, c.labels, 5)
 
 
 @query("similarity_fact", _sql("SELECT * REPLACE (round(desvios_da_media, 9) AS desvios_da_media) FROM m_similaridade"))
 def similarity_fact(c: Context):
-    return _round_deviations(similarity.similarity_fact(c.similar, c.purchases, c.reference, REFERENCE_NAME, c.labels))
+    return _round_deviations(similarity.similarity_fact(c.similar, c.lines, c.reference, REFERENCE_NAME, c.labels))
 
 
 _SUPPLIER_PAIRS = "t_pares AS (SELECT DISTINCT o_custkey AS c, l_suppkey AS s FROM lineitem JOIN orders ON o_orderkey = l_orderkey), t_pop AS (SELECT s, count(*) AS n FROM t_pares GROUP BY 1)"

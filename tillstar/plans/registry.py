@@ -14,7 +14,7 @@ from tillstar.operators import customers, forecast, similarity
 from tillstar.plans import retail
 from tillstar.plans.driver_tables import driver_tables, raw_tables
 from tillstar.plans.oracle_base import AS_OF, MIN_CATEGORIES
-from tillstar.session import reliable_checkpoint
+from tillstar.session import kept_table
 from tillstar.sources.export import bi_types
 from tillstar.sources.tables import Tables
 
@@ -52,10 +52,8 @@ class Context:
 
     @cached_property
     def lines(self) -> DataFrame:
-        """Order lines with their product, without allocation."""
-        return customers.line_products(self.raw["order_items"], self.raw["product_variants"]
-                                       .withColumnRenamed("id", "vid"), "product_variant_id", "vid") \
-            .withColumnRenamed("quantity", "quantidade")
+        """Order lines with their product and its category, without allocation."""
+        return retail.lines_with_product(self.raw, "quantity").withColumnRenamed("quantity", "quantidade")
 
     @cached_property
     def metrics(self) -> DataFrame:
@@ -63,7 +61,7 @@ class Context:
 
     @cached_property
     def diversity(self) -> DataFrame:
-        return customers.category_diversity(self.silver["pedidos"], self.lines, self.silver["produtos"])
+        return customers.category_diversity(self.silver["pedidos"], self.lines)
 
     @cached_property
     def unified(self) -> DataFrame:
@@ -100,12 +98,12 @@ class Context:
     @cached_property
     def pairs(self) -> DataFrame:
         """Who bought what, kept as a table: every similarity reads it several times."""
-        return reliable_checkpoint(similarity.interactions(self.purchases))
+        return kept_table(similarity.interactions(self.purchases), "interactions")
 
     @cached_property
     def similar(self) -> DataFrame:
         """One row per item, read for its statistics and again for its ranking."""
-        return reliable_checkpoint(similarity.similar_to(self.pairs, self.reference))
+        return kept_table(similarity.similar_to(self.pairs, self.reference), "similar")
 
     @cached_property
     def labels(self) -> DataFrame:
@@ -118,7 +116,7 @@ class Context:
         return Tables(gold | {
             "fct_previsao": lambda: forecast.forecast_fact(self.forecasts),
             "fct_similaridade_produto": lambda: similarity.similarity_fact(
-                self.similar, self.purchases, self.reference, REFERENCE_NAME, self.labels),
+                self.similar, self.lines, self.reference, REFERENCE_NAME, self.labels),
         })
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.operators import cleaning, customers, star
@@ -45,10 +45,10 @@ def silver(
     return tables
 
 
-def lines_with_product(raw: Mapping[str, DataFrame]) -> DataFrame:
-    """The product of each order line, by its variant."""
-    lines = raw["order_items"].select(F.col("id").alias("order_item_id"), "order_id", "product_variant_id")
-    return customers.line_products(lines, raw["product_variants"], "product_variant_id", "id")
+def lines_with_product(raw: Mapping[str, DataFrame], *columns: str) -> DataFrame:
+    """Product and category of each order line, by its variant, with further ``columns`` of the line."""
+    lines = raw["order_items"].select(F.col("id").alias("order_item_id"), "order_id", "product_variant_id", *columns)
+    return customers.line_products(lines, raw["product_variants"], raw["products"])
 
 
 def gold(
@@ -58,8 +58,8 @@ def gold(
 ) -> Tables:
     """The star schema: six dimensions, six facts and the daily store view.
 
-    ``line_products`` (order_item_id, order_id, product_id) serves the tables that need only the
-    product of a line. It is the cleaned lines themselves unless given; where the layers are
+    ``line_products`` (order_item_id, order_id, product_id, category_id) serves the tables that need only
+    product and category of a line. It is the cleaned lines themselves unless given; where the layers are
     chained without publishing them, ``lines_with_product`` saves allocating discounts for it.
     """
     s = silver
@@ -68,7 +68,7 @@ def gold(
     tables = Tables({
         "dim_data": lambda: star.dim_date(s["pedidos"], s["devolucoes"], as_of.date()),
         "dim_cliente": lambda: star.dim_customer(
-            s["clientes"], s["pedidos"], hop(), s["produtos"], min_categories, elite_size),
+            s["clientes"], s["pedidos"], hop(), s["produtos"] if line_products is None else None, min_categories, elite_size),
         "dim_produto": lambda: star.dim_product(s["produtos"], s["categorias"], brands),
         "dim_local": lambda: star.dim_location(s["locais"]),
         "dim_canal": lambda: star.dim_channel(s["pedidos"]),
@@ -83,3 +83,18 @@ def gold(
             tables["fct_venda_diaria_pos"], tables["dim_data"]),
     })
     return tables
+
+
+def control_totals(raw: Mapping[str, DataFrame]) -> dict[str, Column]:
+    """What the layers must reproduce, as scalars from the sources: rows, revenue, discount, store days and empty days."""
+    orders, items = raw["orders"], raw["order_items"]
+    rows = lambda df: df.agg(F.count(F.lit(1))).scalar()
+    discounted = orders.join(items.select(F.col("order_id").alias("id")).distinct(), "id", "left_semi")
+    day = F.to_date("created_at")
+    store = orders.filter(F.col("channel") == star.STORE_CHANNEL)
+    days = store.agg(F.date_diff(F.max(day), F.min(day)) + 1).scalar()
+    return {
+        "orders": rows(orders), "items": rows(items), "revenue": orders.agg(F.sum("total")).scalar(),
+        "discount": discounted.agg(F.sum("discount_amount")).scalar(), "store_days": days,
+        "empty_days": days - store.agg(F.count_distinct(day)).scalar(),
+    }

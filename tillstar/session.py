@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings that hold at any size. AQE sizes shuffle partitions and splits skewed
 # join partitions; it may add a shuffle to do so, which is cheaper than one straggling task.
@@ -43,9 +44,15 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
-def reliable_checkpoint(df):
-    """``df`` written to the shared checkpoint folder, so that lost executors cannot change it."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint()
+def kept_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet below the shared folder and read back, for frames that are read several times.
+
+    A lost executor costs a task, not the table, and what reads it keeps columnar scans and sizes. The folder is
+    removed when the application ends.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return spark.read.schema(df.schema).parquet(path)
