@@ -70,6 +70,28 @@ def relationship(many: DataFrame, column: str, one: DataFrame, key: str, name: s
     return bad.select(F.lit(name).alias("relacao"), "*", lost.alias("orfaos"))
 
 
+def relationships(many: DataFrame, name: str, edges: Mapping[str, tuple[str, DataFrame, str]]) -> DataFrame:
+    """``relationship`` for all ``edges`` (one side: column, its frame, its key) of a fact, in one pass over the fact.
+
+    The key columns are unpivoted and their values counted in the map tasks, so a frequent value travels once.
+    Keys are compared as text.
+    """
+    text = lambda df, c: df[c].cast("string").alias("value")
+    cells = F.explode(F.array(*[F.struct(F.lit(one).alias("one"), text(many, c)) for one, (c, _, _) in edges.items()]))
+    values = many.select(cells.alias("c")).select("c.*").filter("value is not null").groupBy("one", "value").agg(F.count(F.lit(1)).alias("rows"))
+    listed = reduce(lambda a, b: a.unionByName(b), [df.select(F.lit(one).alias("one"), text(df, k)) for one, (_, df, k) in edges.items()])
+    keys = listed.groupBy("one", "value").agg(F.count(F.lit(1)).alias("rows"))
+    bad = keys.groupBy("one").agg(
+        F.count_if((F.col("rows") > 1) & F.col("value").isNotNull()).alias("chaves_repetidas"),
+        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("rows"))), F.lit(0)).alias("chaves_nulas"))
+    lost = values.join(keys.select("one", "value"), ["one", "value"], "left_anti").groupBy("one").agg(F.sum("rows").alias("orfaos"))
+    # One row per edge, also where one side has no rows at all.
+    names = many.sparkSession.range(1).select(F.explode(F.array(*[F.lit(one) for one in edges])).alias("one"))
+    numbers = ("chaves_repetidas", "chaves_nulas", "orfaos")
+    parts = names.unionByName(bad, allowMissingColumns=True).unionByName(lost, allowMissingColumns=True)
+    return parts.groupBy(F.concat(F.lit(f"{name}->"), "one").alias("relacao")).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in numbers])
+
+
 def allocation_differences(
     lines: DataFrame, headers: DataFrame, key: str, allocated: str, amount: str, tolerance: str = "0.01"
 ) -> DataFrame:

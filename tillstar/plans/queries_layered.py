@@ -6,9 +6,10 @@ from itertools import count
 
 from pyspark.sql import functions as F
 
+from tillstar.functions import text
 from tillstar.operators import quality
 from tillstar.plans import retail
-from tillstar.plans.oracle_base import MIN_CATEGORIES, over_ctes
+from tillstar.plans.oracle_base import MIN_CATEGORIES, clean, over_ctes
 from tillstar.plans.queries_layers import GOLD_KEYS, SILVER_KEYS
 from tillstar.plans.registry import ELITE_SIZE, Context, query
 from tillstar.session import shared_dir
@@ -75,6 +76,14 @@ def layered_export_objects(c: Context):
     return quality.all_checks(counts)
 
 
+@query("null_if_junk_in_sql", over_ctes(f"SELECT id, {clean('name')} AS nome FROM r_products"))
+def null_if_junk_in_sql(c: Context):
+    """The SQL function over a view of the products."""
+    text.register_sql_functions(c.spark)
+    c.raw["products"].select("id", "name").createOrReplaceTempView("products_to_clean")
+    return c.spark.sql("SELECT id, null_if_junk(name) AS nome FROM products_to_clean")
+
+
 # -- planted faults: the checks must find exactly these ------------------------------------------
 
 _OFF = "0.02"
@@ -115,13 +124,29 @@ def checks_planted(c: Context):
     ])
 
 
-@query("relationship_planted", over_ctes(
+_RELATION = over_ctes(
     "SELECT 'fct_pedido->dim_cliente' AS relacao, (SELECT count(*) FROM g_dim_cliente WHERE customer_id % 40 = 0 AND customer_id % 9 <> 0) AS chaves_repetidas, "
     "(SELECT count(*) FROM g_dim_cliente WHERE customer_id % 9 = 0) AS chaves_nulas, "
-    "(SELECT count(*) FROM g_fct_pedido WHERE customer_id % 9 = 0) AS orfaos"))
-def relationship_planted(c: Context):
+    "(SELECT count(*) FROM g_fct_pedido WHERE customer_id % 9 = 0) AS orfaos")
+
+
+def _planted_customers(c: Context):
     """Customers of whom some are twice and some have lost their key: their orders are orphans."""
     key = F.when(F.col("customer_id") % 9 != 0, F.col("customer_id"))
     clients = c.raw["customers"].select(F.col("id").alias("customer_id"))
     clients = clients.unionByName(clients.filter("customer_id % 40 = 0 and customer_id % 9 <> 0")).select(key.alias("customer_id"))
-    return quality.relationship(c.gold["fct_pedido"], "customer_id", clients, "customer_id", "fct_pedido->dim_cliente")
+    return clients
+
+
+@query("relationship_planted", _RELATION)
+def relationship_planted(c: Context):
+    return quality.relationship(c.gold["fct_pedido"], "customer_id", _planted_customers(c), "customer_id", "fct_pedido->dim_cliente")
+
+
+@query("relationships_planted", _RELATION + " UNION ALL SELECT 'fct_pedido->dim_local', 0, 0, "
+       "(SELECT count(*) FROM g_fct_pedido WHERE location_id NOT IN (SELECT location_id FROM g_dim_local WHERE location_id < 20))")
+def relationships_planted(c: Context):
+    """The same in one pass over the fact, with places that are missing."""
+    return quality.relationships(c.gold["fct_pedido"], "fct_pedido", {
+        "dim_cliente": ("customer_id", _planted_customers(c), "customer_id"),
+        "dim_local": ("location_id", c.gold["dim_local"].filter("location_id < 20"), "location_id")})

@@ -157,8 +157,6 @@ def gold_checks(c: Context):
         for fact, edges in star.EDGES.items() for dim, key in edges.items()])))
 def star_relationships(c: Context):
     return quality.all_checks([
-        quality.relationship(c.gold[fact], key, c.gold[dim], key, f"{fact}->{dim}")
-        for fact, edges in star.EDGES.items() for dim, key in edges.items()
+        quality.relationships(c.gold[fact], fact, {dim: (key, c.gold[dim], key) for dim, key in edges.items()})
+        for fact, edges in star.EDGES.items() if edges
     ])
-
-
