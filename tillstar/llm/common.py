@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import sys
-import uuid
 
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.session import shared_dir
+from tillstar.session import kept_table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -17,23 +16,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BROADCAST_ROWS = 200_000
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once below ``spark.checkpoint.dir`` and read back.
-
-    The folder is shared by all executors, so a lost executor costs a task, not the result. It is
-    removed when the application ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    remove_at_end(spark, path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def remove_at_end(spark: SparkSession, path: str) -> None:
-    """Let the file system delete ``path`` when the driver's JVM ends."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
+# Frames that are read several times are written to the folder all executors share and read back.
+stored = kept_table
 
 
 def small_side(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
