@@ -14,7 +14,7 @@ from tillstar.llm.common import small_side, stored
 from tillstar.llm.components import components
 
 EDITS = 1
-# Shorter lines are never removed: they repeat by chance or by layout.
+# Shorter lines are not joined by edits, only by equality.
 MIN_CHARS = 24
 # Lines of one key beyond which they are linked by deletion variants instead of pairs.
 PAIR_LIMIT = 24
@@ -139,17 +139,19 @@ def similar_lines(distinct: DataFrame, bodies, pair_limit: int = PAIR_LIMIT) ->
     return pairs.unionByName(stars).unionByName(longer).distinct()
 
 
-def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
+def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int | None = None) -> DataFrame:
     """Lines to remove, per document row: ``doc_id, row`` (hash of the text), ``removed`` (line numbers from 0).
 
-    Lines are equal when at most ``EDITS`` edits apart, directly or through other lines; the first of them, by id
-    (a null id last), text hash and line number, stays. Lines of under ``min_chars`` code points stay. Null and
-    empty texts have no such lines. Rows that repeat id and text lose the same lines.
+    Lines are equal when at most ``EDITS`` edits apart, directly or through other lines, those of under ``MIN_CHARS``
+    code points only when they are the same; the first of them, by id (a null id last), text hash and line number,
+    stays. With ``min_chars`` that length replaces ``MIN_CHARS`` and shorter lines stay. Blank lines stay. Null and
+    empty texts have no lines to remove. Rows that repeat id and text lose the same lines.
     """
-    seen = occurrences(docs, doc_id, text, min_chars)
+    seen = occurrences(docs, doc_id, text, 1 if min_chars is None else min_chars)
     place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row", "no")
     n = F.char_length("body")
-    distinct = stored(seen.select("id", place.alias("place"), _keys(F.col("body"), n).alias("keys")).groupBy("id").agg(
+    keys = F.when(n >= (MIN_CHARS if min_chars is None else min_chars), _keys(F.col("body"), n))
+    distinct = stored(seen.select("id", place.alias("place"), keys.alias("keys")).groupBy("id").agg(
         F.min("place").alias("place"), F.count(F.lit(1)).alias("n"), F.first("keys").alias("keys")), "lines")
 
     def bodies(ids: DataFrame, rows: int) -> DataFrame:
@@ -166,7 +168,7 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return later.groupBy("doc_id", "row").agg(F.sort_array(F.collect_set("no")).alias("removed"))
 
 
-def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
+def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int | None = None) -> DataFrame:
     """``doc`` (the row as it was), ``text`` without repeated lines, ``n_lines`` and ``removed``; see ``repeated_lines``.
 
     Every row is returned, in whole; a text that loses all lines becomes empty, a null text stays null. An empty
