@@ -106,15 +106,71 @@ def log_ratio(ratios: dict[str, float], string: str) -> float:
     return sum(ratios.get(a + b, 0.0) for a, b in zip("^" + string, string, strict=False))
 
 
+def _maximal(scores: list[float]) -> list[tuple[int, int]]:
+    """All maximal stretches of positive sum (start, end), disjoint and in order, in linear time (Ruzzo and Tompa)."""
+    found: list[tuple[float, float, int, int, int]] = []  # sums before and after, start, end, last one with a lower sum before
+    after = 0.0
+    for i, x in enumerate(scores):
+        before, after = after, after + x
+        if x <= 0:
+            continue
+        low, start, j = before, i, len(found) - 1
+        while True:
+            while j >= 0 and found[j][0] >= low:
+                j = found[j][4]
+            if j < 0 or found[j][1] >= after:
+                break
+            low, _, start, _, up = found[j]
+            del found[j:]
+            j = up
+        found.append((low, after, start, i + 1, j))
+    return [(f[2], f[3]) for f in found]
+
+
+_BORDER = frozenset("+/_=-")
+
+
+def random_stretches(ratios: dict[str, float], string: str) -> list[tuple[int, int, float]]:
+    """Disjoint stretches (start, end, log ratio) of one string that pass the limits: the whole, or else its best ones.
+
+    A best stretch is drawn out to the next borders (``+/_=-``) if it still passes, so that no end of a secret is left.
+    """
+    n = len(string)
+    by_char = [ratios.get(a + b, 0.0) for a, b in zip("^" + string, string, strict=False)]
+    total = sum(by_char)
+    if total >= MIN_TOTAL and total >= MIN_RATIO * n:
+        return [(0, n, total)]
+    out: list[tuple[int, int, float]] = []
+    done = 0
+    best = _maximal([x - MIN_RATIO for x in by_char])
+    for k, (start, end) in enumerate(best):
+        if start < done:
+            continue
+        low, high = start, end
+        limit = best[k + 1][0] if k + 1 < len(best) and best[k + 1][1] - best[k + 1][0] >= MIN_RANDOM else n
+        while low > done and string[low - 1] not in _BORDER:
+            low -= 1
+        while high < limit and string[high] not in _BORDER:
+            high += 1
+        for s, e in ((low, high), (start, high), (low, end), (start, end)):
+            score = sum(by_char[s:e])
+            if e - s >= MIN_RANDOM and score >= MIN_TOTAL and score >= MIN_RATIO * (e - s):
+                out.append((s, e, score))
+                done = e
+                break
+    return out
+
+
 def scanned(text: str, ratios: dict[str, float]) -> list[tuple[str, int, int, float | None, bool]]:
     """All spans by start and kind; random strings only where no base span is."""
     base = base_spans(text)
     out = [(kind, s, e, None, True) for kind, s, e in base]
     taken = sorted((s, e) for _, s, e in base)
     for m in _STRING.finditer(text):
-        total = log_ratio(ratios, m.group())
-        if total >= MIN_TOTAL and total >= MIN_RATIO * (m.end() - m.start()) and not any(s < m.end() and m.start() < e for s, e in taken):
-            out.append(("random", m.start(), m.end(), total, False))
+        for s, e, score in random_stretches(ratios, m.group()):
+            start, end = m.start() + s, m.start() + e
+            if not any(s < end and start < e for s, e in taken):
+                out.append(("random", start, end, score, False))
     out.sort(key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
     return out
 
@@ -125,8 +181,8 @@ SPAN = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64
 def secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", train_documents: int = TRAIN_DOCUMENTS) -> DataFrame:
     """One row per document: ``doc_id, spans`` (kind, start, end exclusive in code points, score, base).
 
-    Base forms are always reported; a string of at least ``MIN_RANDOM`` characters outside them is reported as
-    ``random`` when the Markov models say so. A null or empty text has no spans, repeated rows are reported
+    Base forms are always reported; a string of at least ``MIN_RANDOM`` characters outside them, or a stretch of
+    it that long, is reported as ``random`` when the Markov models say so. A null or empty text has no spans, repeated rows are reported
     each, an empty table gives an empty result. No shuffle but the training counts; texts that can hold
     no span stay in the JVM. Other columns are not looked at.
     """
