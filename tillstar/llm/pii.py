@@ -29,6 +29,14 @@ _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?
 _SSN = re.compile(r"(?<![0-9-])([0-9]{3})-([0-9]{2})-([0-9]{4})(?![0-9-])")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 
+# Characters of an account number by country.
+_LENGTHS = (
+    "NO15 BE16 DK18 FI18 FK18 FO18 GL18 NL18 SD18 MK19 SI19 AT20 BA20 EE20 KZ20 LT20 LU20 MN20 XK20 CH21 HR21 LI21 LV21 BG22 BH22 CR22 "
+    "DE22 GB22 GE22 IE22 ME22 RS22 VA22 AE23 GI23 IL23 IQ23 OM23 SO23 TL23 AD24 CZ24 ES24 MD24 PK24 RO24 SA24 SE24 SK24 TN24 VG24 LY25 "
+    "PT25 ST25 IS26 TR26 BI27 DJ27 FR27 GR27 IT27 MC27 MR27 SM27 AL28 AZ28 BY28 CY28 DO28 GT28 HN28 HU28 LB28 NI28 PL28 SV28 BR29 EG29 "
+    "PS29 QA29 UA29 JO30 KW30 MU30 YE30 MT31 SC31 LC32 RU33")
+IBAN_LENGTHS = {x[:2]: int(x[2:]) for x in _LENGTHS.split()}
+
 # Words within CONTEXT characters that speak for a kind.
 CONTEXT = 40
 CONTEXT_WORDS = {
@@ -89,9 +97,27 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
+def _ibans(text: str):
+    """Account numbers with a right check sum: of the length of their country, of another country the longest that ends with a group."""
+    m = _IBAN.search(text)
+    while m:
+        # Ends after each character that no other letter or digit follows, from the longest.
+        ends = [e for e in range(m.end(), m.start(), -1) if text[e - 1] != " " and (e == m.end() or text[e] == " ")]
+        known = IBAN_LENGTHS.get(m.group()[:2])
+        for end in ends:
+            number = text[m.start():end].replace(" ", "")
+            if (len(number) == known if known else len(number) >= 12) and mod97(number):
+                yield m.start(), end
+                break
+        else:
+            end = m.start() + 1
+        # What the proposal took beyond the number, or after a wrong first group, may begin another one.
+        m = _IBAN.search(text, end)
+
+
 def more_spans(text: str) -> list[tuple[str, int, int]]:
     """Account numbers with a right check sum, social security numbers of issued areas."""
-    found = [("iban", m.start(), m.end()) for m in _IBAN.finditer(text) if mod97(m.group().replace(" ", ""))]
+    found = [("iban", s, e) for s, e in _ibans(text)]
     found += [("ssn", m.start(), m.end()) for m in _SSN.finditer(text)
               if m.group(1) not in ("000", "666") and m.group(1) < "900" and m.group(2) != "00" and m.group(3) != "0000"]
     return found
