@@ -18,9 +18,3 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-def rows(df, *columns):
-    """Rows as sorted tuples, for comparing small results."""
-    chosen = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in chosen.collect()), key=repr)

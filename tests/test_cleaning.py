@@ -5,7 +5,7 @@ from datetime import datetime
 from decimal import Decimal
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from tillstar.functions import text

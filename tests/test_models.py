@@ -6,7 +6,7 @@ from decimal import Decimal
 
 import numpy as np
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from tillstar.operators import calendar, eda, forecast, metrics, ranking, similarity, star

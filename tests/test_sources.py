@@ -1,7 +1,7 @@
 """Files: headers, terminators, counts, all-or-nothing loads, profiles and keys."""
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import types as T
 
 from tillstar.operators import profile, quality
