@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tillstar.llm import pack, quality
@@ -15,17 +16,19 @@ SCHEMA = "doc_id long, text string, start string, score int"
 WORDS = "the The don't it's we'll naïve Ünïcödé 123 4½ --- ,. ... straße ß Σίσυφος ΟΔΟΣ 日本 🙂 é \xa0   \x1c x­x <|endoftext|> <|startoftext|> İstanbul ' \"q\" ﬁn ª²".split(" ")
 
 
-def whole_tokenizer():
+def whole_tokenizer(name="word_bpe_49k.json"):
     import public_tokenizers
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    return Tokenizer.from_file(public_tokenizers.path(name))
 
 
-def test_word_tokenizer_equals_the_whole_one():
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_word_tokenizer_equals_the_whole_one(name):
     import public_tokenizers
 
-    whole, ours = whole_tokenizer(), pack.WordTokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    whole, ours = whole_tokenizer(name), pack.WordTokenizer(public_tokenizers.path(name))
+    assert ours.by_word == (name == "word_bpe_49k.json")
     rng = random.Random(2)
     plain = [chr(c) for c in (*range(9, 14), *range(32, 127), *range(0xA1, 0x180), *range(0x2010, 0x2028), 0x20AC)]
     texts = ["", " ", *plain, *WORDS]
@@ -35,6 +38,20 @@ def test_word_tokenizer_equals_the_whole_one():
         assert ours.ids(t) == struct.pack(f"<{len(i := whole.encode(t, add_special_tokens=False).ids)}I", *i), repr(t)
 
 
+def test_caches_and_batches_are_bounded_in_bytes():
+    import public_tokenizers
+
+    ours = pack.WordTokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    ours.words.room = ours.chunks.room = 10_000
+    text = " ".join(f"word{i}" for i in range(500))
+    whole = whole_tokenizer().encode(text, add_special_tokens=False).ids
+    assert ours.ids(text) == struct.pack(f"<{len(whole)}I", *whole)
+    assert 0 < len(ours.chunks) < 50 and ours.chunks.room >= 0 and ours.words.room >= 0
+    packer = pack.Packer(0)
+    packer.add(1, bytes(pack.BYTES_OUT + 4 * pack.SEQUENCE))
+    assert packer.full() and len(packer.out) < pack.ROWS_OUT
+
+
 def test_closest_multiset_against_all_subsets():
     rng = random.Random(4)
     for _ in range(300):
@@ -53,7 +70,7 @@ def test_packing_round_trip(spark):
     rows = [*enumerate(texts), (500, None), (501, ""), (None, "a null id"), (7, texts[7])]
     df = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], SCHEMA).coalesce(1)
     pieces, sequences = defaultdict(list), defaultdict(list)
-    for r in pack.packed(df).collect():
+    for r in pack.packed(df, with_ids=True).collect():
         assert zlib.crc32(r.ids) == r.ids_crc32 and len(r.ids) == 4 * r.length > 0
         pieces[r.doc_id].append(r)
         sequences[r.sequence_id].append(r)

@@ -9,6 +9,7 @@ is filled by cutting a remainder, so only the last sequence of a task can be sho
 
 from __future__ import annotations
 
+import json
 import re
 import sys
 import types
@@ -26,12 +27,12 @@ SEQUENCE = 2048
 END_ID = 1
 # Remainders in the pool before packing begins, and those left when it pauses for more.
 POOL_HIGH, POOL_LOW = 4096, 1024
-# Entries of the word and chunk caches of a Python worker; later words are still tokenized, but not kept.
-CACHE = 400_000
-ROWS_OUT = 20_000
+# Bytes that the words and chunks kept by a Python worker may take, each; later ones are still tokenized, but not kept.
+CACHE_BYTES = 16 << 20
+# A batch of pieces is sent on at this many rows or bytes of ids.
+ROWS_OUT, BYTES_OUT = 20_000, 4 << 20
 
-SCHEMA = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
-          "sequence_id bigint, offset bigint, ids binary")
+SCHEMA = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
 # Characters of texts that are tokenized word by word here; a text with any other goes to the tokenizer as a whole.
 # All are unchanged by NFC, and their lower case does not depend on their neighbours.
@@ -41,6 +42,17 @@ _LETTER = "a-z\\xaa\\xb5\\xba\\xdf-\\xf6\\xf8-\\u017f"
 _DIGIT = "0-9\\xb2\\xb3\\xb9\\xbc-\\xbe"
 # The splitting rule of the tokenizer file, for these characters.
 _PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_DIGIT}]|[^\\s{_LETTER}{_DIGIT}]+")
+# How a tokenizer file states that rule. Texts of any other file go to its tokenizer as a whole.
+_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+_SPLIT = {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True}
+_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+
+
+def _word_by_word(spec: dict) -> bool:
+    """Whether a tokenizer file splits and lower-cases by that rule."""
+    return (spec["normalizer"] == {"type": "Sequence", "normalizers": _NORMALIZERS} and spec["model"]["type"] == "BPE"
+            and spec["pre_tokenizer"] == {"type": "Sequence", "pretokenizers": [_SPLIT, _BYTES]}
+            and all("<|" in t["content"] for t in spec["added_tokens"]))
 
 
 def _byte_letters() -> dict[int, int]:
@@ -54,6 +66,22 @@ def _byte_letters() -> dict[int, int]:
     return table
 
 
+class Kept(dict):
+    """Ids by string, for as many strings as fit in ``limit`` bytes."""
+
+    def __init__(self, make, limit: int):
+        self.make, self.room = make, limit
+
+    def __missing__(self, key: str) -> bytes:
+        ids = self.make(key)
+        # Two objects with their headers, and an entry of the table.
+        cost = 240 + 2 * len(key) + len(ids)
+        if cost <= self.room:
+            self.room -= cost
+            self[key] = ids
+        return ids
+
+
 class WordTokenizer:
     """Ids of a text as little-endian 32-bit bytes, equal to those of the tokenizer on the whole text."""
 
@@ -62,30 +90,20 @@ class WordTokenizer:
 
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
+        self.by_word = _word_by_word(json.loads(self.whole.to_str()))
         self.letters = _byte_letters()
-        self.words: dict[str, bytes] = {}
-        worker = self
-
-        class Chunks(dict):
-            def __missing__(self, chunk: str) -> bytes:
-                ids = b"".join([worker.word(w) for w in _PIECE.findall(chunk)])
-                if len(self) < CACHE:
-                    self[chunk] = ids
-                return ids
-
-        self.chunks = Chunks()
-
-    def word(self, word: str) -> bytes:
-        ids = self.words.get(word)
-        if ids is None:
-            mapped = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
-            ids = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(mapped)])
-            if len(self.words) < CACHE:
-                self.words[word] = ids
-        return ids
+        self.words = Kept(self._word, CACHE_BYTES)
+        self.chunks = Kept(self._chunk, CACHE_BYTES)
+
+    def _word(self, word: str) -> bytes:
+        mapped = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+        return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(mapped)])
+
+    def _chunk(self, chunk: str) -> bytes:
+        return b"".join([self.words[w] for w in _PIECE.findall(chunk)])
 
     def ids(self, text: str) -> bytes:
-        if _OTHER.search(text):
+        if not self.by_word or _OTHER.search(text):
             return b"".join([i.to_bytes(4, "little") for i in self.whole.encode(text, add_special_tokens=False).ids])
         return b"".join(map(self.chunks.__getitem__, text.lower().split()))
 
@@ -135,12 +153,21 @@ class Packer:
         self.pool: dict[int, list] = {}
         self.waiting = 0
         self.out: list[tuple] = []
+        self.bytes_out = 0
+
+    def full(self) -> bool:
+        """Whether the pieces made so far are to be sent on."""
+        return len(self.out) >= ROWS_OUT or self.bytes_out >= BYTES_OUT
+
+    def _put(self, *piece) -> None:
+        self.out.append(piece)
+        self.bytes_out += len(piece[2])
 
     def add(self, doc, ids: bytes) -> None:
         n = len(ids) // 4
         full = n - n % self.size
         for start in range(0, full, self.size):
-            self.out.append((doc, start, ids[4 * start:4 * (start + self.size)], n, self.next, 0))
+            self._put(doc, start, ids[4 * start:4 * (start + self.size)], n, self.next, 0)
             self.next += 1
         if full < n:
             self._keep((doc, full, ids[4 * full:], n))
@@ -173,21 +200,23 @@ class Packer:
     def _sequence(self, pieces: list[tuple]) -> None:
         offset = 0
         for doc, start, ids, n in pieces:
-            self.out.append((doc, start, ids, n, self.next, offset))
+            self._put(doc, start, ids, n, self.next, offset)
             offset += len(ids) // 4
         if offset < self.size and self.pool:
             # No waiting remainder fits as a whole, so any is longer than what is free.
             doc, start, ids, n = self._take(max(self.pool))
             cut = self.size - offset
-            self.out.append((doc, start, ids[:4 * cut], n, self.next, offset))
+            self._put(doc, start, ids[:4 * cut], n, self.next, offset)
             self._keep((doc, start + cut, ids[4 * cut:], n))
         self.next += 1
 
 
-def packed(docs: DataFrame, tokenizer_path: str | None = None, doc_id: str = "doc_id", text: str = "text", size: int = SEQUENCE) -> DataFrame:
+def packed(docs: DataFrame, tokenizer_path: str | None = None, doc_id: str = "doc_id", text: str = "text", size: int = SEQUENCE,
+           with_ids: bool = False) -> DataFrame:
     """Pieces of all documents in sequences of at most ``size`` tokens.
 
-    Columns: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids`` (32-bit little endian).
+    Columns: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset`` and, if asked for, ``ids`` (32-bit
+    little endian).
     A document is its tokenizer ids (no special tokens added) and then id 1; a null text counts as empty and gives
     that id alone. Repeated rows are packed each, null ids stay null, no rows give no pieces. Sequences are numbered
     within their task, whose number fills the upper bits, so numbers are unique but have gaps. Every sequence is
@@ -210,21 +239,23 @@ def packed(docs: DataFrame, tokenizer_path: str | None = None, doc_id: str = "do
                 packer.add(doc, tokenizer.ids(words.as_py() or "") + end)
                 if packer.waiting >= POOL_HIGH:
                     packer.pack(POOL_LOW)
-                if len(packer.out) >= ROWS_OUT:
-                    yield _batch(packer)
+                if packer.full():
+                    yield _batch(packer, with_ids)
         packer.pack(0)
-        yield _batch(packer)
+        yield _batch(packer, with_ids)
 
     chosen = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    return chosen.mapInArrow(tasks, SCHEMA)
+    return chosen.mapInArrow(tasks, SCHEMA + (", ids binary" if with_ids else ""))
 
 
-def _batch(packer: Packer) -> pa.RecordBatch:
-    rows, packer.out = packer.out, []
+def _batch(packer: Packer, with_ids: bool) -> pa.RecordBatch:
+    rows, packer.out, packer.bytes_out = packer.out, [], 0
     columns = [
         pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
         pa.array([len(r[2]) // 4 for r in rows], pa.int64()), pa.array([zlib.crc32(r[2]) for r in rows], pa.int64()),
         pa.array([r[3] for r in rows], pa.int64()), pa.array([r[4] for r in rows], pa.int64()),
-        pa.array([r[5] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.binary())]
+        pa.array([r[5] for r in rows], pa.int64())]
     names = [c.split()[0] for c in SCHEMA.split(", ")]
+    if with_ids:
+        columns, names = [*columns, pa.array([r[2] for r in rows], pa.binary())], [*names, "ids"]
     return pa.RecordBatch.from_arrays(columns, names=names)

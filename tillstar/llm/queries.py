@@ -114,7 +114,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op4_min_slack_packing")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack.packed(table(spark, sf_dir, "documents")).drop("ids")
+    return pack.packed(table(spark, sf_dir, "documents"))
 
 
 @query("op9_simhash_pigeonring")
