@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import chat, decontaminate, exact, lines, pack, pii, quality, secret_scan, shard, simhash
+from tillstar.llm import chat, decontaminate, exact, lines, pack, pii, quality, repair, secret_scan, shard, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -135,3 +135,24 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scores.select(
         "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= quality.PREDICT).cast("int").alias("predicted"))
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Turns as op11 wants them damaged, by a hash of conversation and turn; nulls count as one space."""
+    known = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    h = F.pmod(F.crc32(F.encode(F.concat(known("conv_id"), F.lit(":"), known("turn")), "UTF-8")), F.lit(20))
+    text = F.when(h == 1, "").when(h == 2, F.regexp_replace(known("text"), "[.!?]", "")).otherwise(known("text"))
+    role = F.when(h == 4, "user").otherwise(known("role"))
+    copies = F.when(h == 0, 0).when(h == 3, 2).otherwise(1)
+    row = F.struct("conv_id", "turn", role.alias("role"), text.alias("text"))
+    return turns.select(F.explode(F.array_repeat(row, copies)).alias("r")).select("r.*")
+
+
+@query("op11_role_repair")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    found = repair.summary(repair.repair(damaged(turns))).withColumnRenamed("conv_id", "c")
+    every = turns.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("c")), "left")
+    counts = [F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return every.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"),
+                        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
