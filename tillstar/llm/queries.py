@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import chat, decontaminate, exact, language, lines, pack, pii, quality, repair, secret_scan, shard, simhash
+from tillstar.llm import chat, decontaminate, exact, language, lines, pack, pii, quality, repair, search, secret_scan, shard, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -164,3 +164,19 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     code = language.train(docs.filter(~language.held_out(F.col("doc_id"))))
     found = language.identify(docs, code)
     return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+@query("op13_signature_search", f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS_SQL} AS ws FROM documents),
+w AS (SELECT r, doc_id, len(ws)::BIGINT AS n, unnest(ws) AS term FROM d),
+size AS (SELECT count(DISTINCT r)::BIGINT AS n_docs, count(*)::BIGINT AS n_terms FROM w),
+asked AS (SELECT item_id, term, count(*)::BIGINT AS qtf FROM (SELECT item_id, unnest({_WORDS_SQL}) AS term FROM benchmark) GROUP BY 1, 2),
+tfs AS (SELECT r, doc_id, n, term, count(*)::BIGINT AS tf FROM w WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+ws AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+       FROM (SELECT term, count(*)::BIGINT AS df FROM tfs GROUP BY 1), size),
+s AS (SELECT item_id, r, doc_id, sum(qtf * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms))))::BIGINT AS score
+      FROM tfs JOIN ws USING (term) JOIN asked USING (term), size GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id, r) AS rank FROM s WHERE score > 0) WHERE rank <= 20""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
