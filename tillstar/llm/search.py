@@ -9,6 +9,8 @@ scored exactly.
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -23,9 +25,11 @@ ship(__name__)
 HASHES, BITS_PER_TERM, LEVELS = 4, 12, 5
 NARROWEST, WIDEST = 8, 20
 # Documents of a block, and bits of its bitmaps together.
-BLOCK_DOCUMENTS, BLOCK_BITS = 4096, 1 << 25
+BLOCK_DOCUMENTS, BLOCK_BITS = 1024, 1 << 24
 # Items whose terms are sent to every task at once; more are searched in turns.
 ITEMS_AT_ONCE = 2000
+# Candidate pairs that are broadcast to the words, at 8 bytes each; more are joined by shuffling both sides.
+PAIRS = 1_000_000
 
 SCALE, DAMP, LENGTH = 1_000_000_000, 12, 25
 
@@ -41,11 +45,6 @@ def length_factor(n: Column, documents: int, terms: int) -> Column:
     return F.lit(100 - LENGTH).cast("long") + F.call_function("div", F.lit(LENGTH).cast("long") * n * F.lit(documents).cast("long"), F.lit(max(1, terms)).cast("long"))
 
 
-def part(tf: Column, m: Column) -> Column:
-    """What a term's occurrences add for each unit of its weight."""
-    return F.call_function("div", F.lit(SCALE).cast("long") * tf, F.lit(1000).cast("long") * tf + F.lit(DAMP).cast("long") * m)
-
-
 def _bits(hashes: np.ndarray, level: int, width: int) -> np.ndarray:
     """The signature bits of a term's level: one row per hash, one column per bit it sets."""
     with np.errstate(over="ignore"):
@@ -54,7 +53,7 @@ def _bits(hashes: np.ndarray, level: int, width: int) -> np.ndarray:
         step = (x >> np.uint64(32)) | np.uint64(1)
         at = x[:, None] + step[:, None] * np.arange(HASHES, dtype=np.uint64)
         at = (at ^ (at >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
-    return (at >> np.uint64(64 - width)).astype(np.int64)
+    return (at >> np.uint64(64 - width)).astype(np.int32)
 
 
 class _Block:
@@ -103,6 +102,7 @@ def _signatures(batches):
 
 
 def _part(tf: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """What a term's occurrences add for each unit of its weight."""
     return SCALE * tf // (1000 * tf + DAMP * m)
 
 
@@ -166,17 +166,36 @@ def signatures(words: DataFrame, documents: int, terms: int) -> DataFrame:
     return stored(rows.mapInArrow(_signatures, INDEX), "bit-slices")
 
 
-def _scores(pairs: DataFrame, words: DataFrame, item_terms: DataFrame, n_terms: int, documents: int, terms: int) -> DataFrame:
-    """Exact scores of (item, row) pairs: ``item, row, doc_id, score``."""
-    wanted = stored(pairs.select("row").distinct(), "search-rows")
-    known = small_side(item_terms.select("term").distinct(), n_terms)
-    read = words.join(small_side(wanted, wanted.count()), "row")
-    found = read.select("row", "doc_id", "n", F.explode("words").alias("term")).join(known, "term")
-    counted = found.groupBy("row", "term").agg(F.first("doc_id").alias("doc_id"), F.first("n").alias("n"), F.count(F.lit(1)).alias("tf"))
-    added = part(F.col("tf"), length_factor(F.col("n"), documents, terms))
-    each = counted.select("row", "doc_id", "term", added.alias("part")).join(small_side(item_terms, n_terms), "term")
-    summed = each.select("item", "row", "doc_id", (F.col("qtf") * F.col("w") * F.col("part")).alias("s")).join(pairs.select("item", "row"), ["item", "row"], "left_semi")
-    return summed.groupBy("item", "row").agg(F.first("doc_id").alias("doc_id"), F.sum("s").alias("score"))
+def _exact(items: dict[int, list[tuple[str, int]]], documents: int, terms: int):
+    """Scores of rows (row, words, items, id) for each of their items, from its terms and their weights."""
+    known = {term for asked in items.values() for term, _ in asked}
+
+    def run(batches):
+        for batch in batches:
+            found, at = [], []
+            for place, (row, words, asked) in enumerate(zip(*(batch.column(i) for i in range(3)), strict=True)):
+                row, words = row.as_py(), words.as_py()
+                m = 100 - LENGTH + LENGTH * len(words) * documents // max(1, terms)
+                parts: dict[str, int] = {}
+                for term, tf in Counter(filter(known.__contains__, words)).items():
+                    parts[term] = SCALE * tf // (1000 * tf + DAMP * m)
+                for item in asked.as_py():
+                    score = sum(w * parts.get(term, 0) for term, w in items[item])
+                    if score > 0:
+                        found.append((item, row, score))
+                        at.append(place)
+            columns = [pa.array([f[i] for f in found], pa.int64()) for i in range(3)]
+            yield pa.RecordBatch.from_arrays([*columns, batch.column(3).take(pa.array(at, pa.int64()))], names=["item", "row", "score", "doc_id"])
+
+    return run
+
+
+def _scores(pairs: DataFrame, words: DataFrame, items: dict, documents: int, terms: int) -> DataFrame:
+    """Exact scores above 0 of (item, row) pairs: ``item, row, doc_id, score``. Only words of the rows asked for are read."""
+    wanted = stored(pairs.groupBy("row").agg(F.collect_list("item").alias("items")), "search-rows")
+    read = words.join(small_side(wanted, pairs.count(), PAIRS), "row")
+    kind = words.schema["doc_id"].dataType.simpleString()
+    return read.select("row", "words", "items", "doc_id").mapInArrow(_exact(items, documents, terms), f"item bigint, row bigint, score bigint, doc_id {kind}")
 
 
 def _first(scores: DataFrame, k: int) -> DataFrame:
@@ -220,9 +239,12 @@ def search(docs: DataFrame, items: DataFrame, k: int = 20, doc_id: str = "doc_id
 
 
 def _search(words: DataFrame, index: DataFrame, weighted: DataFrame, k: int, documents: int, terms: int) -> DataFrame:
-    rows = weighted.select("item", F.xxhash64("term").alias("hash"), (F.col("qtf") * F.col("w")).cast("double").alias("w")).toArrow()
+    rows = weighted.select("item", "term", F.xxhash64("term").alias("hash"), (F.col("qtf") * F.col("w")).alias("w")).toArrow()
     hashes, places = np.unique(rows.column("hash").to_numpy(), return_inverse=True)
-    item, w = rows.column("item").to_numpy(), rows.column("w").to_numpy()
+    item, w = rows.column("item").to_numpy(), rows.column("w").to_numpy().astype(np.float64)
+    items: dict[int, list[tuple[str, int]]] = {}
+    for i, term, n in zip(*(rows.column(c).to_pylist() for c in ("item", "term", "w")), strict=True):
+        items.setdefault(i, []).append((term, n))
     order = np.argsort(item, kind="stable")
     numbers, starts = np.unique(item[order], return_index=True)
     asked = [(int(i), places[at], w[at]) for i, at in zip(numbers, np.split(order, starts[1:]), strict=True)] if len(numbers) else []
@@ -230,8 +252,8 @@ def _search(words: DataFrame, index: DataFrame, weighted: DataFrame, k: int, doc
     top = Window.partitionBy("item").orderBy(F.desc("bound"), "row")
     likely = index.mapInArrow(_probe(hashes, asked, None, k), schema).withColumn("place", F.row_number().over(top)).filter(F.col("place") <= k)
     likely = stored(likely.select("item", "row"), "search-likely")
-    seen = _first(_scores(likely, words, weighted, len(item), documents, terms), k).filter(F.col("rank") == k).select("item", "score").collect()
+    lowest = _scores(likely, words, items, documents, terms).groupBy("item").agg(F.min("score").alias("score"), F.count(F.lit(1)).alias("n"))
     # A little less, as bounds are sums of doubles.
-    least = {r["item"]: r["score"] * (1 - 1e-9) for r in seen}
+    least = {r["item"]: r["score"] * (1 - 1e-9) for r in lowest.filter(F.col("n") == k).collect()}
     pairs = stored(index.mapInArrow(_probe(hashes, asked, least, k), schema).select("item", "row"), "search-candidates")
-    return stored(_first(_scores(pairs, words, weighted, len(item), documents, terms), k).select("item", "rank", "doc_id", "score"), "search-best")
+    return stored(_first(_scores(pairs, words, items, documents, terms), k).select("item", "rank", "doc_id", "score"), "search-best")
