@@ -9,13 +9,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstar.functions.dates import month_index
 from tillstar.functions.numbers import ratio
 from tillstar.operators.ranking import competition_rank
 from tillstar.operators.star import UnrelatedError, edge
+from tillstar.session import kept_table
 
 TOTAL = "decimal(28,2)"
 
@@ -73,6 +74,8 @@ MEASURES: Mapping[str, Measure | Ratio] = {
     "category_diversity": Measure("dim_produto", "distinct", "category_id"),
     "returned_items": Measure("fct_devolucao", "sum", "quantidade"),
     "return_rate": Ratio("returned_items", "items_sold"),
+    "payments": Measure("fct_pagamento", "count"),
+    "payment_value": Measure("fct_pagamento", "sum", "valor"),
     "stock_value": Measure("fct_estoque_atual", "sum", "valor_em_estoque"),
     "actual_units": Measure("fct_previsao", "sum", "realizado"),
     "forecast_moving_average": Measure("fct_previsao", "sum", "prev_mm3"),
@@ -232,6 +235,18 @@ def strip(star: Mapping[str, DataFrame], name: str, filters: Mapping[str, Sequen
     return metric(star, STRIPS[name], filters=filters)
 
 
+def mix(
+    star: Mapping[str, DataFrame], names: Sequence[str], by: Sequence[str], filters: Mapping[str, Sequence] | None = None,
+) -> DataFrame:
+    """Measures per group with the share each group has of the total; NULL shares where the total is zero.
+
+    The window over all groups sees one row for each.
+    """
+    values = metric(star, names, by, filters)
+    whole = Window.partitionBy()
+    return values.select("*", *[ratio(F.col(n), F.sum(n).over(whole)).alias(f"share_{n}") for n in names])
+
+
 def ranked(
     star: Mapping[str, DataFrame], name: str, by: str, n: int,
     second: str | None = None, filters: Mapping[str, Sequence] | None = None,
@@ -242,7 +257,8 @@ def ranked(
     """
     label = _split(by)[1]
     names = [name] if second is None else [name, second]
-    values = metric(star, names, [by], filters)
+    # Read for the ranks, for every maximum and for the rows.
+    values = kept_table(metric(star, names, [by], filters), "measure")
     listed = competition_rank(values, name, n)
     for value, share in ((name, "share_of_max"), (second, "second_share")):
         if value is not None:
@@ -257,7 +273,7 @@ def natural_list(
 ) -> DataFrame:
     """Members in their own order instead of by value; those without a value are left out."""
     label, position = _split(by)[1], _split(order)[1]
-    values = metric(star, names, [by, order], filters).filter(F.col(names[0]).isNotNull())
+    values = kept_table(metric(star, names, [by, order], filters).filter(F.col(names[0]).isNotNull()), "measure")
     shares = ["share_of_max", "second_share"][: len(names)]
     return values.select(
         position, label, *names,
@@ -271,7 +287,7 @@ def series(
 ) -> DataFrame:
     """Measures per period with the period's running index (0 for the first)."""
     label = _split(by)[1]
-    points = metric(star, names, [by], filters).filter(F.col(label).isNotNull())
+    points = kept_table(metric(star, names, [by], filters).filter(F.col(label).isNotNull()), "measure")
     index = month_index(F.col(label)) if dict(points.dtypes)[label] == "string" else F.col(label)
     indexed = points.withColumn("_i", index)
     first = indexed.agg(F.min("_i")).scalar()
