@@ -2,6 +2,7 @@
 
 from tillstar.plans import (  # noqa: F401
     queries_analysis,
+    queries_described,
     queries_layered,
     queries_layers,
     queries_metrics,
