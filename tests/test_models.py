@@ -36,6 +36,7 @@ def test_no_sales_give_no_days(spark):
 @pytest.mark.parametrize("values", [
     [1.0], [1.0, 2.0], [5.0] * 100 + [9.0], [float(x) for x in range(1000)],
     [random.Random(7).gauss(0, 100) for _ in range(3001)], [1e12, -1e12, 0.0, 0.0, 3.5],
+    [1.7e308, -1.7e308, 1.0, 1.0 + 2**-52, 1.0 + 2**-51, 5e-324, 0.0], [0.1] * 500 + [10.0**k for k in range(-300, 300, 3)],
 ])
 def test_percentiles_are_exact(spark, values):
     df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
@@ -44,6 +45,12 @@ def test_percentiles_are_exact(spark, values):
     assert np.allclose(list(got), want, rtol=1e-12)
 
 
+def test_percentiles_count_no_missing_values(spark):
+    df = spark.createDataFrame([(None,), (float("nan"),), (4.0,), (8.0,)], "v double")
+    assert exact_percentiles(df, "v", {"m": 0.5}).first()["m"] == 6.0
+    assert exact_percentiles(df.filter("v is null"), "v", {"m": 0.5}).first()["m"] is None
+
+
 def test_tukey_of_an_empty_table_is_null(spark):
     row = eda.tukey(spark.createDataFrame([], "v decimal(18,2)"), "v").first()
     assert row["q1"] is None and row["acima_da_cerca"] == 0

@@ -15,7 +15,8 @@ from tillstar.functions.numbers import (
     percent,
     timestamp_text,
 )
-from tillstar.operators.quantiles import exact_percentiles
+from tillstar.operators.quantiles import percentile_values
+from tillstar.session import kept_table
 
 TOTAL = "decimal(28,2)"
 
@@ -80,15 +81,16 @@ QUARTILES = {"q1": 0.25, "mediana": 0.5, "q3": 0.75}
 def tukey(df: DataFrame, amount: str) -> DataFrame:
     """Quartiles, spread, and what lies above the upper Tukey fence q3 + 1.5 * (q3 - q1).
 
-    The fence is one scalar, compared in a second scan of the amounts.
+    The table is read once, to store its amounts; quartiles and totals come from them.
     """
-    fence = F.col("q3") + F.lit(1.5) * (F.col("q3") - F.col("q1"))
-    limits = exact_percentiles(df, amount, QUARTILES).withColumn("cerca", fence)
+    amounts = kept_table(df.select(amount), "amounts")
+    limits = percentile_values(amounts, amount, QUARTILES)
+    fence = None if limits["q3"] is None else limits["q3"] + 1.5 * (limits["q3"] - limits["q1"])
+    known = {**limits, "cerca": fence}
+    shown = {name: F.round(F.lit(x).cast("double"), 2) for name, x in known.items()}
     value = F.col(amount).cast("double")
-    above = value > F.col("_limits.cerca")
-    # The limits are one row, so they enter the second scan as a scalar.
-    stats = df.withColumn("_limits", limits.select(F.struct("*")).scalar()).agg(
-        F.max("_limits").alias("l"),
+    above = value > F.lit(fence).cast("double")
+    stats = amounts.agg(
         F.avg(value).alias("media"),
         F.stddev_samp(value).alias("desvio"),
         F.count_if(above).alias("acima_da_cerca"),
@@ -97,11 +99,11 @@ def tukey(df: DataFrame, amount: str) -> DataFrame:
         F.count_if(F.col(amount) <= 0).alias("total_zero_ou_negativo"),
     )
     return stats.select(
-        *[F.round(f"l.{c}", 2).alias(c) for c in QUARTILES],
+        *[shown[c].alias(c) for c in QUARTILES],
         F.round("media", 2).alias("media"),
         F.round("desvio", 2).alias("desvio_padrao"),
-        F.round(F.try_divide(F.col("media"), F.col("l.mediana")), 3).alias("razao_media_mediana"),
-        F.round("l.cerca", 2).alias("cerca_superior"),
+        F.round(F.try_divide(F.col("media"), F.lit(known["mediana"]).cast("double")), 3).alias("razao_media_mediana"),
+        shown["cerca"].alias("cerca_superior"),
         "acima_da_cerca",
         percent(F.coalesce("_above", F.lit(0)), F.col("_all")).alias("pct_receita_acima_da_cerca"),
         "total_zero_ou_negativo",
