@@ -1,5 +1,8 @@
 """Files: headers, terminators, counts, all-or-nothing loads, profiles and keys."""
 
+from concurrent.futures import ThreadPoolExecutor
+from threading import Barrier
+
 import pytest
 from helpers import rows
 from pyspark.sql import types as T
@@ -82,6 +85,33 @@ def test_a_failed_attempt_under_the_live_name_changes_nothing(spark, tmp_path, m
         assert publish.read_current(spark, root)["t"].count() == n
 
 
+def test_of_two_publishers_on_one_version_one_fails(spark, tmp_path):
+    root = str(tmp_path / "layer")
+    publish.publish(spark, root, {"t": spark.range(1)}, "first")
+    assert publish.current_version(spark, root) == 1
+    together = Barrier(2)
+
+    def attempt(n):
+        def both_written(_):
+            together.wait(60)
+            return quality.count_is(spark.range(1), 1, "rows")
+
+        try:
+            publish.publish(spark, root, {"t": spark.range(n)}, f"run{n}", both_written)
+            return n
+        except publish.RivalError:
+            return None
+
+    with ThreadPoolExecutor(2) as pool:
+        won = [n for n in pool.map(attempt, (5, 7)) if n]
+    assert len(won) == 1 and publish.read_current(spark, root)["t"].count() == won[0] and publish.current_version(spark, root) == 2
+    # Tables made from a version that is no longer current are refused, the others go on.
+    with pytest.raises(publish.RivalError):
+        publish.publish(spark, root, {"t": spark.range(9)}, "late", base=1)
+    publish.publish(spark, root, {"t": spark.range(9)}, "next", base=2)
+    assert publish.read_current(spark, root)["t"].count() == 9
+
+
 def test_blanks_around_header_names(spark, tmp_path):
     path = write(tmp_path / "blank.csv", b"id, name,code \n1,a,b\n")
     df = csv.read_csv(spark, path, SCHEMA)

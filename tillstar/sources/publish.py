@@ -1,8 +1,9 @@
 """All-or-nothing publication of a set of tables.
 
 Every attempt writes its tables into a folder of its own and checks what was written. Only then a small pointer
-file, complete before it gets its name, is renamed into the folder of pointers, of which readers follow the last.
-A failed attempt, also one under the name of the live run, leaves the published tables as they are.
+file, complete before it gets its name, is put into the folder of pointers, of which readers follow the last.
+A failed attempt, also one under the name of the live run, leaves the published tables as they are. Pointers are
+numbered, and a number is given once: of two publishers that began at the same version, the later one fails.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import uuid
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,12 +32,15 @@ def publish(
     tables: Mapping[str, DataFrame],
     run: str,
     checks: Callable[[Tables], DataFrame] | None = None,
+    base: int | None = None,
 ) -> Tables:
     """Write ``tables`` below ``root`` as an attempt named after ``run``; make them current if ``checks`` hold.
 
-    ``checks`` gets the written tables and returns rows of (check, expected, actual, ok).
+    ``checks`` gets the written tables and returns rows of (check, expected, actual, ok). ``base`` is the version the
+    tables were made from (``current_version``), by default the one that is current now; if another one is published
+    before the end, ``RivalError`` is raised and that one stays.
     """
-
+    base = current_version(spark, root) if base is None else base
     attempt = f"{run}-{uuid.uuid4().hex}"
 
     def write(name: str) -> None:
@@ -47,7 +52,7 @@ def publish(
     written = read_run(spark, root, attempt, tuple(tables))
     if checks is not None:
         require(checks(written))
-    _point_at(spark, root, attempt, tuple(tables))
+    _point_at(spark, root, attempt, tuple(tables), base + 1)
     return written
 
 
@@ -59,18 +64,42 @@ def _pointers(spark: SparkSession, root: str) -> list[str]:
     return sorted(n for n in file_names(spark, folder) if n.endswith(".json") and not n.startswith("."))
 
 
-def _point_at(spark: SparkSession, root: str, attempt: str, names: tuple[str, ...]) -> None:
-    """Write the pointer under a hidden name and make it visible by one rename."""
-    last = _pointers(spark, root)
-    number = int(last[-1].split("-")[0]) + 1 if last else 1
-    jvm = spark.sparkContext._jvm.org.apache.hadoop.fs
-    hidden, final = jvm.Path(f"{root}/{POINTERS}/.{attempt}"), jvm.Path(f"{root}/{POINTERS}/{number:012d}-{attempt}.json")
-    fs = hidden.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+class RivalError(RuntimeError):
+    """Another version was published since the one that an attempt began from."""
+
+
+def current_version(spark: SparkSession, root: str) -> int:
+    """The number of the published version, 0 if there is none."""
+    pointers = _pointers(spark, root)
+    return int(pointers[-1][:12]) if pointers else 0
+
+
+def _point_at(spark: SparkSession, root: str, attempt: str, names: tuple[str, ...], number: int) -> None:
+    """Write the pointer under a hidden name and give it the one of its version, if nobody has that."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    hidden, final = path(f"{root}/{POINTERS}/.{attempt}"), path(f"{root}/{POINTERS}/{number:012d}.json")
+    fs = hidden.getFileSystem(conf)
     out = fs.create(hidden, False)
     out.write(bytearray(json.dumps({"run": attempt, "tables": ",".join(names)}).encode()))
     out.close()
-    if not fs.rename(hidden, final):
-        raise OSError(f"the pointer to {attempt} could not be put in place")
+    try:
+        if fs.getUri().getScheme() == "file":
+            # Renaming would replace a local file; a second link to it is made only under a free name.
+            at = lambda p: jvm.java.nio.file.Paths.get(fs.makeQualified(p).toUri().getPath(), spark.sparkContext._gateway.new_array(jvm.java.lang.String, 0))
+            jvm.java.nio.file.Files.createLink(at(final), at(hidden))
+        else:
+            rename = jvm.org.apache.hadoop.fs.Options.Rename
+            once = spark.sparkContext._gateway.new_array(rename, 1)
+            once[0] = rename.NONE
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf).rename(hidden, final, once)
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in e.java_exception.getClass().getName():
+            raise RivalError(f"version {number} of {root} was published by another run") from e
+        raise
+    finally:
+        fs.delete(hidden, False)
 
 
 def read_run(spark: SparkSession, root: str, attempt: str, names) -> Tables:
