@@ -85,14 +85,15 @@ def edits(a, b):
     return row[-1]
 
 
-def removed_lines(docs, min_chars):
-    """Numbers of the lines to remove, per document, in the order of (id, line)."""
+def removed_lines(docs, min_chars, shorter=False):
+    """Numbers of the lines to remove, per document, in the order of (id, line); ``shorter`` ones only if they are equal."""
     seen = [(d, n, line.strip(" \t\r\x0b\x0c")) for d, t in docs for n, line in enumerate((t or "").split("\n"))]
-    seen = sorted((o for o in seen if len(o[2]) >= min_chars), key=lambda o: (o[0] is None, o[0] or 0, o[1]))
+    seen = sorted((o for o in seen if len(o[2]) >= (1 if shorter else min_chars)), key=lambda o: (o[0] is None, o[0] or 0, o[1]))
     bodies = sorted({o[2] for o in seen})
     groups = Groups()
-    for i, a in enumerate(bodies):
-        for b in bodies[i:]:
+    long = [b for b in bodies if len(b) >= min_chars]
+    for i, a in enumerate(long):
+        for b in long[i:]:
             if abs(len(a) - len(b)) <= 1 and edits(a, b) <= 1:
                 groups.join(a, b)
     first, out = {}, {d: [] for d, _ in docs}
@@ -101,3 +102,24 @@ def removed_lines(docs, min_chars):
         if first.setdefault(root, (d, n)) != (d, n):
             out[d].append(n)
     return out
+
+
+def shingles(text, width=5):
+    """The set of a text's word shingles; of a shorter text all its words."""
+    words = [w for w in re.split(SPACE + "+", (text or "").translate(LOWER)) if w]
+    return {tuple(words[i:i + width]) for i in range(max(1, len(words) - width + 1))} if words else set()
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def near_groups(docs, least=0.8):
+    """Smallest id of the group of every document; pairs whose shingles are similar enough are linked."""
+    sets = sorted((d, shingles(t)) for d, t in docs)
+    groups = Groups()
+    for i, (a, s) in enumerate(sets):
+        for b, t in sets[:i]:
+            if jaccard(s, t) >= least:
+                groups.join(a, b)
+    return {d: groups.find(d) for d, _ in sets}

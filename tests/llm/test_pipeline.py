@@ -37,16 +37,12 @@ def test_stages(spark):
             assert set(after) == {i for i, s in zip(ids, scores, strict=True) if s >= quality.PREDICT}
             assert 0.5 < len(after) / len(before) < 1
         elif name == "line dedup":
-            removed = brute.removed_lines(list(before.items()), lines.MIN_CHARS)
+            removed = brute.removed_lines(list(before.items()), lines.MIN_CHARS, shorter=True)
             kept = {i: "\n".join(x for n, x in enumerate((t or "").split("\n")) if n not in removed[i]) for i, t in before.items()}
             assert after == {i: t for i, t in kept.items() if t.strip(" ") or not removed[i]}
         elif name == "simhash near-dedup":
-            prints = {i: brute.simhash(t) for i, t in before.items()}
-            roots = brute.hamming_components(prints.values())
-            first = {}
-            for i in sorted(before):
-                first.setdefault(roots[prints[i]], i)
-            assert after == {i: before[i] for i in first.values()}
+            group = brute.near_groups(before.items())
+            assert after == {i: t for i, t in before.items() if group[i] == i}
         elif name == "benchmark decontamination":
             items = [(r.item_id, r.text) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
             assert set(after) == {d for d, _, hits, _ in brute.contamination(list(before.items()), items) if not hits}
@@ -74,8 +70,9 @@ def test_stages_on_odd_rows(spark):
             if name != "packing":
                 assert out.columns == docs.columns, name
                 assert out.count() <= len(some)
+                # Equal rows are near duplicates of each other; the other stages tell nothing between them.
                 if some and name != "quality classifier":
-                    assert out.filter("doc_id = 2").count() == 2, name
+                    assert out.filter("doc_id = 2").count() == (1 if name == "simhash near-dedup" else 2), name
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -88,9 +85,10 @@ def test_query(name, spark):
         assert compare(df, con, SQL[name]) == []
         con.close()
     elif name != "op4_min_slack_packing":
-        table = "conversations" if name.startswith("op7") else "documents"
+        # Op7 has a conversation of its own besides those of the table.
+        table, key = ("conversations", "conv_id") if name.startswith(("op7", "op11")) else ("documents", "doc_id")
         rows = spark.read.parquet(f"{FOLDER}/{table}.parquet")
-        assert df.count() == (rows.select("conv_id").distinct().count() + 1 if name.startswith("op7") else rows.count())
+        assert df.count() == (rows.select(key).distinct().count() if key == "conv_id" else rows.count()) + name.startswith("op7")
 
 
 def test_native_queries_have_no_python(spark):
