@@ -3,6 +3,8 @@
 import itertools
 import random
 import struct
+import time
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -138,6 +140,26 @@ def test_features_do_not_depend_on_the_batch():
     assert np.allclose(quality.features(many)[0], np.vstack([quality.features(many[:1])[0]] * 400))
 
 
+def test_very_many_lines(monkeypatch):
+    """Block by block gives the same scores, in memory and time that follow the lines."""
+    rng = np.random.default_rng(5)
+    field = quality.Field(rng.normal(size=quality.FEATURES) / 3, rng.normal(size=(2, 2)), 0.7, -0.2)
+    texts = ["\n".join(rng.choice(["Fine line here.", "", "AB!! CD!!", "| a | b |", "x 1 2 3"], n)) for n in (1, 2, 7, 50, 203)] + ["\n" * 120]
+    whole = quality.score_texts(field, texts)
+    monkeypatch.setattr(quality, "_BLOCK_LINES", 3)
+    assert np.allclose(quality.score_texts(field, texts), whole)
+    monkeypatch.undo()
+    seconds = []
+    for n in (60_000, 240_000):
+        tracemalloc.start()
+        start = time.process_time()
+        quality.score_texts(field, ["\n" * n])
+        seconds.append(time.process_time() - start)
+        assert tracemalloc.get_traced_memory()[1] < 200 * n
+        tracemalloc.stop()
+    assert seconds[1] < 8 * seconds[0]
+
+
 def test_held_out_accuracy(spark):
     folder = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))

@@ -7,6 +7,7 @@ backward sums; their mean, weighted by line length, and a monotone calibration m
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,6 +34,8 @@ _CLASS_OF = np.full(256, len(_CLASSES), dtype=np.int64)
 for _i, _c in enumerate(_CLASSES):
     _CLASS_OF[list(_c)] = _i
 OWN = len(_CLASSES) + 10
+# The feature of a line that was there before in its text.
+_AGAIN = len(_CLASSES) + 1
 FEATURES = 3 * OWN + 1
 # Bytes whose classes are counted at a time.
 _BLOCK = 1 << 20
@@ -193,18 +196,62 @@ def _calibrate(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return a, b
 
 
+def _log_sum(a: float, b: float) -> float:
+    return (a if a > b else b) + math.log1p(math.exp(-abs(a - b)))
+
+
+def _long_mean(field: Field, text: str) -> float:
+    """The mean of a text of very many lines: features block by block, then one chain of log ratios of the two labels."""
+    lines, seen = text.split("\n"), set()
+    own_weights = np.stack([field.emit[1 + k * OWN:1 + (k + 1) * OWN] for k in range(3)], axis=1)
+    parts, weights = [], []
+    for at in range(0, len(lines), _BLOCK_LINES):
+        block = lines[at:at + _BLOCK_LINES]
+        x, weight, _ = features(["\n".join(block)])
+        own = x[:, 1:1 + OWN]
+        for i, line in enumerate(block):
+            own[i, _AGAIN] = line in seen
+            seen.add(line)
+        parts.append(own @ own_weights)
+        weights.append(weight)
+    part, weight = np.concatenate(parts), np.concatenate(weights)
+    logits = field.emit[0] + part[:, 0]
+    logits[1:] += part[:-1, 1]
+    logits[:-1] += part[1:, 2]
+    (m00, m01), (m10, m11) = field.move.tolist()
+    gap, ratio = logits.copy(), 0.0
+    for t, logit in enumerate(logits.tolist()):
+        ratio = logit + (_log_sum(m01, ratio + m11) - _log_sum(m00, ratio + m10) if t else 0.0)
+        gap[t] = ratio
+    ahead = 0.0
+    for t in range(len(logits) - 2, -1, -1):
+        u = float(logits[t + 1]) + ahead
+        ahead = _log_sum(m10, m11 + u) - _log_sum(m00, m01 + u)
+        gap[t] += ahead
+    p = 1 / (1 + np.exp(-np.clip(gap, -60, 60)))
+    return float((p * weight).sum() / weight.sum())
+
+
 def score_texts(field: Field, texts: list[str]) -> np.ndarray:
     """Scores from 0 to 1 of whole texts."""
     if not texts:
         return np.zeros(0)
-    x, weight, per_line = features(texts)
-    p, _, _ = marginals(field, x, per_line)
-    z = field.slope * _log_odds(_document_means(p, weight, per_line)) + field.shift
+    long = np.array([t.count("\n") >= _BLOCK_LINES for t in texts])
+    means = np.empty(len(texts))
+    short = [t for t, many in zip(texts, long, strict=True) if not many]
+    if short:
+        x, weight, per_line = features(short)
+        p, _, _ = marginals(field, x, per_line)
+        means[~long] = _document_means(p, weight, per_line)
+    for i in np.flatnonzero(long):
+        means[i] = _long_mean(field, texts[i])
+    z = field.slope * _log_odds(means) + field.shift
     return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
-# Characters scored at a time.
-_BATCH_CHARS = 4_000_000
+# Characters and lines scored at a time; a text of more lines goes block by block.
+_BATCH_CHARS, _BATCH_LINES = 4_000_000, 50_000
+_BLOCK_LINES = 20_000
 
 
 def held_out(doc_id: Column) -> Column:
@@ -233,7 +280,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", t
 
     The score depends on the text alone. A null text counts as empty; an empty text is one empty line. Without
     labels of both kinds every text gets the same score, a low one only if all labels are bad. Repeated rows are scored each, an empty table gives an
-    empty result. No shuffle of documents; memory is bounded by a batch and the longest text. Other columns
+    empty result. No shuffle of documents; memory is bounded by a batch, of characters and lines, and a few
+    numbers for each line of the longest text. Other columns
     are not looked at.
     """
     field = train(docs, labels, doc_id, text, label)
@@ -244,13 +292,14 @@ def score_column(field: Field, text: Column) -> Column:
     """The score of a text column's values, computed in Arrow batches."""
 
     def scored(texts: pa.Array) -> pa.Array:
-        out, some, chars = [], [], 0
+        out, some, chars, lines = [], [], 0, 0
         for t in texts:
             some.append(t.as_py() or "")
             chars += len(some[-1])
-            if chars >= _BATCH_CHARS:
+            lines += some[-1].count("\n") + 1
+            if chars >= _BATCH_CHARS or lines >= _BATCH_LINES:
                 out.append(score_texts(field, some))
-                some, chars = [], 0
+                some, chars, lines = [], 0, 0
         out.append(score_texts(field, some))
         return pa.array(np.concatenate(out), pa.float64())
 
