@@ -20,7 +20,7 @@ KINDS = (*BASE_KINDS, "iban", "ssn")
 PREFILTER = "[0-9@]"
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_LOCAL_END = re.compile(r"[A-Za-z0-9._%+-]+\Z")
+_LOCAL = re.compile(r"[A-Za-z0-9._%+-]*")
 # Digit runs are consumed whether or not an address follows, so that a long run is read once.
 _IP = re.compile(r"([0-9]++)(?:\.([0-9]++)\.([0-9]++)\.([0-9]++))?+")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
@@ -29,13 +29,28 @@ _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?
 _SSN = re.compile(r"(?<![0-9-])([0-9]{3})-([0-9]{2})-([0-9]{4})(?![0-9-])")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 
-# Characters of an account number by country.
-_LENGTHS = (
-    "NO15 BE16 DK18 FI18 FK18 FO18 GL18 NL18 SD18 MK19 SI19 AT20 BA20 EE20 KZ20 LT20 LU20 MN20 XK20 CH21 HR21 LI21 LV21 BG22 BH22 CR22 "
-    "DE22 GB22 GE22 IE22 ME22 RS22 VA22 AE23 GI23 IL23 IQ23 OM23 SO23 TL23 AD24 CZ24 ES24 MD24 PK24 RO24 SA24 SE24 SK24 TN24 VG24 LY25 "
-    "PT25 ST25 IS26 TR26 BI27 DJ27 FR27 GR27 IT27 MC27 MR27 SM27 AL28 AZ28 BY28 CY28 DO28 GT28 HN28 HU28 LB28 NI28 PL28 SV28 BR29 EG29 "
-    "PS29 QA29 UA29 JO30 KW30 MU30 YE30 MT31 SC31 LC32 RU33")
-IBAN_LENGTHS = {x[:2]: int(x[2:]) for x in _LENGTHS.split()}
+# Countries by the characters of their account numbers.
+_COUNTRIES = {
+    15: ("NO",),
+    16: ("BE",),
+    18: ("DK", "FI", "FK", "FO", "GL", "NL", "SD"),
+    19: ("MK", "SI"),
+    20: ("AT", "BA", "EE", "KZ", "LT", "LU", "MN", "XK"),
+    21: ("CH", "HR", "LI", "LV"),
+    22: ("BG", "BH", "CR", "DE", "GB", "GE", "IE", "ME", "RS", "VA"),
+    23: ("AE", "GI", "IL", "IQ", "OM", "SO", "TL"),
+    24: ("AD", "CZ", "ES", "MD", "PK", "RO", "SA", "SE", "SK", "TN", "VG"),
+    25: ("LY", "PT", "ST"),
+    26: ("IS", "TR"),
+    27: ("BI", "DJ", "FR", "GR", "IT", "MC", "MR", "SM"),
+    28: ("AL", "AZ", "BY", "CY", "DO", "GT", "HN", "HU", "LB", "NI", "PL", "SV"),
+    29: ("BR", "EG", "PS", "QA", "UA"),
+    30: ("JO", "KW", "MU", "YE"),
+    31: ("MT", "SC"),
+    32: ("LC",),
+    33: ("RU",),
+}
+IBAN_LENGTHS = {country: n for n, countries in _COUNTRIES.items() for country in countries}
 
 # Words within CONTEXT characters that speak for a kind.
 CONTEXT = 40
@@ -68,10 +83,8 @@ def _emails(text: str):
         step = 64
         while start > end:
             low = max(end, start - step)
-            m = _LOCAL_END.search(text, low, start)
-            if not m:
-                break
-            start = m.start()
+            # Backwards, so that every character is read once.
+            start -= _LOCAL.match(text[low:start][::-1]).end()
             if start > low:
                 break
             step *= 4
@@ -88,7 +101,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     found = [("email", s, e) for s, e in _emails(text)]
     if "." in text:
         found += [("ip", m.start(), m.end()) for m in _IP.finditer(text)
-                  if m.group(2) and all(len(g.lstrip("0")) <= 3 and int(g) <= 255 for g in m.groups())]
+                  if m.group(2) and all(len(d := g.lstrip("0")) <= 3 and int(d or "0") <= 255 for g in m.groups())]
     for m in _CARD.finditer(text):
         if m.end() - m.start() >= 14 and 14 <= len(d := _NOT_DIGIT.sub("", m.group())) <= 19 and luhn(d):
             found.append(("card", m.start(), m.end()))
