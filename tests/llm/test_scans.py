@@ -2,8 +2,10 @@
 
 import random
 import re
+import time
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from tillstar.llm import pii, secret_scan
@@ -54,10 +56,38 @@ def test_checks_and_context():
     assert card[0] == "card" and card[3] > next(s for s in pii.scored("number 4111 1111 1111 1111"))[3]
 
 
-def test_long_runs_take_linear_time():
-    for text in ("a" * 1_000_000, "1" * 1_000_000, "a@" * 300_000, "1." * 300_000, "+1 " * 200_000, "@" * 500_000, "token " * 100_000, "AKIA" * 200_000):
-        pii.base_spans(text)
-        secret_scan.base_spans(text)
+LONG = {
+    "letters": lambda n: "a" * n, "digits": lambda n: "1" * n, "at": lambda n: "a@" * (n // 2), "dots": lambda n: "1." * (n // 2), "plus": lambda n: "+1 " * (n // 3),
+    "signs": lambda n: "@" * n, "names": lambda n: "token " * (n // 6), "keys": lambda n: "AKIA" * (n // 4),
+    "two runs": lambda n: "a" * (n // 2) + " " + "b" * (n // 2) + "@x.y", "hex pairs": lambda n: ("0a1b2c3d" * 3 + "/" + "q8Zx0LmP2vTr7NcK5wJd9HbYxQe ") * (n // 53)}
+
+
+@pytest.mark.parametrize("name", LONG)
+def test_long_runs_take_linear_time(name):
+    """Four times the text takes about four times as long."""
+    ratios = dict.fromkeys((a + b for a in "^" + secret_scan.ALPHABET for b in secret_scan.ALPHABET), 3.0)
+
+    def seconds(n):
+        text, best = LONG[name](n), []
+        for _ in range(3):
+            start = time.process_time()
+            pii.scored(text)
+            secret_scan.scanned(text, ratios)
+            best.append(time.process_time() - start)
+        return min(best)
+
+    assert seconds(200_000) < 9 * seconds(50_000) + 0.05
+
+
+def test_numbers_of_very_many_digits():
+    assert [s[:3] for s in pii.base_spans("0" * 5000 + ".1.1.1")] == [("ip", 0, 5006)]
+    assert [s for s in pii.base_spans("1" + "0" * 5000 + ".1.1.1") if s[0] == "ip"] == [] and pii.scored("9" * 6000) == []
+
+
+def test_a_secret_beside_a_base_span_of_its_run():
+    ratios = dict.fromkeys((a + b for a in "^" + secret_scan.ALPHABET for b in secret_scan.ALPHABET), 5.0)
+    text = "x " + "0a1b2c3d" * 3 + "/" + "q8Zx0LmP2vTr7NcK5wJd9HbYxQe" + " y"
+    assert [s[:3] for s in secret_scan.scanned(text, ratios)] == [("hex", 2, 26), ("random", 26, 54)]
 
 
 def test_frames(spark):

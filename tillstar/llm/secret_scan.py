@@ -161,16 +161,36 @@ def random_stretches(ratios: dict[str, float], string: str) -> list[tuple[int, i
     return out
 
 
+def _outside(start: int, end: int, taken: list[tuple[int, int]], at: int) -> tuple[list[tuple[int, int]], int]:
+    """The parts of a stretch outside ``taken`` (sorted), and the first of these that can meet a later stretch."""
+    parts = []
+    while at < len(taken) and taken[at][1] <= start:
+        at += 1
+    here = at
+    while here < len(taken) and taken[here][0] < end:
+        if taken[here][0] > start:
+            parts.append((start, taken[here][0]))
+        start = max(start, taken[here][1])
+        here += 1
+    return parts + ([(start, end)] if start < end else []), at
+
+
 def scanned(text: str, ratios: dict[str, float]) -> list[tuple[str, int, int, float | None, bool]]:
-    """All spans by start and kind; random strings only where no base span is."""
+    """All spans by start and kind; random strings only where no base span is. Both lists are walked once."""
     base = base_spans(text)
     out = [(kind, s, e, None, True) for kind, s, e in base]
-    taken = sorted((s, e) for _, s, e in base)
+    taken: list[tuple[int, int]] = []
+    for s, e in sorted((s, e) for _, s, e in base):
+        if taken and s <= taken[-1][1]:
+            taken[-1] = (taken[-1][0], max(e, taken[-1][1]))
+        else:
+            taken.append((s, e))
+    at = 0
     for m in _STRING.finditer(text):
-        for s, e, score in random_stretches(ratios, m.group()):
-            start, end = m.start() + s, m.start() + e
-            if not any(s < end and start < e for s, e in taken):
-                out.append(("random", start, end, score, False))
+        parts, at = _outside(m.start(), m.end(), taken, at)
+        for low, high in parts:
+            if high - low >= MIN_RANDOM:
+                out += [("random", low + s, low + e, score, False) for s, e, score in random_stretches(ratios, text[low:high])]
     out.sort(key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
     return out
 
