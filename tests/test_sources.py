@@ -193,6 +193,21 @@ def test_orphans_are_counted_and_nulls_allowed(spark):
     assert rows(profile.foreign_key_report(tables, keys), "tabela", "orfaos") == [("a", 2)]
 
 
+def test_foreign_keys_of_several_types_and_tables(spark):
+    """Several keys of a table, one target of two keys, text that is no number, a frequent value, empty tables."""
+    tables = {
+        "a": spark.createDataFrame([(i, "1" if i < 50 else "x", 2 if i % 2 else None) for i in range(60)], "id int, b_id string, c_id int"),
+        "b": spark.createDataFrame([(1,), (1,), (None,)], "id int"),
+        "c": spark.createDataFrame([], "id bigint"),
+        "d": spark.createDataFrame([], "b_id int"),
+    }
+    keys = profile.infer_foreign_keys({t: df.columns for t, df in tables.items()})
+    report = profile.foreign_key_report(tables, keys)
+    assert rows(report, "tabela", "coluna", "destino", "orfaos") == [
+        ("a", "b_id", "b", 10), ("a", "c_id", "c", 30), ("d", "b_id", "b", 0)]
+    assert profile.foreign_key_report(tables, []).columns == report.columns
+
+
 def test_export_types(spark, tmp_path):
     df = spark.sql("SELECT CAST(1.5 AS DECIMAL(9,2)) AS d, DATE '2024-01-01' AS t, NULL AS n, NULL AS m")
     assert export.unportable_columns(df) == [("d", "decimal(9,2)"), ("t", "date"), ("n", "void"), ("m", "void")]

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillstar.operators.quality import orphans
-
 # Columns that hold codes, on which arithmetic makes no sense.
 CODE_NAMES = (
     "tax_id", "cpf", "cnpj", "phone", "postal_code", "barcode_ean", "series",
@@ -293,18 +292,40 @@ def infer_foreign_keys(
 
 
 def foreign_key_report(tables: Mapping[str, DataFrame], keys: Sequence[ForeignKey]) -> DataFrame:
-    """Rows and orphan rows per foreign key. NULL references nothing and is allowed. No keys give no rows."""
-    spark = SparkSession.active()
-    report = spark.range(0).select(
-        *[F.lit("").alias(c) for c in ("tabela", "coluna", "destino", "origem")], F.lit(0).cast("long").alias("orfaos"))
-    for k in keys:
-        lost = orphans(tables[k.table], k.column, tables[k.target], k.target_column)
-        row = lost.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("orfaos")).select(
-            F.lit(k.table).alias("tabela"), F.lit(k.column).alias("coluna"),
-            F.lit(k.target).alias("destino"), F.lit(k.origin).alias("origem"), "orfaos",
-        )
-        report = report.unionByName(row)
-    return report
+    """Rows and orphan rows per foreign key. NULL references nothing and is allowed. No keys give no rows.
+
+    Every table is read once for all its foreign keys and once for each column that is referred to. Values are counted
+    in the map tasks, so a frequent one travels once; they are compared as text, after a cast to the type they refer to.
+    """
+    names = ("tabela", "coluna", "destino", "origem")
+    if not keys:
+        return SparkSession.active().range(0).select(*[F.lit("").alias(c) for c in names], F.lit(0).cast("long").alias("orfaos"))
+    targets = list(dict.fromkeys((k.target, k.target_column) for k in keys))
+
+    def value(k: ForeignKey) -> Column:
+        kind = tables[k.target].schema[k.target_column].dataType
+        own = F.col(f"`{k.column}`")
+        plain = own.cast("string")
+        return plain if tables[k.table].schema[k.column].dataType == kind else F.coalesce(own.try_cast(kind).cast("string"), plain)
+
+    by_table: dict[str, list[tuple[int, ForeignKey]]] = {}
+    for i, k in enumerate(keys):
+        by_table.setdefault(k.table, []).append((i, k))
+    cells = [
+        tables[t].select(F.inline(F.array(*[
+            F.struct(F.lit(i).alias("fk"), F.lit(targets.index((k.target, k.target_column))).alias("target"), value(k).alias("value")) for i, k in own])))
+        for t, own in by_table.items()
+    ]
+    values = reduce(DataFrame.unionByName, cells).filter("value is not null").groupBy("fk", "target", "value").agg(F.count(F.lit(1)).alias("rows"))
+    known = reduce(DataFrame.unionByName, [
+        tables[t].select(F.lit(i).alias("target"), F.col(f"`{c}`").cast("string").alias("value")) for i, (t, c) in enumerate(targets)])
+    lost = values.join(known, ["target", "value"], "left_anti").select("fk", "rows")
+    # One row per key, also where nothing is lost.
+    listed = SparkSession.active().range(len(keys)).select(F.col("id").cast("int").alias("fk"), F.lit(0).cast("long").alias("rows"))
+    sums = lost.unionByName(listed).groupBy("fk").agg(F.sum("rows").alias("orfaos"))
+    label = lambda f: F.element_at(F.array(*[F.lit(f(k)) for k in keys]), F.col("fk") + 1)
+    fields = (lambda k: k.table, lambda k: k.column, lambda k: k.target, lambda k: k.origin)
+    return sums.select(*[label(f).alias(c) for c, f in zip(names, fields, strict=True)], "orfaos")
 
 
 def table_overview(profile: DataFrame) -> DataFrame:
