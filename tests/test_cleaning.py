@@ -12,7 +12,7 @@ from tillstar.functions import text
 from tillstar.functions.numbers import proportional_share
 from tillstar.operators import cleaning, quality
 from tillstar.operators.allocate import allocate
-from tillstar.operators.skew import hot_keys
+from tillstar.operators.skew import hot_keys, hot_keys_if_any
 
 
 def test_junk_tokens_become_null_and_text_is_trimmed(spark):
@@ -94,8 +94,19 @@ def test_one_order_with_most_lines_is_split_and_still_exact(spark):
     heads = lines.select("o").distinct().withColumn("amount", F.lit("123.45").cast("decimal(18,2)"))
     split = allocate(lines, heads, "o", "v", "amount", ["id"], hot=hot_keys(lines, ["o"], 500))
     whole = allocate(lines, heads, "o", "v", "amount", ["id"])
-    assert rows(split) == rows(whole)
+    found = allocate(lines, heads, "o", "v", "amount", ["id"], hot_rows=500)
+    assert rows(split) == rows(whole) == rows(found)
     assert quality.allocation_differences(split, heads, "o", "allocated", "amount").count() == 0
+    counted = found.withColumn("task", F.spark_partition_id()).filter("o = 1").groupBy("task").count()
+    assert counted.agg(F.max("count")).first()[0] < n - 100
+
+
+def test_hot_keys_are_looked_for_only_in_larger_tables(spark):
+    df = spark.createDataFrame([(1,), (1,), (1,), (2,), (None,), (None,), (None,)], "k int")
+    assert hot_keys_if_any(df, ["k"], 7) is None
+    assert hot_keys_if_any(df, ["k"], 3) is None
+    assert rows(hot_keys_if_any(df, ["k"], 2)) == [(1, 2)]
+    assert hot_keys_if_any(df.limit(0), ["k"], 0) is None
 
 
 def test_allocation_is_the_same_split_or_not(spark):

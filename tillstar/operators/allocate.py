@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillstar.functions.numbers import MONEY, proportional_share
-from tillstar.operators.skew import PIECE, join_in_pieces
+from tillstar.operators.skew import HOT_GROUP_ROWS, PIECE, hot_keys_if_any, join_in_pieces
 
 # Decimal places that a column of doubles is taken to have.
 DOUBLE_SCALE = 6
@@ -31,6 +31,7 @@ def allocate(
     line_id: Sequence[str],
     name: str = "allocated",
     hot: DataFrame | None = None,
+    hot_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """``lines`` with the part of their header's ``amount`` that falls to each of them.
 
@@ -40,11 +41,14 @@ def allocate(
     of lines that agree in everything only one is chosen. Headers whose lines sum to zero give everything to
     that line. ``headers`` has one row per ``key``; lines without a header are left out.
 
-    The lines are shuffled once, to meet their header, and the windows run on that partitioning. Keys with
-    more lines than a task should hold are named by the caller in ``hot`` (see ``skew.hot_keys``): their lines are
-    dealt to pieces by content, and their totals come from map-side aggregates over these lines alone. The
-    result is the same with any ``hot``, down to the line that takes the left-over.
+    The lines are shuffled once, to meet their header, and the windows run on that partitioning. Lines of keys
+    with more than ``hot_rows`` lines are dealt to pieces by content, and their totals come from map-side aggregates
+    over these lines alone. Such keys are looked for when this is called, in tables of more rows than that, unless the
+    caller knows them (``hot``, see ``skew.hot_keys``). The result is the same with any ``hot`` and ``hot_rows``,
+    down to the line that takes the left-over.
     """
+    if hot is None:
+        hot = hot_keys_if_any(lines, [key], hot_rows)
     part_scale, amount_scale = _scale(lines, value), _scale(headers, amount)
     part = F.coalesce(F.col(value).cast(f"decimal(28,{part_scale})"), F.lit(0).cast(f"decimal(28,{part_scale})"))
     content = F.xxhash64(*[F.col(f"`{c}`") for c in lines.columns])

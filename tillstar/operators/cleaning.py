@@ -106,7 +106,7 @@ def clean_orders(orders: DataFrame, as_of: datetime) -> DataFrame:
 
 
 def clean_items(
-    items: DataFrame, orders: DataFrame, variants: DataFrame, hot: DataFrame | None = None
+    items: DataFrame, orders: DataFrame, variants: DataFrame, hot: DataFrame | None = None, hot_rows: int = HOT_GROUP_ROWS
 ) -> DataFrame:
     """Order lines with their part of the order discount, cost and margins.
 
@@ -123,7 +123,7 @@ def clean_items(
     )
     allocated = allocate(
         lines, orders, "order_id", "valor_linha", "desconto", ["order_item_id"],
-        name="desconto_rateado", hot=hot,
+        name="desconto_rateado", hot=hot, hot_rows=hot_rows,
     )
     cost = F.col("quantidade").cast("decimal(12,0)") * F.col("cost_price").cast(MONEY)
     gross = F.round(F.col("valor_linha") - cost, 2).cast(MONEY)

@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillstar.session import kept_table
+
 # A key with more rows than this is spread over ceil(rows / HOT_GROUP_ROWS) pieces. The set of
 # such keys has at most (table rows / HOT_GROUP_ROWS) entries, which is what bounds every
 # broadcast of it: a trillion rows give at most half a million keys.
@@ -31,6 +33,17 @@ def hot_keys(rows: DataFrame, keys: Sequence[str], hot_rows: int = HOT_GROUP_ROW
     return sizes.select(*keys, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias(_PIECES))
 
 
+def hot_keys_if_any(rows: DataFrame, keys: Sequence[str], hot_rows: int = HOT_GROUP_ROWS) -> DataFrame | None:
+    """``hot_keys`` as a kept table, or None where no key is hot. NULL keys are left out.
+
+    A table of up to ``hot_rows`` rows has no hot key, so its keys are counted only beyond that. Both counts run when this is called.
+    """
+    if rows.select(*keys).count() <= hot_rows:
+        return None
+    found = kept_table(hot_keys(rows.select(*keys).dropna(), keys, hot_rows), "hot-keys")
+    return None if found.isEmpty() else found
+
+
 def join_in_pieces(
     rows: DataFrame, groups: DataFrame, hot: DataFrame, keys: Sequence[str], null_safe: bool = False,
     content: str | None = None,

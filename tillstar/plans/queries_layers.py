@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tillstar.operators import calendar, quality, star
+from tillstar.operators.allocate import allocate
 from tillstar.plans.oracle_base import dbl, month, over_ctes, ts, weekday
 from tillstar.plans.registry import ELITE_SIZE, Context, query
 
@@ -34,6 +35,31 @@ _table("silver_returns", "silver", "devolucoes",
 _table("silver_stock", "silver", "estoque",
        f"SELECT product_variant_id, location_id, {dbl('quantidade_em_maos')}, ponto_de_reposicao, updated_at FROM s_estoque")
 
+# Every third order is one order here, which so has a third of all lines; orders of more lines than this are split.
+HOT_LINES = 1000
+
+
+@query("allocation_over_hot_order", over_ctes(
+    "SELECT id AS order_item_id, order_id, CAST(line_total AS DOUBLE) AS valor_linha, CAST((share + CASE WHEN rn = 1 THEN d - "
+    "sum(share) OVER (PARTITION BY order_id) ELSE 0 END) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(18,2))::DOUBLE AS desconto_rateado FROM h_shares", """
+h_heads AS (SELECT CASE WHEN order_id % 3 = 0 THEN 0 ELSE order_id END AS order_id, sum(desconto) AS desconto FROM s_pedidos GROUP BY 1),
+h_items AS (SELECT id, CASE WHEN order_id % 3 = 0 THEN 0 ELSE order_id END AS order_id, line_total FROM r_items),
+h_cents AS (
+  SELECT i.*, CAST(p.desconto * 100 AS HUGEINT) AS d, CAST(i.line_total * 100 AS HUGEINT) AS l,
+         CAST(sum(i.line_total) OVER (PARTITION BY i.order_id) * 100 AS HUGEINT) AS w
+  FROM h_items i JOIN h_heads p ON p.order_id = i.order_id),
+h_shares AS (
+  SELECT *, CASE WHEN w = 0 THEN 0 ELSE (2 * d * l + w) // (2 * w) END AS share,
+         row_number() OVER (PARTITION BY order_id ORDER BY line_total DESC, id) AS rn
+  FROM h_cents)"""))
+def allocation_over_hot_order(c: Context):
+    merged = F.when(F.col("order_id") % 3 == 0, 0).otherwise(F.col("order_id")).alias("order_id")
+    lines = c.raw["order_items"].select(F.col("id").alias("order_item_id"), merged, F.col("line_total").alias("valor_linha"))
+    heads = c.silver["pedidos"].select(merged, "desconto").groupBy("order_id").agg(F.sum("desconto").alias("desconto"))
+    return allocate(lines, heads, "order_id", "valor_linha", "desconto", ["order_item_id"], "desconto_rateado", hot_rows=HOT_LINES).select(
+        "order_item_id", "order_id", F.col("valor_linha").cast("double"), F.col("desconto_rateado").cast("double"))
+
+
 _table("gold_dim_date", "gold", "dim_data",
        f"SELECT {ts('data')}, num_dia_semana, dia_semana, ano, num_mes, mes, ano_mes, num_trimestre, trimestre, "
        "eh_fim_de_semana, eh_futuro FROM g_dim_data")

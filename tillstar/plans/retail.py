@@ -37,7 +37,7 @@ def silver(
         "locais": lambda: cleaning.clean_locations(raw["locations"]),
         "pedidos": lambda: cleaning.clean_orders(raw["orders"], as_of),
         "itens_pedido": lambda: cleaning.clean_items(
-            raw["order_items"], tables["pedidos"], tables["variantes"], hot_orders),
+            raw["order_items"], tables["pedidos"], tables["variantes"], hot_orders, hot_rows),
         "pagamentos": lambda: cleaning.clean_payments(raw["payments"]),
         "devolucoes": lambda: cleaning.clean_returns(raw["returns"], raw["return_items"]),
         "estoque": lambda: cleaning.clean_stock(raw["stock_levels"]),
