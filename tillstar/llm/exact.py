@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.llm.common import stored
+from tillstar.llm.common import each_copy, stored
 
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 
@@ -40,14 +40,19 @@ def exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
 
     Texts are equal when identical without ASCII white space; null counts as empty, and empty texts form
     a group like any other. Of a group the row with the most code points stays, then the one with the
-    smallest id; a null id comes last. Rows that repeat id and length within a group are one document seen
-    twice, and share its flag. An empty table gives an empty result. Other columns are not looked at.
+    smallest id; a null id comes last. Of rows that repeat id and length within a group exactly one stays.
+    An empty table gives an empty result. Other columns are not looked at.
 
     The rows meet the (stored) groups in an equi-join whose both sides are plain exchanges, so that
-    adaptive execution can split the partition of a hot group.
+    adaptive execution can split the partition of a hot group. Rows that could all stay are the same row of
+    the result, so they are counted, in the map tasks first, and given back copy by copy.
     """
     rows = content(docs, doc_id, text)
     groups = stored(duplicate_classes(rows), "exact-groups")
     joined = rows.drop("body").join(groups, ["hash", "text_sha256"])
     kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("chars") == F.col("keep_chars"))
-    return joined.select("doc_id", "keep_id", "group_size", kept.alias("kept"), "text_sha256")
+    judged = stored(joined.select("doc_id", "keep_id", "group_size", kept.alias("kept"), "text_sha256"), "exact-rows")
+    tied = F.col("kept") & (F.col("group_size") > 1)
+    first = judged.filter(tied).groupBy("doc_id", "keep_id", "group_size", "text_sha256").agg(F.count(F.lit(1)).alias("n"))
+    copies = each_copy(first, "n", "copy").withColumn("kept", F.col("copy") == 0)
+    return judged.filter(~tied).unionByName(copies.select(*judged.columns))

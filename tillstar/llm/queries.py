@@ -73,9 +73,10 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_exact_dedup", """
 WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS chars,
                   regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', '', 'g') AS body FROM documents),
-g AS (SELECT body, count(*) AS group_size, first(doc_id ORDER BY chars DESC, doc_id) AS keep_id FROM d GROUP BY body)
-SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, sha256(d.body) AS text_sha256
-FROM d JOIN g USING (body)""")
+n AS (SELECT *, row_number() OVER (PARTITION BY body ORDER BY chars DESC, doc_id NULLS LAST) AS place FROM d),
+g AS (SELECT body, count(*) AS group_size, max(doc_id) FILTER (place = 1) AS keep_id FROM n GROUP BY body)
+SELECT n.doc_id, g.keep_id, g.group_size, n.place = 1 AS kept, sha256(n.body) AS text_sha256
+FROM n JOIN g USING (body)""")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, sf_dir, "documents"))
 
