@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tillstar.llm.common import stored
+from tillstar.llm.common import each_copy, stored
 
 # Buckets of one histogram pass. Two passes, over position and then over a hash within one position, place a cut
 # to within a 4096th of the bucket it falls into, whatever the data.
@@ -157,14 +157,16 @@ def document_shards(docs: DataFrame, shards: int | None = None, target_bytes: in
     """All documents in shards of nearly equal bytes: ``doc_id, size, text_crc32, shard, slot``.
 
     The dimensions are source, language, length and id. The size of a row is the UTF-8 bytes of its text
-    (null: none) plus 8. Rows with the same id and text stay together.
+    (null: none) plus 8. Rows that are equal in all of these are counted and told apart by the number of the
+    copy, so that they part like any others. No rows give no shards.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     meta = docs.select(
         "doc_id", (F.octet_length(text) + F.lit(8)).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
         ordinal(F.col("source").cast("string")).alias("_source"), ordinal(F.col("lang").cast("string")).alias("_lang"),
         F.log2(F.octet_length(text) + F.lit(1.0)).alias("_length"), F.col("doc_id").cast("double").alias("_id"))
-    meta = stored(meta, "shard-metadata")
-    identity = ["doc_id", "text_crc32", "size"]
+    counted = stored(meta.groupBy(*meta.columns).agg(F.count(F.lit(1)).alias("_n")), "shard-metadata")
+    identity = ["doc_id", "text_crc32", "size", "_copy"]
+    meta = each_copy(counted, "_n", "_copy")
     placed = kd_tree_shards(meta, "size", ["_source", "_lang", "_length", "_id"], identity, shards, target_bytes)
-    return with_slots(placed.select(*identity, "shard"), identity)
+    return with_slots(placed.select(*identity, "shard"), identity).drop("_copy")
