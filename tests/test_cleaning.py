@@ -163,3 +163,27 @@ def test_checks_name_what_failed(spark):
     quality.require(quality.count_is(df, 3, "rows"))
     found = quality.relationship(df, "k", spark.createDataFrame([(2,)], "k int"), "k", "r").first()
     assert (found["orfaos"], found["chaves_repetidas"], found["chaves_nulas"]) == (2, 0, 0)
+
+
+def test_table_checks_in_one_pass(spark):
+    df = spark.createDataFrame(
+        [(1, "a", True, "1.10"), (1, "a", False, "2.20"), (1, "b", None, None), (None, "a", True, "3.30"), (2, None, False, "0.40")],
+        "k int, j string, flag boolean, v string").withColumn("v", F.col("v").cast("decimal(18,2)"))
+    got = {r["check"]: (str(r["expected"]), str(r["actual"]), r["ok"]) for r in quality.table_checks(
+        df, "t", ["k", "j"], rows=5, counts={"flagged": (F.col("flag"), 1)}, totals={"sum": ("v", F.lit(7))}).collect()}
+    assert got == {"t: key": ("0.00", "3.00", False), "t: rows": ("5.00", "5.00", True), "flagged": ("1.00", "2.00", False),
+                   "sum": ("7.00", "7.00", True)}
+    empty = quality.table_checks(df.limit(0), "t", ["k"], rows=0, counts={"flagged": (F.col("flag"), 0)}, totals={"sum": ("v", None)})
+    assert {(r["check"], r["ok"]) for r in empty.collect()} == {("t: key", True), ("t: rows", True), ("flagged", True), ("sum", True)}
+
+
+def test_allocation_checks_agree_with_the_single_ones(spark):
+    lines = spark.createDataFrame([(1, 3.0), (1, 2.0), (2, 1.0), (3, 4.0), (None, 0.5), (5, None), (6, 2.0)], "k int, a double")
+    heads = spark.createDataFrame([(1, 5.0), (2, 1.5), (4, 9.0), (5, 1.0), (6, None), (None, 7.0)], "k int, d double")
+    lines, heads = (df.withColumn(c, F.col(c).cast("decimal(18,2)")) for df, c in ((lines, "a"), (heads, "d")))
+    both = {r["check"]: (r["expected"], r["actual"]) for r in quality.allocation_checks(lines, heads, "k", "a", "d", "each", "total").collect()}
+    each = quality.allocation_differences(lines, heads, "k", "a", "d").count()
+    total = quality.allocation_reconciles(lines, heads, "k", "a", "d", "total").first()
+    assert both == {"each": (0, each), "total": (total["expected"], total["actual"])} and each == 1
+    none = quality.allocation_checks(lines.limit(0), heads, "k", "a", "d", "each", "total").collect()
+    assert all(r["ok"] for r in none)

@@ -111,6 +111,58 @@ def allocation_reconciles(
     return _row(lines, check, expected, F.sum(allocated))
 
 
+def _exploded(one: DataFrame, checks: Sequence[tuple[str, Column, Column]]) -> DataFrame:
+    """A check per row from one row of numbers; each is its name, what is expected, what is so."""
+    wide = "decimal(28,2)"
+    numbers = [x.cast(wide).alias(f"_{side}{i}") for i, (_, e, a) in enumerate(checks) for side, x in (("e", e), ("a", a))]
+    cells = F.array(*[F.struct(F.lit(name).alias("check"), F.col(f"_e{i}").alias("expected"), F.col(f"_a{i}").alias("actual"))
+                      for i, (name, _, _) in enumerate(checks)])
+    rows = one.select(*numbers).select(F.explode(cells).alias("c")).select("c.*")
+    return rows.withColumn("ok", F.col("expected").eqNullSafe(F.col("actual")))
+
+
+def table_checks(
+    df: DataFrame, name: str, keys: Sequence[str], rows: int | Column | None = None,
+    counts: Mapping[str, tuple[Column, int | Column]] | None = None, totals: Mapping[str, tuple[str, object]] | None = None,
+) -> DataFrame:
+    """All checks of one table in one pass: its key, number of rows, rows that meet a condition, sums of columns.
+
+    Rows are added up per key in the map tasks, and the keys after the only shuffle. A key with a NULL counts as
+    broken. An empty table has no rows and no broken key, and NULL totals.
+    """
+    counts, totals = dict(counts or {}), dict(totals or {})
+    groups = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.count_if(c).alias(f"_c{i}") for i, (c, _) in enumerate(counts.values())],
+        *[F.sum(c).alias(f"_t{i}") for i, (c, _) in enumerate(totals.values())])
+    broken = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys], F.col("_rows") > 1)
+    added = lambda c: F.coalesce(F.sum(c), F.lit(0)).alias(c)
+    one = groups.agg(
+        F.count_if(broken).alias("_broken"), added("_rows"), *[added(f"_c{i}") for i in range(len(counts))],
+        *[F.round(F.sum(f"_t{i}"), 2).alias(f"_t{i}") for i in range(len(totals))])
+    checks = [(f"{name}: key", F.lit(0), F.col("_broken"))]
+    if rows is not None:
+        checks.append((f"{name}: rows", F.lit(rows), F.col("_rows")))
+    checks += [(check, F.lit(expected), F.col(f"_c{i}")) for i, (check, (_, expected)) in enumerate(counts.items())]
+    checks += [(check, F.lit(expected), F.col(f"_t{i}")) for i, (check, (_, expected)) in enumerate(totals.items())]
+    return _exploded(one, checks)
+
+
+def allocation_checks(
+    lines: DataFrame, headers: DataFrame, key: str, allocated: str, amount: str, each: str, total: str, tolerance: str = "0.01"
+) -> DataFrame:
+    """``allocation_differences`` (check ``each``) and ``allocation_reconciles`` (``total``) in one pass over both sides.
+
+    Lines are added up per key before they meet their header, and amounts of a repeated key are added up too.
+    Lines without a header count in the allocated total only, headers without lines not at all.
+    """
+    sums = lines.groupBy(key).agg(F.sum(allocated).alias("_allocated"))
+    amounts = headers.filter(F.col(key).isNotNull()).groupBy(key).agg(F.sum(amount).alias("_amount"))
+    one = sums.join(amounts, key, "left").agg(
+        F.count_if(F.abs(F.col("_allocated") - F.col("_amount")) > F.lit(tolerance).cast("decimal(18,2)")).alias("_differ"),
+        F.sum("_allocated").alias("_allocated"), F.sum("_amount").alias("_amount"))
+    return _exploded(one, [(each, F.lit(0), F.col("_differ")), (total, F.col("_amount"), F.col("_allocated"))])
+
+
 def all_checks(checks: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), checks)
 
@@ -123,32 +175,22 @@ def require(checks: DataFrame) -> None:
 
 
 def silver_checks(silver: Mapping[str, DataFrame], orders: int | Column | None = None, items: int | Column | None = None) -> DataFrame:
-    """The checks that decide whether the cleaned layer counts as built."""
-    lines, heads = silver["itens_pedido"], silver["pedidos"]
-    checks = [
-        key_is_unique(silver["categorias"], ["category_id"], "categorias: key"),
-        key_is_unique(silver["produtos"], ["product_id"], "produtos: key"),
-        key_is_unique(silver["variantes"], ["product_variant_id"], "variantes: key"),
-        key_is_unique(silver["clientes"], ["customer_id"], "clientes: key"),
-        key_is_unique(silver["locais"], ["location_id"], "locais: key"),
-        key_is_unique(heads, ["order_id"], "pedidos: key"),
-        key_is_unique(lines, ["order_item_id"], "itens_pedido: key"),
-        key_is_unique(silver["pagamentos"], ["payment_id"], "pagamentos: key"),
-        key_is_unique(silver["devolucoes"], ["return_item_id"], "devolucoes: key"),
-        key_is_unique(silver["estoque"], ["product_variant_id", "location_id"], "estoque: key"),
-        none_of(allocation_differences(lines, heads, "order_id", "desconto_rateado", "desconto"),
-                F.lit(True), "orders whose discount is not allocated to the cent"),
-        allocation_reconciles(lines, heads, "order_id", "desconto_rateado", "desconto", "allocated discount total"),
-    ]
-    if orders is not None:
-        checks.append(count_is(heads, orders, "pedidos: rows"))
-    if items is not None:
-        checks.append(count_is(lines, items, "itens_pedido: rows"))
-    return all_checks(checks)
+    """The checks that decide whether the cleaned layer counts as built: a pass per table, and one of lines with orders."""
+    keys = {
+        "categorias": ["category_id"], "produtos": ["product_id"], "variantes": ["product_variant_id"],
+        "clientes": ["customer_id"], "locais": ["location_id"], "pedidos": ["order_id"], "itens_pedido": ["order_item_id"],
+        "pagamentos": ["payment_id"], "devolucoes": ["return_item_id"], "estoque": ["product_variant_id", "location_id"],
+    }
+    rows = {"pedidos": orders, "itens_pedido": items}
+    return all_checks([
+        *[table_checks(silver[t], t, k, rows.get(t)) for t, k in keys.items()],
+        allocation_checks(silver["itens_pedido"], silver["pedidos"], "order_id", "desconto_rateado", "desconto",
+                          "orders whose discount is not allocated to the cent", "allocated discount total"),
+    ])
 
 
 def gold_checks(gold: Mapping[str, DataFrame], elite: int, expected: Mapping[str, object] | None = None) -> DataFrame:
-    """Keys of the star, the size of the elite group, and control totals where they are known.
+    """Keys of the star, the size of the elite group, and control totals where they are known: a pass per table.
 
     ``expected`` may hold ``orders``, ``items``, ``revenue``, ``discount``, ``store_days`` and
     ``empty_days``.
@@ -161,19 +203,14 @@ def gold_checks(gold: Mapping[str, DataFrame], elite: int, expected: Mapping[str
         "fct_venda_diaria_pos": ["data"], "fct_devolucao": ["return_item_id"],
         "fct_estoque_atual": ["product_variant_id", "location_id"],
     }
-    daily = gold["fct_venda_diaria_pos"]
-    checks = [key_is_unique(gold[t], k, f"{t}: key") for t, k in keys.items()]
-    checks.append(count_is(gold["dim_cliente"].filter("flag_elite"), elite, "elite customers"))
-    if "orders" in e:
-        checks.append(count_is(gold["fct_pedido"], e["orders"], "fct_pedido: rows"))
-    if "items" in e:
-        checks.append(count_is(gold["fct_item_pedido"], e["items"], "fct_item_pedido: rows"))
-    if "revenue" in e:
-        checks.append(total_is(gold["fct_pedido"], "total", e["revenue"], "revenue"))
-    if "discount" in e:
-        checks.append(total_is(gold["fct_item_pedido"], "desconto_rateado", e["discount"], "discount"))
-    if "store_days" in e:
-        checks.append(count_is(daily, e["store_days"], "store days"))
-    if "empty_days" in e:
-        checks.append(count_is(daily.filter("dia_sem_venda"), e["empty_days"], "days without sale"))
-    return all_checks(checks)
+    rows = {"fct_pedido": e.get("orders"), "fct_item_pedido": e.get("items")}
+    counts = {
+        "dim_cliente": {"elite customers": (F.col("flag_elite"), elite)},
+        "fct_venda_diaria_pos": {
+            check: (condition, e[k]) for k, check, condition in (
+                ("store_days", "store days", F.lit(True)), ("empty_days", "days without sale", F.col("dia_sem_venda"))) if k in e},
+    }
+    totals = {
+        t: {k: (column, e[k])} for t, k, column in (
+            ("fct_pedido", "revenue", "total"), ("fct_item_pedido", "discount", "desconto_rateado")) if k in e}
+    return all_checks([table_checks(gold[t], t, k, rows.get(t), counts.get(t), totals.get(t)) for t, k in keys.items()])

@@ -286,15 +286,54 @@ def cosine_matrix_suppliers(c: Context):
     return similarity.cosine_rows(similarity.interactions(bought, "o_custkey", "l_suppkey"), references)
 
 
-@query("cosine_matrix_checks", _sql(
-    "SELECT count(*) AS pares, 0::BIGINT AS fora_do_intervalo, 0::BIGINT AS diagonal_diferente_de_1, 0::BIGINT AS referencias_sem_diagonal, "
-    "0::BIGINT AS assimetricas FROM (SELECT DISTINCT a.product_id, b.product_id FROM m_pares a JOIN m_pares b "
-    f"ON a.customer_id = b.customer_id WHERE a.product_id IN (SELECT id FROM r_products WHERE name IN {_REFERENCES}))"))
+def _violations(cosines: str, references: str, bought: str) -> str:
+    """SQL that counts violations in a relation of (reference, item, similaridade)."""
+    return (
+        f"SELECT count(*) AS pares, count(*) FILTER (WHERE similaridade < 0 OR similaridade > 1 + 1e-9) AS fora_do_intervalo, "
+        "count(*) FILTER (WHERE reference = item AND abs(similaridade - 1) > 1e-9) AS diagonal_diferente_de_1, "
+        f"{bought} - count(*) FILTER (WHERE reference = item) AS referencias_sem_diagonal, "
+        f"(SELECT count(*) FROM {cosines} a LEFT JOIN {cosines} b ON a.reference = b.item AND a.item = b.reference "
+        f"WHERE a.item IN {references} AND (b.similaridade IS NULL OR abs(a.similaridade - b.similaridade) >= 1e-12)) AS assimetricas "
+        f"FROM {cosines}")
+
+
+_NAMED = f"(SELECT id FROM r_products WHERE name IN {_REFERENCES})"
+
+
+@query("cosine_matrix_checks", _sql(_violations(
+    "(SELECT a.product_id AS reference, b.product_id AS item, count(*) / sqrt(CAST(any_value(x.n) AS DOUBLE) * any_value(y.n)) AS similaridade "
+    "FROM m_pares a JOIN m_pares b ON a.customer_id = b.customer_id JOIN m_pop x ON x.product_id = a.product_id "
+    f"JOIN m_pop y ON y.product_id = b.product_id WHERE a.product_id IN {_NAMED} GROUP BY 1, 2)",
+    _NAMED, f"(SELECT count(*) FROM m_pop WHERE product_id IN {_NAMED})")))
 def cosine_matrix_checks(c: Context):
     references = c.raw["products"].filter(F.col("name").isin(*_REFERENCES)).select(F.col("id").alias("item"))
     return similarity.cosine_checks(similarity.cosine_rows(c.pairs, references), references, c.pairs)
 
 
+_PLANTED_COSINES = (
+    "planted AS (SELECT reference, item, CASE WHEN item % 7 = 6 THEN similaridade + 1 WHEN item % 7 = 5 THEN -similaridade "
+    "WHEN reference = 1 AND item = 1 THEN 0.5 WHEN reference = 1 AND item = 3 THEN similaridade / 2 ELSE similaridade END AS similaridade "
+    "FROM cosines WHERE NOT (reference = 2 AND item = 2))")
+
+
+@query("cosine_checks_planted", (
+    f"WITH {_SUPPLIER_PAIRS}, cosines AS (SELECT a.s AS reference, b.s AS item, "
+    "count(*) / sqrt(CAST(any_value(x.n) AS DOUBLE) * any_value(y.n)) AS similaridade FROM t_pares a JOIN t_pares b ON a.c = b.c "
+    f"JOIN t_pop x ON x.s = a.s JOIN t_pop y ON y.s = b.s WHERE a.s IN {_SUPPLIERS} GROUP BY 1, 2), {_PLANTED_COSINES} "
+    + _violations("planted", str(_SUPPLIERS), f"(SELECT count(*) FROM t_pop WHERE s IN {_SUPPLIERS})")))
+def cosine_checks_planted(c: Context):
+    """The checks of the cosines over rows in which each of them must fail."""
+    bought = c.driver["lineitem"].join(c.driver["orders"], F.col("l_orderkey") == F.col("o_orderkey"))
+    pairs = similarity.interactions(bought, "o_custkey", "l_suppkey")
+    references = c.driver["supplier"].select(F.col("s_suppkey").alias("item")).filter(F.col("item").isin(*_SUPPLIERS))
+    at = lambda r, i: (F.col("reference") == r) & (F.col("item") == i)
+    value = F.col("similaridade")
+    planted = F.when(F.col("item") % 7 == 6, value + 1).when(F.col("item") % 7 == 5, -value) \
+        .when(at(1, 1), 0.5).when(at(1, 3), value / 2).otherwise(value)
+    rows = similarity.cosine_rows(pairs, references).filter(~at(2, 2)).withColumn("similaridade", planted)
+    return similarity.cosine_checks(rows, references, pairs)
+
+
 @query("similarity_spread", _sql(
     "SELECT count(*) AS itens, round(avg(similaridade), 12) AS media, round(stddev_samp(similaridade), 12) AS desvio, max(similaridade) AS maximo, "
     "(SELECT count(DISTINCT order_id) FROM m_items WHERE product_id = (SELECT id FROM m_ref)) AS pedidos_da_referencia FROM m_cos"))
