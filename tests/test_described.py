@@ -168,6 +168,25 @@ def test_precision_against_a_loop(spark):
     assert (empty.clientes, empty.julgados, empty.precisao_modelo) == (0, 0, None)
 
 
+def test_precision_copies_no_list_for_a_customer(spark, monkeypatch):
+    """However many items are recommended, no stored table outgrows the purchases."""
+    rng = random.Random(4)
+    day = datetime(2020, 1, 1)
+    purchases = [(c, rng.randrange(12), 10 * c + o, day + timedelta(days=o)) for c in range(40) for o in range(4)]
+    df = spark.createDataFrame(purchases, "customer_id long, product_id long, order_id long, data_pedido timestamp")
+    sizes, keep = [], recommend.kept_table
+
+    def counted(frame, name):
+        kept = keep(frame, name)
+        sizes.append(kept.count())
+        return kept
+
+    monkeypatch.setattr(recommend, "kept_table", counted)
+    got = recommend.precision_at_k(df, spark.createDataFrame([(1,), (2,)], "item long"), 500).first()
+    assert (got.julgados, got.acertos_modelo, got.acertos_popularidade) == plain_precision(purchases, {1, 2}, 500)[4:]
+    assert got.julgados > 0 and max(sizes) <= len(purchases)
+
+
 PEOPLE = "id long, tax_id string, name string, email string, created_at timestamp"
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstar.functions.numbers import ratio
@@ -10,6 +10,9 @@ from tillstar.operators.ranking import number_all_rows
 from tillstar.operators.similarity import cosine_rows, interactions
 from tillstar.session import kept_table
 
+# Positions of one list that are broadcast; a longer one is shuffled.
+BROADCAST_POSITIONS = 200_000
+
 
 def basket_rules(lines: DataFrame, references: DataFrame, min_orders: int, order: str = "order_id", item: str = "product_id") -> DataFrame:
     """Rules ``reference -> item`` from the orders that hold both: counts, support, confidence and lift.
@@ -50,11 +53,16 @@ def last_orders(purchases: DataFrame, customer: str = "customer_id", order: str
         F.max(F.struct("_ts", "order_id"))["order_id"].alias("held_order"), F.count_distinct("order_id").alias("orders"))
 
 
-def _best(candidates: DataFrame, bought: DataFrame, k: int) -> DataFrame:
-    """The first ``k`` items by position that a customer has not bought. ``candidates`` reach k beyond what it bought."""
-    new = candidates.join(bought, ["customer_id", "item"], "left_anti")
-    order = Window.partitionBy("customer_id").orderBy("position")
-    return new.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= k).select("customer_id", "item")
+def _hits(asked: DataFrame, lists: DataFrame, on: list[str], k: int) -> Column:
+    """Held-out items among the first ``k`` that a customer does not own, in ``lists`` (``on``, position from 1), as a scalar.
+
+    ``asked`` has the items of a customer, owned or held. A held item at position p with b owned ones before it is the
+    (p - b)th new one, so only positions up to k beyond the number of owned items (``_s``) count, and no list is
+    copied for a customer.
+    """
+    placed = asked.join(lists, on).filter(F.col("position") <= F.col("_s") + k)
+    owned = F.count_if(~F.col("held")).over(Window.partitionBy("customer_id").orderBy("position"))
+    return placed.withColumn("_owned", owned).agg(F.count_if(F.col("held") & (F.col("position") - F.col("_owned") <= k))).scalar()
 
 
 def precision_at_k(purchases: DataFrame, references: DataFrame, k: int = 5, customer: str = "customer_id", item: str = "product_id",
@@ -67,8 +75,9 @@ def precision_at_k(purchases: DataFrame, references: DataFrame, k: int = 5, cust
     one) and recommends the items most similar to it, the baseline those with most buyers; neither recommends what the
     customer has. Precision divides by k, also where there are fewer items. Equal values go to the smaller item.
 
-    A customer with s items looks at the first k + s positions of a list, which always leaves k new ones if the list has
-    them, so the work is linear in the pairs of customers and items.
+    Owned and held items learn their positions and are counted (``_hits``), so the work is linear in the pairs of
+    customers and items, whatever k is. Tables of customers and their items are shuffled, never broadcast: they are
+    stored in far less room than they take in memory.
     """
     rows = purchases.select(F.col(customer).alias("customer_id"), F.col(item).alias("item"), F.col(order).alias("order_id"), F.col(ts).alias("_ts")) \
         .filter("customer_id is not null and item is not null and order_id is not null")
@@ -82,7 +91,12 @@ def precision_at_k(purchases: DataFrame, references: DataFrame, k: int = 5, cust
     named = references.select("item").distinct()
     latest = history.join(named, "item", "left_semi").groupBy("customer_id").agg(
         F.max(F.struct("_ts", (-F.col("item")).alias("_i")))["_i"].alias("_i")).select("customer_id", (-F.col("_i")).alias("reference"))
-    judged = kept_table(latest.join(sizes, "customer_id").select("customer_id", "reference", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_s") + k)).alias("position")), "judged")
+    judged = kept_table(latest.join(sizes, "customer_id").select("customer_id", "reference", "_s"), "judged")
+    new = held.join(bought.hint("merge"), ["customer_id", "item"], "left_anti")
+    items = bought.select("customer_id", "item", F.lit(False).alias("held")).unionByName(new.withColumn("held", F.lit(True)))
+    asked = kept_table(items.join(judged.hint("merge"), "customer_id"), "asked")
+    # Nobody looks beyond this position of a list.
+    reach = (judged.agg(F.max("_s")).first()[0] or 0) + k
 
     popular = number_all_rows(bought.groupBy("item").agg(F.count(F.lit(1)).alias("n")), [F.desc("n"), F.asc("item")])
     similar = cosine_rows(bought, named).filter(F.col("reference") != F.col("item"))
@@ -90,15 +104,15 @@ def precision_at_k(purchases: DataFrame, references: DataFrame, k: int = 5, cust
     listed = kept_table(listed, "similar-lists")
     starts = listed.groupBy("reference").agg(F.min("_place").alias("_first"))
     listed = listed.join(starts, "reference").select("reference", "item", (F.col("_place") - F.col("_first") + 1).alias("position"))
-
-    def hits(candidates: DataFrame):
-        found = _best(candidates.select("customer_id", "item", "position"), bought, k).join(held, ["customer_id", "item"], "left_semi")
-        return found.agg(F.count(F.lit(1))).scalar()
+    listed = listed.filter(F.col("position") <= reach).hint("merge")
+    # At most ``reach`` rows.
+    first = popular.filter(F.col("position") <= reach).select("item", "position")
+    first = F.broadcast(first) if reach <= BROADCAST_POSITIONS else first.hint("merge")
 
     counts = last.agg(F.count(F.lit(1)).alias("clientes"), F.count_if(F.col("orders") == 1).alias("sem_historico"))
-    served = judged.filter("position = 1").agg(F.count(F.lit(1))).scalar()
+    served = judged.agg(F.count(F.lit(1))).scalar()
     result = counts.select(
         F.lit(k).alias("k"), "clientes", "sem_historico", (F.col("clientes") - F.col("sem_historico") - served).alias("sem_referencia"),
-        served.alias("julgados"), hits(judged.join(listed, ["reference", "position"])).alias("acertos_modelo"),
-        hits(judged.join(popular.select("item", "position"), "position")).alias("acertos_popularidade"))
+        served.alias("julgados"), _hits(asked, listed, ["reference", "item"], k).alias("acertos_modelo"),
+        _hits(asked, first, ["item"], k).alias("acertos_popularidade"))
     return result.select("*", *[ratio(F.col(f"acertos_{m}"), F.col("julgados") * k).alias(f"precisao_{m}") for m in ("modelo", "popularidade")])
