@@ -245,6 +245,12 @@ def test_attributes(spark):
     assert vocabulary.unpack_attributes(df.limit(0), declared, "id", "nome", "valor", "seq").count() == 0
 
 
+def test_attribute_rows_are_dealt_before_they_are_sorted(spark):
+    df = spark.createDataFrame([(1, "peso", "1", 1)], "id long, nome string, valor string, seq int")
+    plan = vocabulary.unpack_attributes(df, {"peso": "double"}, "id", "nome", "valor", "seq")._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" in plan and "Aggregate" not in plan[plan.index("Exchange"):] and "Sort" not in plan[plan.index("Exchange"):]
+
+
 def test_payment_mix_adds_up_and_stays_isolated(spark):
     paid = spark.createDataFrame([("pix", 1, 10.0), ("card", 3, 30.0), ("card", 1, 50.0), (None, 1, 10.0)], "metodo string, parcelas int, valor double")
     got = metrics.mix({"fct_pagamento": paid}, ["payments", "payment_value"], ["fct_pagamento.metodo"]).collect()

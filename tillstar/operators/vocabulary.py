@@ -83,7 +83,8 @@ def unpack_attributes(rows: DataFrame, declared: Mapping[str, str], entity: str,
     Names are compared trimmed and in lower case. Of several values of one attribute the one with the largest ``order`` that
     has the declared type counts, of equal orders the smallest text. ``conflitos`` counts attributes with different typed
     values, ``invalidos`` values that have not the type, ``desconhecidos`` rows whose name is not declared (or null).
-    One aggregation whatever the number of attributes; the columns come from the list, never from the data.
+    One aggregation whatever the number of attributes; the columns come from the list, never from the data. Texts are
+    aggregated by sorting, so rows are dealt by entity first: a task sorts one partition of them, not all that it read.
     """
     attr, text = _named(rows, name), F.col(value).cast("string")
     known = attr.isin(*declared)
@@ -93,7 +94,8 @@ def unpack_attributes(rows: DataFrame, declared: Mapping[str, str], entity: str,
         pick = F.struct((-F.col(order)).alias("late"), text.alias("text"), v.alias("v"))
         parts += [F.min(F.when(v.isNotNull(), pick)).alias(f"_{n}"), (F.min(v) != F.max(v)).alias(f"_conflict_{n}"),
                   F.count_if((attr == n) & (F.trim(text) != "") & v.isNull()).alias(f"_bad_{n}")]
-    summed = rows.groupBy(F.col(entity)).agg(*parts, F.count_if(~F.coalesce(known, F.lit(False))).alias("desconhecidos"))
+    dealt = rows.select(entity, name, value, order).repartition(F.col(entity))
+    summed = dealt.groupBy(F.col(entity)).agg(*parts, F.count_if(~F.coalesce(known, F.lit(False))).alias("desconhecidos"))
     conflicts = sum((F.coalesce(F.col(f"_conflict_{n}").cast("int"), F.lit(0)) for n in declared), F.lit(0))
     invalid = sum((F.col(f"_bad_{n}") for n in declared), F.lit(0).cast("long"))
     return summed.select(entity, *[F.col(f"_{n}.v").alias(n) for n in declared], conflicts.alias("conflitos"), invalid.alias("invalidos"), "desconhecidos")
