@@ -12,18 +12,30 @@ from tillstar.plans import retail
 from tillstar.plans.oracle_base import MIN_CATEGORIES, clean, over_ctes
 from tillstar.plans.queries_layers import GOLD_KEYS, SILVER_KEYS
 from tillstar.plans.registry import ELITE_SIZE, Context, query
-from tillstar.session import shared_dir
+from tillstar.session import kept_table, shared_dir
 from tillstar.sources import export, publish
 
 _runs = count()
 
 
+def _once(checks, name: str):
+    """``checks`` of one set of stored tables, whose few rows are kept: what decides the publication is also what is reported."""
+    done = []
+
+    def check(tables):
+        if not done:
+            done.append(kept_table(checks(tables), name))
+        return done[0]
+
+    return check
+
+
 def _publish_layers(c: Context):
     """Silver published from the sources, gold from the stored silver; the stored tables and their checks."""
     root = f"{shared_dir(c.spark)}/tillstar-run/{c.spark.sparkContext.applicationId}-{next(_runs)}"
     totals = retail.control_totals(c.raw)
-    check_silver = lambda t: quality.silver_checks(t, totals["orders"], totals["items"])
-    check_gold = lambda t: quality.gold_checks(t, ELITE_SIZE, totals)
+    check_silver = _once(lambda t: quality.silver_checks(t, totals["orders"], totals["items"]), "silver-checks")
+    check_gold = _once(lambda t: quality.gold_checks(t, ELITE_SIZE, totals), "gold-checks")
     silver = publish.publish(c.spark, f"{root}/silver", c.silver, "run", check_silver)
     built = retail.gold(silver, c.raw["brands"], c.as_of, MIN_CATEGORIES, ELITE_SIZE)
     gold = publish.publish(c.spark, f"{root}/gold", {t: built[t] for t in retail.GOLD_TABLES}, "run", check_gold)
