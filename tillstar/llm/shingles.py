@@ -1,6 +1,7 @@
-"""Near duplicates by the Jaccard similarity of word shingles: MinHash bands propose pairs, the shingle sets decide.
+"""Near duplicates by the Jaccard similarity of word shingles: SimHash and MinHash propose pairs, the shingle sets decide.
 
-A band is the hash of ``ROWS`` minima; two texts of similarity j share one of ``BANDS`` with probability
+Fingerprints of the shingle sets are linked by ``simhash``'s pigeonring first. At a similarity of 0.8 most of them
+differ in more bits than its keys allow, so bands then propose what these links have not connected. A band is the hash of ``ROWS`` minima; two texts of similarity j share one of ``BANDS`` with probability
 1 - (1 - j ** ROWS) ** BANDS, which at 0.8 leaves out two pairs in a million.
 """
 
@@ -14,6 +15,7 @@ from pyspark.sql.window import Window
 
 from tillstar.llm.common import ship, small_side, stored
 from tillstar.llm.components import components
+from tillstar.llm.simhash import hash_fingerprint, similar_fingerprints
 
 ship(__name__)
 
@@ -61,7 +63,7 @@ def band_keys(hashes: np.ndarray) -> list[int]:
     return [k - (1 << 64) if k >= 1 << 63 else k for k in keys]
 
 
-SIGNATURE = pa.struct([("digest", pa.binary()), ("keys", pa.list_(pa.int64()))])
+SIGNATURE = pa.struct([("digest", pa.binary()), ("fingerprint", pa.int64()), ("keys", pa.list_(pa.int64()))])
 
 
 def _signatures(texts: pa.Array) -> pa.Array:
@@ -70,7 +72,9 @@ def _signatures(texts: pa.Array) -> pa.Array:
     out = []
     for t in texts:
         hashes = shingle_set(t.as_py())
-        out.append({"digest": xxhash.xxh128_digest(hashes.tobytes()), "keys": band_keys(hashes) if len(hashes) else []})
+        mark = hash_fingerprint(hashes)
+        out.append({"digest": xxhash.xxh128_digest(hashes.tobytes()), "fingerprint": mark - (1 << 64) if mark >= 1 << 63 else mark,
+                    "keys": band_keys(hashes) if len(hashes) else []})
     return pa.array(out, SIGNATURE)
 
 
@@ -139,27 +143,53 @@ def _joined(links: DataFrame, rounds: list[DataFrame], sets: DataFrame) -> DataF
     return links.unionByName(stored(_similar(across, sets), "shingle-links").filter("near").select("a", "b"))
 
 
-def similar_nodes(keys: DataFrame, sets_of, pair_limit: int = PAIR_LIMIT) -> DataFrame | None:
-    """Links ``a, b`` (a the smaller) between similar nodes; None if no key is shared.
+def close_nodes(prints: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` (a the smaller) of nodes whose fingerprints the pigeonring links, those of equal ones as a star.
 
-    ``keys`` has distinct ``key, node``; ``sets_of(nodes)`` gives ``node, set``. Of a key with up to ``pair_limit``
-    nodes all pairs are compared. The nodes of a fuller key are compared with its smallest ones, first one, then
+    ``prints`` has ``node, fingerprint``, a node once. The links connect all fingerprints within its distance of each
+    other, the pairs name each fingerprint by its smallest node, so they number no more than nodes and links.
+    """
+    first = stored(prints.groupBy("fingerprint").agg(F.min("node").alias("first")), "close-prints")
+    equal = prints.join(first, "fingerprint").filter("first < node").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    of = lambda c: first.select(F.col("fingerprint").alias(c), F.col("first").alias(f"_{c}"))
+    linked = similar_fingerprints(first.select("fingerprint")).join(of("a"), "a").join(of("b"), "b")
+    return equal.unionByName(linked.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")))
+
+
+def similar_nodes(keys: DataFrame, sets_of, pair_limit: int = PAIR_LIMIT, close: DataFrame | None = None) -> DataFrame | None:
+    """Links ``a, b`` (a the smaller) between similar nodes; None if no key is shared and no pair is ``close``.
+
+    ``keys`` has distinct ``key, node``; ``sets_of(nodes)`` gives ``node, set``. The pairs ``a, b`` of ``close`` are
+    compared first; keys and pairs of nodes that they connect are not looked at again. Of a key with up to ``pair_limit``
+    nodes all other pairs are compared. The nodes of a fuller key are compared with its smallest ones, first one, then
     twice as many each round; those near one of them are linked and leave the key, and those that are not quite
     near it are compared with them at the end, if nothing connects the two. So the components are those of all
     pairs, and copies of one text cost a row each.
     """
     def counted(rows: DataFrame) -> DataFrame:
         n = stored(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "band-counts")
-        return stored(rows.select("key", "node").join(small_side(n, n.count()), "key"), "band-keys")
-
-    met = counted(keys)
-    if met.isEmpty():
+        return stored(rows.select("key", "node", "root").join(small_side(n, n.count()), "key"), "band-keys")
+
+    met = counted(keys.select("key", "node", F.col("node").alias("root")))
+    wanted = met.select("node")
+    if close is not None:
+        wanted = wanted.unionByName(close.select(F.col("a").alias("node"))).unionByName(close.select(F.col("b").alias("node")))
+    wanted = wanted.distinct()
+    if wanted.isEmpty():
         return None
-    sets = stored(sets_of(met.select("node").distinct()), "shingle-sets")
+    sets = stored(sets_of(wanted), "shingle-sets")
     links, leaders, rounds = None, 1, []
+    if close is not None:
+        links = stored(_similar(close, sets).filter("near").select("a", "b"), "close-links")
+        if not links.isEmpty():
+            roots = stored(components(links), "close-roots")
+            placed = met.select("key", "node").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+            apart = placed.groupBy("key").agg(F.min("root").alias("_least"), F.max("root").alias("_most")).filter("_least < _most")
+            met = counted(placed.join(apart.select("key"), "key", "left_semi"))
     while True:
-        few, many = met.filter(F.col("n") <= pair_limit).select("key", "node"), met.filter(F.col("n") > pair_limit).select("key", "node")
-        pairs = few.withColumnRenamed("node", "a").join(few.withColumnRenamed("node", "b"), "key").filter("a < b").select("a", "b")
+        few, many = met.filter(F.col("n") <= pair_limit), met.filter(F.col("n") > pair_limit).select("key", "node", "root")
+        others = few.select("key", F.col("node").alias("b"), F.col("root").alias("_root"))
+        pairs = few.select("key", F.col("node").alias("a"), "root").join(others, "key").filter("a < b and root <> _root").select("a", "b")
         full = not many.isEmpty()
         if full:
             if leaders == 1:
@@ -191,8 +221,10 @@ def representatives(docs: DataFrame, doc_id: str, text: str = "text", pair_limit
     names one text. Texts of equal shingles are one node, however many. The result does not depend on ``pair_limit``.
     An empty table gives an empty result.
     """
-    rows = docs.select(F.col(doc_id).alias("id"), F.arrow_udf(_signatures, "struct<digest:binary,keys:array<bigint>>")(F.col(text)).alias("s")).select("id", "s.*")
-    sets = stored(rows, "signatures").groupBy("digest").agg(F.min("id").alias("id"), F.first("keys").alias("keys"))
+    signature = F.arrow_udf(_signatures, "struct<digest:binary,fingerprint:bigint,keys:array<bigint>>")
+    rows = docs.select(F.col(doc_id).alias("id"), signature(F.col(text)).alias("s")).select("id", "s.*")
+    # Of equal shingle sets fingerprint and keys are equal too.
+    sets = stored(rows, "signatures").groupBy("digest").agg(F.min("id").alias("id"), F.first("fingerprint").alias("fingerprint"), F.first("keys").alias("keys"))
     # Sorted, so that nodes are numbered in the order of ids.
     nodes = stored(sets.orderBy("id").withColumn("node", F.monotonically_increasing_id()), "shingle-nodes")
 
@@ -201,7 +233,9 @@ def representatives(docs: DataFrame, doc_id: str, text: str = "text", pair_limit
         texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(small_side(named, named.count()), "id")
         return texts.select("node", F.arrow_udf(_sets, "binary")("text").alias("set")).groupBy("node").agg(F.first("set").alias("set"))
 
-    links = similar_nodes(nodes.select("node", F.explode(F.array_distinct("keys")).alias("key")), sets_of, pair_limit)
+    keys = nodes.select("node", F.explode(F.array_distinct("keys")).alias("key"))
+    close = stored(close_nodes(nodes.select("node", "fingerprint")), "close-pairs")
+    links = similar_nodes(keys, sets_of, pair_limit, close)
     if links is None:
         return nodes.select(F.col("id").alias("keep"))
     later = stored(components(links).filter("node <> root").select("node"), "near-duplicates")

@@ -7,6 +7,8 @@ such a chain agree exactly, so they are the join key; the other chain budgets pr
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -39,13 +41,23 @@ def fingerprint(text: str | None) -> int:
         shingles = [b" ".join(words)]
     else:
         shingles = list(map(b" ".join, zip(*(words[i:] for i in range(SHINGLE)), strict=False)))
-    ones = np.zeros(BITS, dtype=np.int64)
     digest = xxhash.xxh64_intdigest
-    for at in range(0, len(shingles), HASH_CHUNK):
-        part = shingles[at:at + HASH_CHUNK]
-        h = np.fromiter((digest(s, SEED) for s in part), dtype="<u8", count=len(part))
+    parts = (shingles[at:at + HASH_CHUNK] for at in range(0, len(shingles), HASH_CHUNK))
+    return _majority((np.fromiter((digest(s, SEED) for s in part), dtype="<u8", count=len(part)) for part in parts), len(shingles))
+
+
+def _majority(parts: Iterable[np.ndarray], n: int) -> int:
+    """The bits that more than half of ``n`` hashes set."""
+    ones = np.zeros(BITS, dtype=np.int64)
+    for h in parts:
         ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return sum(1 << i for i in np.flatnonzero(2 * ones > len(shingles)).tolist())
+    return sum(1 << i for i in np.flatnonzero(2 * ones > n).tolist())
+
+
+def hash_fingerprint(hashes: np.ndarray) -> int:
+    """The 64-bit SimHash of shingles that are hashed already; 0 of none."""
+    whole = hashes.astype("<u8", copy=False)
+    return _majority((whole[at:at + HASH_CHUNK] for at in range(0, len(whole), HASH_CHUNK)), len(whole))
 
 
 # bytes.translate lowers A-Z only, and bytes.split() cuts at exactly the six ASCII white spaces.
