@@ -27,7 +27,7 @@ SEQUENCE = 2048
 END_ID = 1
 # Remainders in the pool before packing begins, and those left when it pauses for more.
 POOL_HIGH, POOL_LOW = 4096, 1024
-# Bytes that the words and chunks kept by a Python worker may take, each; later ones are still tokenized, but not kept.
+# Half the bytes that the words and chunks kept by a Python worker may take; later ones are still tokenized, but not kept.
 CACHE_BYTES = 16 << 20
 # A batch of pieces is sent on at this many rows or bytes of ids.
 ROWS_OUT, BYTES_OUT = 20_000, 4 << 20
@@ -74,8 +74,8 @@ class Kept(dict):
 
     def __missing__(self, key: str) -> bytes:
         ids = self.make(key)
-        # Two objects with their headers, and an entry of the table.
-        cost = 240 + 2 * len(key) + len(ids)
+        # Two objects with their headers (at most 76 and 33 bytes, aligned), and an entry of a table just grown (60).
+        cost = 190 + 2 * len(key) + len(ids)
         if cost <= self.room:
             self.room -= cost
             self[key] = ids
@@ -92,15 +92,17 @@ class WordTokenizer:
         self.model = self.whole.model
         self.by_word = _word_by_word(json.loads(self.whole.to_str()))
         self.letters = _byte_letters()
-        self.words = Kept(self._word, CACHE_BYTES)
-        self.chunks = Kept(self._chunk, CACHE_BYTES)
+        self.words = Kept(self._word, CACHE_BYTES // 2)
+        self.chunks = Kept(self._chunk, 2 * CACHE_BYTES - CACHE_BYTES // 2)
 
     def _word(self, word: str) -> bytes:
         mapped = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
         return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(mapped)])
 
     def _chunk(self, chunk: str) -> bytes:
-        return b"".join([self.words[w] for w in _PIECE.findall(chunk)])
+        pieces = _PIECE.findall(chunk)
+        # A chunk that is one word is kept as a chunk alone.
+        return self._word(chunk) if pieces == [chunk] else b"".join([self.words[w] for w in pieces])
 
     def ids(self, text: str) -> bytes:
         if not self.by_word or _OTHER.search(text):
