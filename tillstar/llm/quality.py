@@ -205,8 +205,9 @@ def _long_mean(field: Field, text: str) -> float:
     lines, seen = text.split("\n"), set()
     own_weights = np.stack([field.emit[1 + k * OWN:1 + (k + 1) * OWN] for k in range(3)], axis=1)
     parts, weights = [], []
-    for at in range(0, len(lines), _BLOCK_LINES):
-        block = lines[at:at + _BLOCK_LINES]
+    step = min(_BLOCK_LINES, _BLOCK_STEP)
+    for at in range(0, len(lines), step):
+        block = lines[at:at + step]
         x, weight, _ = features(["\n".join(block)])
         own = x[:, 1:1 + OWN]
         for i, line in enumerate(block):
@@ -249,9 +250,9 @@ def score_texts(field: Field, texts: list[str]) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
-# Characters and lines scored at a time; a text of more lines goes block by block.
-_BATCH_CHARS, _BATCH_LINES = 4_000_000, 50_000
-_BLOCK_LINES = 20_000
+# Characters and lines scored at a time; a text of very many lines goes in blocks of a step. A line takes about 1.7 KB meanwhile.
+_BATCH_CHARS, _BATCH_LINES = 1_000_000, 12_000
+_BLOCK_LINES, _BLOCK_STEP = 20_000, 4_000
 
 
 def held_out(doc_id: Column) -> Column:

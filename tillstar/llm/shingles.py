@@ -98,11 +98,16 @@ def _measure(a: pa.Array, b: pa.Array) -> pa.Array:
 
 
 def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` of nodes at most ``SHELL`` apart, with ``near`` and ``d``. One node may be in very many pairs."""
+    """The pairs ``a, b`` of nodes at most ``SHELL`` apart, with ``near`` and ``d``. One node may be in very many pairs.
+
+    What is measured is stored before it is filtered: a filter on it would move below the measure and make it twice,
+    each task with two Python workers.
+    """
     dealt = pairs.withColumn("deal", F.pmod(F.xxhash64("b"), F.lit(DEAL)))
     left = dealt.select("a", "deal").distinct().join(sets.select(F.col("node").alias("a"), F.col("set").alias("a_set")), "a")
     met = dealt.join(sets.select(F.col("node").alias("b"), F.col("set").alias("b_set")), "b").join(left, ["a", "deal"])
-    measured = met.select("a", "b", F.arrow_udf(_measure, "struct<near:boolean,d:double>")("a_set", "b_set").alias("m")).select("a", "b", "m.*")
+    measure = F.arrow_udf(_measure, "struct<near:boolean,d:double>")
+    measured = stored(met.select("a", "b", measure("a_set", "b_set").alias("m")).select("a", "b", "m.*"), "shingle-links")
     return measured.filter(F.col("near") | (F.col("d") <= SHELL + 1e-9))
 
 
@@ -140,20 +145,19 @@ def _joined(links: DataFrame, rounds: list[DataFrame], sets: DataFrame) -> DataF
         return links
     inside = around.filter("near").join(apart.select("key", "a").distinct(), ["key", "a"], "left_semi")
     across = stored(_across(apart, inside), "band-across")
-    return links.unionByName(stored(_similar(across, sets), "shingle-links").filter("near").select("a", "b"))
+    return links.unionByName(_similar(across, sets).filter("near").select("a", "b"))
 
 
 def close_nodes(prints: DataFrame) -> DataFrame:
-    """Pairs ``a, b`` (a the smaller) of nodes whose fingerprints the pigeonring links, those of equal ones as a star.
+    """Every node ``b`` whose fingerprint the pigeonring links to a smaller node's, with the smallest such node ``a``.
 
-    ``prints`` has ``node, fingerprint``, a node once. The links connect all fingerprints within its distance of each
-    other, the pairs name each fingerprint by its smallest node, so they number no more than nodes and links.
+    ``prints`` has ``node, fingerprint``, a node once. There are no more pairs than nodes, however many links a group has.
     """
     first = stored(prints.groupBy("fingerprint").agg(F.min("node").alias("first")), "close-prints")
     equal = prints.join(first, "fingerprint").filter("first < node").select(F.col("first").alias("a"), F.col("node").alias("b"))
     of = lambda c: first.select(F.col("fingerprint").alias(c), F.col("first").alias(f"_{c}"))
     linked = similar_fingerprints(first.select("fingerprint")).join(of("a"), "a").join(of("b"), "b")
-    return equal.unionByName(linked.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")))
+    return equal.unionByName(linked.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b"))).groupBy("b").agg(F.min("a").alias("a"))
 
 
 def similar_nodes(keys: DataFrame, sets_of, pair_limit: int = PAIR_LIMIT, close: DataFrame | None = None) -> DataFrame | None:
@@ -180,7 +184,7 @@ def similar_nodes(keys: DataFrame, sets_of, pair_limit: int = PAIR_LIMIT, close:
     sets = stored(sets_of(wanted), "shingle-sets")
     links, leaders, rounds = None, 1, []
     if close is not None:
-        links = stored(_similar(close, sets).filter("near").select("a", "b"), "close-links")
+        links = _similar(close, sets).filter("near").select("a", "b")
         if not links.isEmpty():
             roots = stored(components(links), "close-roots")
             placed = met.select("key", "node").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
@@ -200,7 +204,7 @@ def similar_nodes(keys: DataFrame, sets_of, pair_limit: int = PAIR_LIMIT, close:
             top = stored(top, "band-leaders")
             led = many.join(small_side(top, top.count()), "key").filter("a < node")
             pairs = pairs.unionByName(led.select("a", F.col("node").alias("b")))
-        found = stored(_similar(stored(pairs.distinct(), "shingle-pairs"), sets), "shingle-links")
+        found = _similar(stored(pairs.distinct(), "shingle-pairs"), sets)
         near = found.filter("near").select("a", "b")
         links = near if links is None else links.unionByName(near)
         if not full:
