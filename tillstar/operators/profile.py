@@ -70,11 +70,14 @@ def profile_columns(strings: DataFrame, table: str) -> DataFrame:
         "coluna", F.when(F.col("_raw") != "", F.col("_raw")).alias("v")
     )
     v = F.col("v")
+    # What a pattern cannot match is told by its point or its length (a line end may follow), so most cells meet one pattern.
+    dotted = v.contains(".")
     tested = cells.select(
         "coluna", "v",
-        v.rlike(INTEGER).alias("_int"), v.rlike(DECIMAL).alias("_dec"),
+        (~dotted & v.rlike(INTEGER)).alias("_int"), (dotted & v.rlike(DECIMAL)).alias("_dec"),
         F.ltrim(v, F.lit("-")).alias("_body"),
-        v.isin(*BOOLEANS).alias("_bool"), v.rlike(DATE).alias("_date"), v.rlike(TIMESTAMP).alias("_ts"),
+        v.isin(*BOOLEANS).alias("_bool"), (F.length(v).between(10, 12) & v.rlike(DATE)).alias("_date"),
+        ((F.length(v) >= 19) & v.rlike(TIMESTAMP)).alias("_ts"),
     )
     body, number = F.col("_body"), F.col("_int") | F.col("_dec")
     leading_zero = (F.length(v) > 1) & v.startswith("0") & (F.substring(v, 2, 1) != ".")
