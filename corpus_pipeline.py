@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstar.llm import decontaminate, lines, pack, quality, shingles
-from tillstar.llm.common import stored
+from tillstar.llm.common import small_side, stored
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -49,13 +49,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     row; of equal rows one stays.
     """
     rows = _keyed(docs)
-    keep = shingles.representatives(rows, "_key")
-    keepers = stored(rows.select("_key").join(keep, F.col("_key") == F.col("keep")).groupBy(F.col("keep").alias("_keep")).agg(
-        F.count(F.lit(1)).alias("_copies")), "keepers")
-    kept = rows.join(keepers, F.col("_key") == F.col("_keep"))
-    once = kept.filter("_copies = 1").select("doc")
-    if not keepers.filter("_copies > 1").isEmpty():
-        once = once.unionByName(kept.filter("_copies > 1").groupBy("_key").agg(F.first("doc").alias("doc")).select("doc"))
+    repeats = stored(shingles.repeats(rows, "_key"), "repeats")
+    named = small_side(repeats, repeats.count())
+    once = rows.join(named, F.col("_key") == F.col("id"), "left_anti").select("doc")
+    again = named.filter("stays")
+    if not again.isEmpty():
+        same = rows.join(again, F.col("_key") == F.col("id"), "left_semi")
+        once = once.unionByName(same.groupBy("_key").agg(F.first("doc").alias("doc")).select("doc"))
     return once.select("doc.*")
 
 

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import brute
@@ -78,3 +79,61 @@ def test_stage_finds_near_copies_that_simhash_misses(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, no int")
     assert sorted(r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()) == list(range(0, 40, 2))
     assert corpus_pipeline.drop_near_duplicates(spark, docs.limit(0), "").count() == 0
+
+
+def near_cloud(seed, size):
+    """Copies of one text with one to eight words changed: some are near it, most are only close to being near."""
+    rng = random.Random(seed)
+    base = [f"c{i}" for i in range(150)]
+    out = []
+    for i in range(size):
+        copy = list(base)
+        for at in rng.sample(range(150), rng.randrange(1, 9)):
+            copy[at] = f"y{i}.{at}"
+        out.append(" ".join(copy))
+    return out
+
+
+def test_marks_rule_out_no_near_pair(spark):
+    rng = np.random.default_rng(9)
+    whole = [rng.integers(0, 1 << 63, size=n, dtype=np.uint64) for n in (1, 5, 100, 150, 3000)]
+    sets = {i: np.unique(w) for i, w in enumerate([*whole, *[w[:-len(w) // 9 or None] for w in whole], *[shingles.shingle_set(t) for t in near_cloud(1, 30)], whole[0][:0]])}
+    marked = shingles._marks(pa.array([s.tobytes() for s in sets.values()], pa.binary())).to_pylist()
+    rows = [(i, j, tuple(marked[i].values()), tuple(marked[j].values())) for i in sets for j in sets if i < j]
+    kind = f"struct<{','.join(f'{f.name}:bigint' for f in shingles._MARKED)}>"
+    met = spark.createDataFrame(rows, f"a long, b long, x {kind}, y {kind}")
+    possible = {(r.a, r.b) for r in met.filter(shingles._may_be_near("x", "y")).collect()}
+    near = {(i, j) for i, j, *_ in rows if 5 * len(np.intersect1d(sets[i], sets[j])) >= 4 * len(np.union1d(sets[i], sets[j]))}
+    assert near <= possible and len(near) > 10 and len(possible) < len(rows) / 2
+
+
+def test_texts_not_quite_near_are_not_measured(spark, monkeypatch):
+    """A large group that shares its bands costs few comparisons of sets, and loses no link."""
+    measured, kept = [], shingles.stored
+
+    def seen(df, name):
+        out = kept(df, name)
+        if name == "shingle-links":
+            measured.append(out.count())
+        return out
+
+    monkeypatch.setattr(shingles, "stored", seen)
+    rows = list(enumerate(near_cloud(2, 300)))
+    sets = {i: shingle_set(t) for i, t in rows}
+    groups = brute.Groups()
+    for i, _ in rows:
+        for j in range(i):
+            if len(sets[i] & sets[j]) * 5 >= 4 * len(sets[i] | sets[j]):
+                groups.join(i, j)
+    want = {groups.find(i) for i, _ in rows}
+    got = {r.keep for r in shingles.representatives(spark.createDataFrame(rows, "id long, text string"), "id").collect()}
+    assert got == want and len(want) > 100
+    assert sum(measured) < 5 * len(rows)
+
+
+def test_repeats_are_what_is_not_kept(spark):
+    a, b = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(60))
+    # Equal rows; the same shingles by another id; a near copy; a text of its own; equal rows that a smaller id stands for.
+    rows = [(1, a), (1, a), (2, a.upper()), (3, b), (4, b + " end"), (5, "alone"), (6, b), (6, b)]
+    got = {(r.id, r.stays) for r in shingles.repeats(spark.createDataFrame(rows, "id long, text string"), "id").collect()}
+    assert got == {(1, True), (2, False), (4, False), (6, False)}

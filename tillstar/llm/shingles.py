@@ -7,9 +7,12 @@ differ in more bits than its keys allow, so bands then propose what these links
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -22,14 +25,16 @@ ship(__name__)
 WIDTH = 5
 # Similarity in fifths: a pair is near if 5 * common >= FIFTHS * all shingles.
 FIFTHS = 4
-# Beyond this distance of a text none of its near ones has another near one.
-SHELL = 0.4
 ROWS, BANDS = 4, 25
 SEED = 42
-# Texts of one band key beyond which they are compared with leaders instead of in pairs.
+# Texts of one band key beyond which they are compared with leaders before all others.
 PAIR_LIMIT = 32
-# Parts in which the texts that meet the same one are dealt out.
-DEAL = 32
+LEADERS = 4
+# Pairs of one text beyond which they are dealt out, and texts of a full key that one task has at hand.
+DEAL = 64
+BLOCK = 1024
+# Words of 64 bits that mark which buckets a set has hashes in.
+MARKS = 16
 _CHUNK = 4096
 
 # bytes.translate lowers A-Z only, and bytes.split() cuts at exactly the six ASCII white spaces.
@@ -82,70 +87,100 @@ def _sets(texts: pa.Array) -> pa.Array:
     return pa.array([shingle_set(t.as_py()).tobytes() for t in texts], pa.binary())
 
 
-_MEASURED = pa.struct([("near", pa.bool_()), ("d", pa.float64())])
+_WORDS = [f"w{i}" for i in range(MARKS)]
+_MARKED = pa.struct([(c, pa.int64()) for c in ("n", "ones", *_WORDS)])
 
 
-def _measure(a: pa.Array, b: pa.Array) -> pa.Array:
-    """Whether two sets are near, and their Jaccard distance (1 where sizes alone put it beyond ``SHELL``)."""
-    out = []
-    for x, y in zip(a, b, strict=True):
-        x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
-        few, many = sorted((len(x), len(y)))
-        common = len(np.intersect1d(x, y, assume_unique=True)) if few >= (1 - SHELL) * many else 0
-        union = few + many - common
-        out.append({"near": 5 * common >= FIFTHS * union, "d": 1 - common / union if union else 0.0})
-    return pa.array(out, _MEASURED)
+def _marks(sets: pa.Array) -> pa.Array:
+    """Of every set its size, the number of buckets it has hashes in, and which these are."""
+    out = np.zeros((2 + MARKS, len(sets)), dtype=np.int64)
+    for at, value in enumerate(sets):
+        hashes = np.frombuffer(value.as_buffer(), dtype=np.uint64)
+        taken = np.zeros(64 * MARKS, dtype=np.uint8)
+        taken[hashes % np.uint64(64 * MARKS)] = 1
+        out[0, at], out[1, at] = len(hashes), taken.sum()
+        out[2:, at] = np.packbits(taken, bitorder="little").view("<i8")
+    return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in out], fields=list(_MARKED))
 
 
-def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` of nodes at most ``SHELL`` apart, with ``near`` and ``d``. One node may be in very many pairs.
+def _most_common(x: str, y: str) -> Column:
+    """No fewer than the shingles that two sets have in common: one in a bucket that the other leaves empty is not."""
+    both = reduce(add, [F.bit_count(F.col(f"{x}.{w}").bitwiseAND(F.col(f"{y}.{w}"))) for w in _WORDS])
+    return F.least(F.col(f"{x}.n") - F.col(f"{x}.ones"), F.col(f"{y}.n") - F.col(f"{y}.ones")) + both
 
-    What is measured is stored before it is filtered: a filter on it would move below the measure and make it twice,
-    each task with two Python workers.
-    """
-    dealt = pairs.withColumn("deal", F.pmod(F.xxhash64("b"), F.lit(DEAL)))
-    left = dealt.select("a", "deal").distinct().join(sets.select(F.col("node").alias("a"), F.col("set").alias("a_set")), "a")
-    met = dealt.join(sets.select(F.col("node").alias("b"), F.col("set").alias("b_set")), "b").join(left, ["a", "deal"])
-    measure = F.arrow_udf(_measure, "struct<near:boolean,d:double>")
-    measured = stored(met.select("a", "b", measure("a_set", "b_set").alias("m")).select("a", "b", "m.*"), "shingle-links")
-    return measured.filter(F.col("near") | (F.col("d") <= SHELL + 1e-9))
 
+def _may_be_near(x: str, y: str) -> Column:
+    """Whether two sets may be near by their marks. It holds for all that are."""
+    return (5 + FIFTHS) * _most_common(x, y) >= FIFTHS * (F.col(f"{x}.n") + F.col(f"{y}.n"))
 
-def _across(shell: DataFrame, inside: DataFrame) -> DataFrame:
-    """Pairs of nodes that may be near, one near a leader of their key, one in the shell around it.
 
-    By the triangle inequality a node at distance d of the leader is near only to nodes at d - 0.2 or more of it, and to none
-    of its near ones beyond ``SHELL``. Distances meet by steps of a twentieth, so this is an equi-join.
-    """
-    step = lambda d: F.floor((F.col("d") + d) * 20).cast("int")
-    near = inside.select("key", "a", F.col("node").alias("m"), step(1e-9).alias("at"))
-    least = F.greatest(F.lit(0), step(-1e-9) - 4)
-    far = shell.select("key", "a", F.col("node").alias("x"), F.explode(F.sequence(least, F.lit(4))).alias("at"))
-    pairs = far.join(near, ["key", "a", "at"])
-    return pairs.select(F.least("x", "m").alias("a"), F.greatest("x", "m").alias("b")).distinct()
+def _near(a: pa.Array, b: pa.Array) -> pa.Array:
+    out = []
+    for x, y in zip(a, b, strict=True):
+        x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
+        common = len(np.intersect1d(x, y, assume_unique=True))
+        out.append(5 * common >= FIFTHS * (len(x) + len(y) - common))
+    return pa.array(out, pa.bool_())
 
 
-def _joined(links: DataFrame, rounds: list[DataFrame], sets: DataFrame) -> DataFrame:
-    """``links`` and those between a leader's near nodes and the shell around it that connect anything else.
+def _similar(pairs: DataFrame, marks: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` of nodes that are near. One node may be in very many pairs.
 
-    Only shells of another component than their leader's are looked at, so a large group of near copies, which its
-    leaders connect, adds no pairs.
+    Only the sets of pairs that their marks leave possible travel. What is measured is stored before it is filtered: a
+    filter on it would move below the measure and make it twice, each task with two Python workers.
     """
-    around = rounds[0]
-    for more in rounds[1:]:
-        around = around.unionByName(more)
-    shell = around.filter("not near")
-    if shell.isEmpty():
-        return links
-    roots = stored(components(links), "band-roots")
-    of = lambda c, root: roots.select(F.col("node").alias(c), F.col("root").alias(root))
-    placed = shell.join(of("a", "_a"), "a", "left").join(of("node", "_n"), "node", "left")
-    apart = stored(placed.filter(F.coalesce("_a", "a") != F.coalesce("_n", "node")).select("key", "a", "node", "d"), "band-apart")
-    if apart.isEmpty():
-        return links
-    inside = around.filter("near").join(apart.select("key", "a").distinct(), ["key", "a"], "left_semi")
-    across = stored(_across(apart, inside), "band-across")
-    return links.unionByName(_similar(across, sets).filter("near").select("a", "b"))
+    of = lambda c: marks.select(F.col("node").alias(c), F.col("m").alias(f"_{c}"))
+    possible = stored(pairs.join(of("a"), "a").join(of("b"), "b").filter(_may_be_near("_a", "_b")).select("a", "b"), "shingle-possible")
+    # A text with many pairs is copied once for every ``DEAL`` of them.
+    held = possible.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / DEAL).alias("deals"))
+    dealt = possible.join(held, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("deals")).alias("deal"))
+    copies = held.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("deals") - 1)).alias("deal"))
+    left = copies.join(sets.select(F.col("node").alias("a"), F.col("set").alias("a_set")), "a")
+    met = dealt.join(sets.select(F.col("node").alias("b"), F.col("set").alias("b_set")), "b").join(left, ["a", "deal"])
+    near = F.arrow_udf(_near, "boolean")
+    return stored(met.select("a", "b", near("a_set", "b_set").alias("near")), "shingle-links").filter("near").select("a", "b")
+
+
+def _apart(met: DataFrame, links: DataFrame) -> DataFrame:
+    """The keys of ``met`` that ``links`` do not connect whole: ``key, node, root, n``."""
+    roots = stored(components(links), "shingle-roots")
+    placed = met.select("key", "node").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    placed = stored(placed, "band-placed")
+    keys = placed.groupBy("key").agg(F.min("root").alias("_least"), F.max("root").alias("_most"), F.count(F.lit(1)).alias("n"))
+    keys = stored(keys.filter("_least < _most").select("key", "n"), "band-apart")
+    return stored(placed.join(small_side(keys, keys.count()), "key"), "band-keys")
+
+
+def _led(full: DataFrame, marks: DataFrame) -> DataFrame:
+    """Every node ``b`` with the one of the smallest nodes ``a`` of its keys that is likeliest near it, if any may be."""
+    place = F.row_number().over(Window.partitionBy("key").orderBy("node"))
+    top = full.withColumn("_place", place).filter(F.col("_place") <= LEADERS).select("key", F.col("node").alias("a"), F.col("root").alias("_root"))
+    top = stored(top.join(marks.select(F.col("node").alias("a"), F.col("m").alias("_a")), "a"), "band-leaders")
+    rows = full.select("key", "node", "root").join(marks, "node")
+    led = rows.join(small_side(top, top.count()), "key").filter((F.col("a") < F.col("node")) & (F.col("root") != F.col("_root")) & _may_be_near("_a", "m"))
+    common = _most_common("_a", "m")
+    share = common / (F.col("_a.n") + F.col("m.n") - common)
+    return led.select("a", F.col("node").alias("b"), F.struct(share.alias("share"), (-F.col("a")).alias("first")).alias("_by")) \
+        .groupBy("b").agg(F.max_by("a", "_by").alias("a")).select("a", "b")
+
+
+def _full_pairs(full: DataFrame, marks: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` of nodes of one key and of different roots that may be near by their marks.
+
+    Nodes of the root that most of a key have are not paired with each other, and the others meet the key in blocks, so
+    a large group that is connected costs its rows once, and a task holds no key whole. Pairs that are not possible
+    are never rows: that is a condition of the join.
+    """
+    counts = full.groupBy("key", "root").agg(F.count(F.lit(1)).alias("_c"))
+    main = stored(counts.groupBy("key").agg(F.max_by("root", F.struct("_c", "root")).alias("main")), "band-main")
+    blocks = F.ceil(F.col("n") / BLOCK)
+    rows = stored(full.join(small_side(main, main.count()), "key").join(marks, "node").select("key", "node", "root", "main", blocks.alias("blocks"), "m"), "band-marked")
+    others = rows.filter("root <> main").select("key", F.col("node").alias("x"), F.col("root").alias("_root"), F.col("m").alias("_x"),
+                                                F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
+    whole = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    met = others.hint("merge").join(whole, ["key", "block"]).filter(
+        (F.col("root") != F.col("_root")) & ((F.col("root") == F.col("main")) | (F.col("x") < F.col("node"))) & _may_be_near("_x", "m"))
+    return met.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b"))
 
 
 def close_nodes(prints: DataFrame) -> DataFrame:
@@ -164,17 +199,12 @@ def similar_nodes(keys: DataFrame, sets_of, pair_limit: int = PAIR_LIMIT, close:
     """Links ``a, b`` (a the smaller) between similar nodes; None if no key is shared and no pair is ``close``.
 
     ``keys`` has distinct ``key, node``; ``sets_of(nodes)`` gives ``node, set``. The pairs ``a, b`` of ``close`` are
-    compared first; keys and pairs of nodes that they connect are not looked at again. Of a key with up to ``pair_limit``
-    nodes all other pairs are compared. The nodes of a fuller key are compared with its smallest ones, first one, then
-    twice as many each round; those near one of them are linked and leave the key, and those that are not quite
-    near it are compared with them at the end, if nothing connects the two. So the components are those of all
-    pairs, and copies of one text cost a row each.
+    compared first; then, of keys with more than ``pair_limit`` nodes, every node with one of the smallest. Keys and
+    pairs of nodes that these links connect are not looked at again. All other pairs are compared, unless the marks of the
+    two sets show that they are not near. So the components are those of all pairs that share a key.
     """
-    def counted(rows: DataFrame) -> DataFrame:
-        n = stored(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "band-counts")
-        return stored(rows.select("key", "node", "root").join(small_side(n, n.count()), "key"), "band-keys")
-
-    met = counted(keys.select("key", "node", F.col("node").alias("root")))
+    n = stored(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "band-counts")
+    met = stored(keys.select("key", "node", F.col("node").alias("root")).join(small_side(n, n.count()), "key"), "band-keys")
     wanted = met.select("node")
     if close is not None:
         wanted = wanted.unionByName(close.select(F.col("a").alias("node"))).unionByName(close.select(F.col("b").alias("node")))
@@ -182,39 +212,23 @@ def similar_nodes(keys: DataFrame, sets_of, pair_limit: int = PAIR_LIMIT, close:
     if wanted.isEmpty():
         return None
     sets = stored(sets_of(wanted), "shingle-sets")
-    links, leaders, rounds = None, 1, []
+    marks = stored(sets.select("node", F.arrow_udf(_marks, f"struct<{','.join(f'{f.name}:bigint' for f in _MARKED)}>")("set").alias("m")), "shingle-marks")
+    links = None
     if close is not None:
-        links = _similar(close, sets).filter("near").select("a", "b")
-        if not links.isEmpty():
-            roots = stored(components(links), "close-roots")
-            placed = met.select("key", "node").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-            apart = placed.groupBy("key").agg(F.min("root").alias("_least"), F.max("root").alias("_most")).filter("_least < _most")
-            met = counted(placed.join(apart.select("key"), "key", "left_semi"))
-    while True:
-        few, many = met.filter(F.col("n") <= pair_limit), met.filter(F.col("n") > pair_limit).select("key", "node", "root")
-        others = few.select("key", F.col("node").alias("b"), F.col("root").alias("_root"))
-        pairs = few.select("key", F.col("node").alias("a"), "root").join(others, "key").filter("a < b and root <> _root").select("a", "b")
-        full = not many.isEmpty()
-        if full:
-            if leaders == 1:
-                top = many.groupBy("key").agg(F.min("node").alias("a"))
-            else:
-                place = F.row_number().over(Window.partitionBy("key").orderBy("node"))
-                top = many.withColumn("place", place).filter(F.col("place") <= leaders).select("key", F.col("node").alias("a"))
-            top = stored(top, "band-leaders")
-            led = many.join(small_side(top, top.count()), "key").filter("a < node")
-            pairs = pairs.unionByName(led.select("a", F.col("node").alias("b")))
-        found = _similar(stored(pairs.distinct(), "shingle-pairs"), sets)
-        near = found.filter("near").select("a", "b")
+        links = _similar(close, marks, sets)
+        met = _apart(met, links)
+    full = met.filter(F.col("n") > pair_limit)
+    if not full.isEmpty():
+        near = _similar(stored(_led(full, marks), "band-led"), marks, sets)
         links = near if links is None else links.unionByName(near)
-        if not full:
-            return _joined(links, rounds, sets) if rounds else links
-        around = stored(led.select("key", "node", "a").join(found.withColumnRenamed("b", "node"), ["a", "node"]), "band-near")
-        rounds.append(around)
-        gone = stored(around.filter("near").select("key", "node")
-                      .unionByName(top.withColumnRenamed("a", "node")).distinct(), "band-gone")
-        met = counted(many.join(gone, ["key", "node"], "left_anti"))
-        leaders *= 2
+        met = _apart(met, links)
+    few, many = met.filter(F.col("n") <= pair_limit), met.filter(F.col("n") > pair_limit)
+    others = few.select("key", F.col("node").alias("b"), F.col("root").alias("_root"))
+    pairs = few.select("key", F.col("node").alias("a"), "root").join(others, "key").filter("a < b and root <> _root").select("a", "b")
+    if not many.isEmpty():
+        pairs = pairs.unionByName(_full_pairs(many, marks))
+    found = _similar(stored(pairs.distinct(), "shingle-pairs"), marks, sets)
+    return found if links is None else links.unionByName(found)
 
 
 def representatives(docs: DataFrame, doc_id: str, text: str = "text", pair_limit: int = PAIR_LIMIT) -> DataFrame:
@@ -225,10 +239,31 @@ def representatives(docs: DataFrame, doc_id: str, text: str = "text", pair_limit
     names one text. Texts of equal shingles are one node, however many. The result does not depend on ``pair_limit``.
     An empty table gives an empty result.
     """
+    _, nodes, later = _grouped(docs, doc_id, text, pair_limit)
+    return nodes.join(later, "node", "left_anti").select(F.col("id").alias("keep"))
+
+
+def repeats(docs: DataFrame, doc_id: str, text: str = "text", pair_limit: int = PAIR_LIMIT) -> DataFrame:
+    """``id, stays``, an id once: those that ``representatives`` does not keep, and those it keeps that several rows have.
+
+    ``stays`` tells the two apart. Every row of any other id is to be kept, so these alone need to meet the rows.
+    """
+    rows, nodes, later = _grouped(docs, doc_id, text, pair_limit)
+    several = nodes.filter("n > 1").select("digest", "node", F.col("id").alias("first"))
+    several = stored(several, "several")
+    named = rows.select("id", "digest").join(small_side(several, several.count()), "digest")
+    gone = named.filter("id <> first").select("id").distinct().unionByName(nodes.select("node", "id").join(later, "node", "left_semi").select("id"))
+    again = named.filter("id = first").join(later, "node", "left_anti").groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return gone.select("id", F.lit(False).alias("stays")).unionByName(again.select("id", F.lit(True).alias("stays")))
+
+
+def _grouped(docs: DataFrame, doc_id: str, text: str, pair_limit: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows with the digests of their shingles, one node per digest with its smallest id, and the nodes that do not stay."""
     signature = F.arrow_udf(_signatures, "struct<digest:binary,fingerprint:bigint,keys:array<bigint>>")
     rows = docs.select(F.col(doc_id).alias("id"), signature(F.col(text)).alias("s")).select("id", "s.*")
     # Of equal shingle sets fingerprint and keys are equal too.
-    sets = stored(rows, "signatures").groupBy("digest").agg(F.min("id").alias("id"), F.first("fingerprint").alias("fingerprint"), F.first("keys").alias("keys"))
+    rows = stored(rows, "signatures")
+    sets = rows.groupBy("digest").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"), F.first("fingerprint").alias("fingerprint"), F.first("keys").alias("keys"))
     # Sorted, so that nodes are numbered in the order of ids.
     nodes = stored(sets.orderBy("id").withColumn("node", F.monotonically_increasing_id()), "shingle-nodes")
 
@@ -241,6 +276,5 @@ def representatives(docs: DataFrame, doc_id: str, text: str = "text", pair_limit
     close = stored(close_nodes(nodes.select("node", "fingerprint")), "close-pairs")
     links = similar_nodes(keys, sets_of, pair_limit, close)
     if links is None:
-        return nodes.select(F.col("id").alias("keep"))
-    later = stored(components(links).filter("node <> root").select("node"), "near-duplicates")
-    return nodes.join(later, "node", "left_anti").select(F.col("id").alias("keep"))
+        return rows, nodes, nodes.select("node").limit(0)
+    return rows, nodes, stored(components(links).filter("node <> root").select("node"), "near-duplicates")
