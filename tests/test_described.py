@@ -50,6 +50,21 @@ def test_origins_against_a_loop(spark, months, origins, horizon, window):
         assert a[:6] == b[:6] and (a[6] == b[6] if None in (a[6], b[6]) else abs(a[6] - b[6]) < 1e-9)
 
 
+@pytest.mark.parametrize(("months", "origins", "horizon", "window"), [(60, 12, 3, 3), (60, 4, 2, 15), (20, 12, 3, 3), (5, 12, 3, 3)])
+def test_errors_of_the_months_seen(spark, months, origins, horizon, window):
+    """The months that no origin looks at are not made, and the errors are those of the whole series."""
+    values = series(months) | {"early": [3.0] + [0.0] * (months - 1)}
+    sold = frame(spark, {k: [x or None for x in u] for k, u in values.items()}).filter("unidades is not null")
+    first = spark.createDataFrame([(month(0),)], "first_month date")
+    seen = evaluation.months_seen(origins, horizon, window)
+    dense = evaluation.dense_series(sold, ["k"], first, month(months - 1), seen)
+    assert dense.count() == len(values) * min(months, seen)
+    got = rows(evaluation.rolling_errors(dense, origins, horizon, window, ["k"]), "origem", "modelo", "previsoes", "mae")
+    want = rows(evaluation.origin_errors(evaluation.rolling_origin(frame(spark, values), origins, horizon, window, ["k"])), "origem", "modelo", "previsoes", "mae")
+    assert [a[:3] for a in got] == [a[:3] for a in want] and len(got) == 3 * min(origins, months - horizon)
+    assert [a[3] for a in got] == pytest.approx([a[3] for a in want], nan_ok=True)
+
+
 def test_an_origin_sees_nothing_after_it(spark):
     values = series(30, ("a",))
     changed = {"a": values["a"][:20] + [x + 100 for x in values["a"][20:]]}

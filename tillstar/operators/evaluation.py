@@ -13,29 +13,30 @@ from tillstar.operators.forecast import MODELS
 SCHEMES = ("estatica", "recursiva", "movel")
 
 
-def dense_series(monthly: DataFrame, keys: Sequence[str], first_month: DataFrame, last: date) -> DataFrame:
+def dense_series(monthly: DataFrame, keys: Sequence[str], first_month: DataFrame, last: date, months: int | None = None) -> DataFrame:
     """One row per series and month from ``first_month`` to ``last``, zero where a series has none.
 
     ``monthly`` has ``keys, mes, unidades``, one row per month that has any. A series is there if it has a row at all;
-    null units count as zero.
+    null units count as zero. With ``months``, only so many months up to ``last`` are made, for readers that look no further
+    back (``months_seen``); the series are the same. The rows of a series come from one row, in one task.
     """
-    months = F.explode(F.sequence(first_month.scalar(), F.lit(last), F.expr("interval 1 month")))
-    spine = monthly.select(*keys).distinct().select(*keys, months.alias("mes"))
-    named = monthly.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("mes").alias("_m"), F.col("unidades").cast("double").alias("_u"))
-    same = F.col("mes") == F.col("_m")
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    return spine.join(named, same, "left").select(*keys, "mes", F.coalesce("_u", F.lit(0.0)).alias("unidades"))
+    first = first_month.scalar()
+    if months is not None:
+        first = F.when(first.isNotNull(), F.greatest(first, F.add_months(F.trunc(F.lit(last), "month"), 1 - months)))
+    made = F.col("mes").between(first, F.lit(last))
+    sold = F.collect_list(F.when(made, F.struct("mes", F.col("unidades").cast("double"))))
+    series = monthly.groupBy(*keys).agg(F.map_from_entries(sold).alias("_sold"))
+    spread = series.select(*keys, "_sold", F.explode(F.sequence(first, F.lit(last), F.expr("interval 1 month"))).alias("mes"))
+    return spread.select(*keys, "mes", F.coalesce(F.try_element_at("_sold", F.col("mes")), F.lit(0.0)).alias("unidades"))
 
 
-def rolling_origin(dense: DataFrame, origins: int = 12, horizon: int = 3, window: int = 3, keys: Sequence[str] = ()) -> DataFrame:
-    """Forecasts of every series from each of its last ``origins`` months that still have ``horizon`` actual months after them.
+def months_seen(origins: int = 12, horizon: int = 3, window: int = 3) -> int:
+    """How many of the last months ``rolling_origin`` looks at: up to a year, or the window, before the first origin's end."""
+    return horizon + origins + max(window, 12) - 1
 
-    Rows: ``keys, origem, passo, mes, unidades, modelo, previsto``. A forecast from an origin uses that month and earlier
-    ones alone: running sums give the mean of the last ``window`` months, the value a year before the month (if that is
-    not after the origin), and the origin's own. NULL where the series is too short. One pass over the dense series:
-    every month looks back to its origins. Windows run over the months of one series.
-    """
+
+def _judged(dense: DataFrame, origins: int, horizon: int, window: int, keys: Sequence[str]) -> DataFrame:
+    """``rolling_origin`` with a column per model: a row per series, origin and step."""
     order = Window.partitionBy(*keys).orderBy("mes")
     running = dense.select(
         *keys, "mes", "unidades", F.sum("unidades").over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("_sum"),
@@ -50,12 +51,31 @@ def rolling_origin(dense: DataFrame, origins: int = 12, horizon: int = 3, window
 
     steps = running.select(*keys, "mes", "unidades", "_last", F.array(*[step(h) for h in range(1, horizon + 1)]).alias("_steps"))
     each = steps.select(*keys, "mes", "unidades", "_last", F.explode("_steps").alias("_s")).select(*keys, "mes", "unidades", "_last", "_s.*")
-    judged = each.filter((F.col("origem") <= F.add_months("_last", -horizon)) & (F.col("origem") > F.add_months("_last", -horizon - origins))
-                         & F.col("naive").isNotNull())
+    return each.filter((F.col("origem") <= F.add_months("_last", -horizon)) & (F.col("origem") > F.add_months("_last", -horizon - origins))
+                       & F.col("naive").isNotNull())
+
+
+def rolling_origin(dense: DataFrame, origins: int = 12, horizon: int = 3, window: int = 3, keys: Sequence[str] = ()) -> DataFrame:
+    """Forecasts of every series from each of its last ``origins`` months that still have ``horizon`` actual months after them.
+
+    Rows: ``keys, origem, passo, mes, unidades, modelo, previsto``. A forecast from an origin uses that month and earlier
+    ones alone: running sums give the mean of the last ``window`` months, the value a year before the month (if that is
+    not after the origin), and the origin's own. NULL where the series is too short. One pass over the dense series:
+    every month looks back to its origins. Windows run over the months of one series.
+    """
+    judged = _judged(dense, origins, horizon, window, keys)
     kinds = F.explode(F.array(*[F.struct(F.lit(m).alias("modelo"), F.col(m).alias("previsto")) for m in MODELS]))
     return judged.select(*keys, "origem", "passo", "mes", "unidades", kinds.alias("_k")).select(*keys, "origem", "passo", "mes", "unidades", "_k.*")
 
 
+def rolling_errors(dense: DataFrame, origins: int = 12, horizon: int = 3, window: int = 3, keys: Sequence[str] = ()) -> DataFrame:
+    """``origin_errors`` of ``rolling_origin``, added up per origin for all models at once, without a row per forecast and model."""
+    error = lambda m: F.abs(F.col("unidades") - F.col(m))
+    sums = _judged(dense, origins, horizon, window, keys).groupBy("origem").agg(
+        *[F.struct(F.lit(m).alias("modelo"), F.count(m).alias("previsoes"), F.avg(error(m)).alias("mae")).alias(m) for m in MODELS])
+    return sums.select("origem", F.explode(F.array(*MODELS)).alias("_k")).select("origem", "_k.*")
+
+
 def origin_errors(forecasts: DataFrame) -> DataFrame:
     """Mean absolute error per origin and model, over all series and steps that have a forecast."""
     return forecasts.groupBy("origem", "modelo").agg(

@@ -43,8 +43,9 @@ e_erros AS (
 
 def _origin_errors(c: Context) -> DataFrame:
     monthly = c.unified.groupBy("product_id", "mes").agg(F.sum("quantidade").alias("unidades"))
-    dense = evaluation.dense_series(monthly, ["product_id"], forecast.first_month(c.raw["orders"]), TEST_END)
-    return evaluation.origin_errors(evaluation.rolling_origin(dense, ORIGINS, HORIZON, WINDOW, ["product_id"]))
+    months = evaluation.months_seen(ORIGINS, HORIZON, WINDOW)
+    dense = evaluation.dense_series(monthly, ["product_id"], forecast.first_month(c.raw["orders"]), TEST_END, months)
+    return evaluation.rolling_errors(dense, ORIGINS, HORIZON, WINDOW, ["product_id"])
 
 
 @query("forecast_rolling_origin", _sql(
