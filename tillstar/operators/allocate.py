@@ -32,6 +32,7 @@ def allocate(
     name: str = "allocated",
     hot: DataFrame | None = None,
     hot_rows: int = HOT_GROUP_ROWS,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """``lines`` with the part of their header's ``amount`` that falls to each of them.
 
@@ -39,7 +40,8 @@ def allocate(
     leaves over goes whole to one line: the one of the largest value, then of the smallest ``line_id`` (NULL
     first), then by a hash of the line's content. So the parts of a header always add up to its amount, and
     of lines that agree in everything only one is chosen. Headers whose lines sum to zero give everything to
-    that line. ``headers`` has one row per ``key``; lines without a header are left out.
+    that line. ``headers`` has one row per ``key``; lines without a header are left out. The columns ``carry`` of the
+    header, which have no names of the lines, come along, so that nobody joins it again.
 
     The lines are shuffled once, to meet their header, and the windows run on that partitioning. Lines of keys
     with more than ``hot_rows`` lines are dealt to pieces by content, and their totals come from map-side aggregates
@@ -53,7 +55,7 @@ def allocate(
     part = F.coalesce(F.col(value).cast(f"decimal(28,{part_scale})"), F.lit(0).cast(f"decimal(28,{part_scale})"))
     content = F.xxhash64(*[F.col(f"`{c}`") for c in lines.columns])
     ready = lines.withColumn("_part", part).withColumn("_content", content)
-    heads = headers.select(key, F.col(amount).cast(f"decimal(28,{amount_scale})").alias("_amount"))
+    heads = headers.select(key, F.col(amount).cast(f"decimal(28,{amount_scale})").alias("_amount"), *carry)
     share = lambda whole: proportional_share(F.col("_amount"), F.col("_part"), whole, amount_scale, part_scale)
     rank = ["_part", *line_id, "_content"]
     in_order = Window.partitionBy(key, PIECE).orderBy(F.desc(rank[0]), *rank[1:])
@@ -72,7 +74,7 @@ def allocate(
             .withColumn("_share", share(F.col("_whole")))
         total = F.coalesce(F.col("_hot_sum"), F.sum("_share").over(piece))
     left_over = F.when(F.col("_first"), F.coalesce(F.col("_amount") - F.col("_total"), F.lit(0))).otherwise(F.lit(0))
-    return shared.withColumn("_total", total).withColumn(name, (F.col("_share") + left_over).cast(MONEY)).select(*lines.columns, name)
+    return shared.withColumn("_total", total).withColumn(name, (F.col("_share") + left_over).cast(MONEY)).select(*lines.columns, name, *carry)
 
 
 def _hot_totals(ready: DataFrame, heads: DataFrame, key: str, rank: Sequence[str], hot: DataFrame, share) -> DataFrame:

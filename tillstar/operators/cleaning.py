@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -106,12 +107,14 @@ def clean_orders(orders: DataFrame, as_of: datetime) -> DataFrame:
 
 
 def clean_items(
-    items: DataFrame, orders: DataFrame, variants: DataFrame, hot: DataFrame | None = None, hot_rows: int = HOT_GROUP_ROWS
+    items: DataFrame, orders: DataFrame, variants: DataFrame, hot: DataFrame | None = None, hot_rows: int = HOT_GROUP_ROWS,
+    of_order: Sequence[str] = (), of_variant: Sequence[str] = (),
 ) -> DataFrame:
     """Order lines with their part of the order discount, cost and margins.
 
     ``orders`` and ``variants`` are the cleaned tables. Gross margin is line value minus cost;
-    net margin also takes off the allocated discount.
+    net margin also takes off the allocated discount. Lines meet their order and their variant once each;
+    ``of_order`` and ``of_variant`` name columns that they take along from there.
     """
     lines = items.select(
         F.col("id").alias("order_item_id"),
@@ -123,18 +126,19 @@ def clean_items(
     )
     allocated = allocate(
         lines, orders, "order_id", "valor_linha", "desconto", ["order_item_id"],
-        name="desconto_rateado", hot=hot, hot_rows=hot_rows,
+        name="desconto_rateado", hot=hot, hot_rows=hot_rows, carry=of_order,
     )
     cost = F.col("quantidade").cast("decimal(12,0)") * F.col("cost_price").cast(MONEY)
     gross = F.round(F.col("valor_linha") - cost, 2).cast(MONEY)
     return allocated.join(
-        variants.select("product_variant_id", "product_id", "cost_price"), "product_variant_id"
+        variants.select("product_variant_id", "product_id", "cost_price", *of_variant), "product_variant_id"
     ).select(
         "order_item_id", "order_id", "product_variant_id", "product_id",
         "quantidade", "preco_unitario", "valor_linha", "desconto_rateado",
         F.round(cost, 2).cast(MONEY).alias("custo"),
         gross.alias("margem_bruta"),
         (gross - F.col("desconto_rateado")).cast(MONEY).alias("margem_liquida"),
+        *of_order, *of_variant,
     )
 
 

@@ -57,11 +57,16 @@ def edge(fact: str, dim: str) -> str:
         raise UnrelatedError(f"{fact} has no relationship to {dim}") from None
 
 
-def join_dims(star: Mapping[str, DataFrame], fact: str, dims: Sequence[str]) -> DataFrame:
-    """The fact with its dimensions, along known edges only; no fact row is lost or repeated."""
+def join_dims(star: Mapping[str, DataFrame], fact: str, dims: Sequence[str], held: Sequence[str] = ()) -> DataFrame:
+    """The fact with its dimensions, along known edges only; no fact row is lost or repeated.
+
+    The fact has the columns of the dimensions ``held`` already, so it is not joined to them.
+    """
     joined = star[fact]
     for dim in dims:
         key = edge(fact, dim)
+        if dim in held:
+            continue
         others = [c for c in star[dim].columns if c == key or c not in joined.columns]
         joined = joined.join(star[dim].select(*others), key, "left")
     return joined
@@ -142,13 +147,21 @@ def fct_order(orders: DataFrame) -> DataFrame:
     )
 
 
-def fct_order_item(items: DataFrame, orders: DataFrame) -> DataFrame:
-    """Line grain: mix and margin. It has no order total, which would invite summing it."""
-    heads = orders.select("order_id", "data", "customer_id", "location_id", "canal", "status")
-    return items.join(heads, "order_id").select(
+# What a line of the fact takes from its order.
+LINE_HEAD = ("data", "customer_id", "location_id", "canal", "status")
+
+
+def fct_order_item(items: DataFrame, orders: DataFrame | None = None, more: Sequence[str] = ()) -> DataFrame:
+    """Line grain: mix and margin. It has no order total, which would invite summing it.
+
+    Without ``orders`` the items carry ``LINE_HEAD`` themselves. ``more`` names columns of the items that stay.
+    """
+    if orders is not None:
+        items = items.join(orders.select("order_id", *LINE_HEAD), "order_id")
+    return items.select(
         "order_item_id", "order_id", "data", "customer_id", "location_id", "canal", "status",
         "product_id", "product_variant_id", "quantidade", "preco_unitario", "valor_linha",
-        "custo", "desconto_rateado", "margem_bruta", "margem_liquida",
+        "custo", "desconto_rateado", "margem_bruta", "margem_liquida", *more,
     )
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tillstar.operators import calendar, quality, star
 from tillstar.operators.allocate import allocate
+from tillstar.plans import retail
 from tillstar.plans.oracle_base import dbl, month, over_ctes, ts, weekday
 from tillstar.plans.registry import ELITE_SIZE, Context, query
 
@@ -123,8 +124,11 @@ def calendar_left_join(c: Context):
     "LEFT JOIN g_dim_local l ON l.location_id = i.location_id LEFT JOIN g_dim_status s ON s.status = i.status "
     "LEFT JOIN g_dim_data d ON d.data = i.data"))
 def star_joined_dimensions(c: Context):
+    lines = retail.lines_with_heads(c.raw, c.silver, c.gold["dim_produto"])
+    fact = star.fct_order_item(lines, more=["categoria", "marca"])
+    others = {d: c.gold[d] for d in ("dim_local", "dim_status_pedido", "dim_data")}
     return star.join_dims(
-        c.gold, "fct_item_pedido", ["dim_produto", "dim_local", "dim_status_pedido", "dim_data"]
+        others | {"fct_item_pedido": fact}, "fct_item_pedido", ["dim_produto", *others], held=["dim_produto"]
     ).select("order_item_id", "categoria", "marca", "uf", "ordem", "ano_mes", "valor_linha")
 
 

@@ -47,8 +47,7 @@ class Context:
 
     @cached_property
     def gold(self) -> Tables:
-        return retail.gold(
-            self.silver, self.raw["brands"], self.as_of, MIN_CATEGORIES, ELITE_SIZE, retail.lines_with_product(self.raw))
+        return retail.gold(self.silver, self.raw["brands"], self.as_of, MIN_CATEGORIES, ELITE_SIZE, self.raw)
 
     @cached_property
     def lines(self) -> DataFrame:

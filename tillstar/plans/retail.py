@@ -51,33 +51,46 @@ def lines_with_product(raw: Mapping[str, DataFrame], *columns: str) -> DataFrame
     return customers.line_products(lines, raw["product_variants"], raw["products"])
 
 
+def lines_with_heads(raw: Mapping[str, DataFrame], silver: Mapping[str, DataFrame], products: DataFrame | None = None) -> DataFrame:
+    """The cleaned lines with what the line fact takes from their order, which they meet once, in the allocation.
+
+    With ``products`` (the dimension) they also have its columns: variants meet their product first, so the lines meet both at once.
+    """
+    variants, more = silver["variantes"], []
+    if products is not None:
+        variants, more = variants.join(products, "product_id", "left"), [c for c in products.columns if c != "product_id"]
+    return cleaning.clean_items(raw["order_items"], silver["pedidos"], variants, of_order=star.LINE_HEAD, of_variant=more)
+
+
 def gold(
     silver: Mapping[str, DataFrame], brands: DataFrame, as_of: datetime,
     min_categories: int = star.MIN_CATEGORIES, elite_size: int = star.ELITE_SIZE,
-    line_products: DataFrame | None = None,
+    raw: Mapping[str, DataFrame] | None = None,
 ) -> Tables:
     """The star schema: six dimensions, six facts and the daily store view.
 
-    ``line_products`` (order_item_id, order_id, product_id, category_id) serves the tables that need only
-    product and category of a line. It is the cleaned lines themselves unless given; where the layers are
-    chained without publishing them, ``lines_with_product`` saves allocating discounts for it.
+    Where the layers are chained without publishing them, ``raw``, the tables that ``silver`` was made of, saves work: the
+    line fact is made with its order at hand (``lines_with_heads``), and tables that need only product and category of a
+    line allocate no discounts for it.
     """
-    s = silver
-    hop = (lambda: s["itens_pedido"]) if line_products is None else (lambda: line_products)
+    s, chained = silver, raw is not None
     tables: Tables
     tables = Tables({
         "dim_data": lambda: star.dim_date(s["pedidos"], s["devolucoes"], as_of.date()),
         "dim_cliente": lambda: star.dim_customer(
-            s["clientes"], s["pedidos"], hop(), s["produtos"] if line_products is None else None, min_categories, elite_size),
+            s["clientes"], s["pedidos"], lines_with_product(raw) if chained else s["itens_pedido"],
+            None if chained else s["produtos"], min_categories, elite_size),
         "dim_produto": lambda: star.dim_product(s["produtos"], s["categorias"], brands),
         "dim_local": lambda: star.dim_location(s["locais"]),
         "dim_canal": lambda: star.dim_channel(s["pedidos"]),
         "dim_status_pedido": lambda: star.dim_status(brands.sparkSession),
         "fct_pedido": lambda: star.fct_order(s["pedidos"]),
-        "fct_item_pedido": lambda: star.fct_order_item(s["itens_pedido"], s["pedidos"]),
+        "fct_item_pedido": lambda: star.fct_order_item(lines_with_heads(raw, s)) if chained
+        else star.fct_order_item(s["itens_pedido"], s["pedidos"]),
         "fct_pagamento": lambda: star.fct_payment(s["pagamentos"]),
         "fct_venda_diaria_pos": lambda: star.fct_daily_store_sales(s["pedidos"]),
-        "fct_devolucao": lambda: star.fct_return(s["devolucoes"], hop()),
+        "fct_devolucao": lambda: star.fct_return(
+            s["devolucoes"], lines_with_product(raw) if chained else s["itens_pedido"]),
         "fct_estoque_atual": lambda: star.fct_stock(s["estoque"], s["variantes"]),
         "vw_venda_diaria_pos": lambda: star.daily_store_view(
             tables["fct_venda_diaria_pos"], tables["dim_data"]),
