@@ -47,3 +47,17 @@ def test_the_line_fact_joins_lines_twice(spark):
     """Once to their orders and once to their variants."""
     plan = Context(spark, SF).gold["fct_item_pedido"]._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join Inner") == 2 and plan.count("Relation [o_orderkey") == 1
+
+
+def test_returned_lines_alone_meet_their_variant(spark, raw):
+    """Also returned lines that are not known, or whose variant is not."""
+    back = spark.createDataFrame(
+        [(f"r{i}", i // 2, 0, 1, f"l{2 * i}", Decimal(i), Decimal("1.5"), "refund", "open", None, "d") for i in range(20)],
+        "return_item_id string, return_id int, order_id int, customer_id int, order_item_id string, quantidade decimal(12,3), "
+        f"valor_unitario_reembolso {MONEY}, acao string, status string, motivo string, data string")
+    lines = raw["items"].withColumnRenamed("id", "order_item_id")
+    whole = star.fct_return(back, lines.join(raw["variants"], "product_variant_id"))
+    assert rows(star.fct_return(back, lines, raw["variants"])) == rows(whole)
+    assert (whole.count(), whole.filter("product_id is null").count()) == (20, 8)
+    plan = Context(spark, SF).gold["fct_devolucao"]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") == 2

@@ -176,10 +176,18 @@ def fct_daily_store_sales(orders: DataFrame, channel: str = STORE_CHANNEL) -> Da
     return calendar.dense_daily(orders, "data", "total", F.col("canal") == channel)
 
 
-def fct_return(returns: DataFrame, items: DataFrame) -> DataFrame:
+def fct_return(returns: DataFrame, items: DataFrame, variants: DataFrame | None = None) -> DataFrame:
+    """Returned lines with their product; items have one row per line.
+
+    With ``variants`` the items name their variant alone, and only the returned ones meet it.
+    """
     refund = F.round(F.col("quantidade") * F.col("valor_unitario_reembolso"), 2).cast(MONEY)
-    product = items.select("order_item_id", "product_id")
-    return returns.join(product, "order_item_id", "left").select(
+    if variants is None:
+        found = returns.join(items.select("order_item_id", "product_id"), "order_item_id", "left")
+    else:
+        found = returns.join(items.select("order_item_id", "product_variant_id"), "order_item_id", "left") \
+            .join(variants.select("product_variant_id", "product_id"), "product_variant_id", "left")
+    return found.select(
         "return_item_id", "return_id", "order_id", "customer_id", "data", "product_id",
         "quantidade", "acao", refund.alias("valor_reembolso"), "motivo", "status",
     )

@@ -89,8 +89,9 @@ def gold(
         else star.fct_order_item(s["itens_pedido"], s["pedidos"]),
         "fct_pagamento": lambda: star.fct_payment(s["pagamentos"]),
         "fct_venda_diaria_pos": lambda: star.fct_daily_store_sales(s["pedidos"]),
-        "fct_devolucao": lambda: star.fct_return(
-            s["devolucoes"], lines_with_product(raw) if chained else s["itens_pedido"]),
+        "fct_devolucao": lambda: star.fct_return(s["devolucoes"], raw["order_items"].select(
+            F.col("id").alias("order_item_id"), "product_variant_id"), s["variantes"]) if chained
+        else star.fct_return(s["devolucoes"], s["itens_pedido"]),
         "fct_estoque_atual": lambda: star.fct_stock(s["estoque"], s["variantes"]),
         "vw_venda_diaria_pos": lambda: star.daily_store_view(
             tables["fct_venda_diaria_pos"], tables["dim_data"]),
