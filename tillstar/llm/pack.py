@@ -37,7 +37,7 @@ SCHEMA = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_toke
 # Characters of texts that are tokenized word by word here; a text with any other goes to the tokenizer as a whole.
 # All are unchanged by NFC, and their lower case does not depend on their neighbours.
 _PLAIN = "\\t-\\r -~\\xa1-\\xac\\xae-\\u012f\\u0131-\\u017f\\u2010-\\u2027\\u20ac"
-_OTHER = re.compile(f"[^{_PLAIN}]|<\\|")
+_PLAIN_SET = frozenset(re.findall(f"[{_PLAIN}]", "".join(map(chr, range(0x2100)))))
 _LETTER = "a-z\\xaa\\xb5\\xba\\xdf-\\xf6\\xf8-\\u017f"
 _DIGIT = "0-9\\xb2\\xb3\\xb9\\xbc-\\xbe"
 # The splitting rule of the tokenizer file, for these characters.
@@ -74,6 +74,8 @@ class Kept(dict):
 
     def __missing__(self, key: str) -> bytes:
         ids = self.make(key)
+        if self.room < 190:
+            return ids
         # Two objects with their headers (at most 76 and 33 bytes, aligned), and an entry of a table just grown (60).
         cost = 190 + 2 * len(key) + len(ids)
         if cost <= self.room:
@@ -92,20 +94,26 @@ class WordTokenizer:
         self.model = self.whole.model
         self.by_word = _word_by_word(json.loads(self.whole.to_str()))
         self.letters = _byte_letters()
+        self.coded = [i.to_bytes(4, "little") for i in range(max(self.whole.get_vocab().values()) + 1)]
         self.words = Kept(self._word, CACHE_BYTES // 2)
         self.chunks = Kept(self._chunk, 2 * CACHE_BYTES - CACHE_BYTES // 2)
 
     def _word(self, word: str) -> bytes:
         mapped = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
-        return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(mapped)])
+        return b"".join([self.coded[t.id] for t in self.model.tokenize(mapped)])
 
     def _chunk(self, chunk: str) -> bytes:
+        # A chunk that is one word is kept as a chunk alone. Letters are the pattern's: a chunk of them is a word, and what follows them is another.
+        if chunk.isalpha():
+            return self._word(chunk)
+        head, last = chunk[:-1], chunk[-1]
+        if head.isalpha():
+            return (self.chunks.get(head) or self.words[head]) + self.words[last]
         pieces = _PIECE.findall(chunk)
-        # A chunk that is one word is kept as a chunk alone.
         return self._word(chunk) if pieces == [chunk] else b"".join([self.words[w] for w in pieces])
 
     def ids(self, text: str) -> bytes:
-        if not self.by_word or _OTHER.search(text):
+        if not self.by_word or not _PLAIN_SET.issuperset(text) or "<|" in text:
             return b"".join([i.to_bytes(4, "little") for i in self.whole.encode(text, add_special_tokens=False).ids])
         return b"".join(map(self.chunks.__getitem__, text.lower().split()))
 
