@@ -25,9 +25,11 @@ def line_products(items: DataFrame, variants: DataFrame, products: DataFrame, va
     """Lines with product and category: variants meet their products first, so the lines are joined once.
 
     Columns: ``variants(id, product_id)``, ``products(id, category_id)``; a variant without product has no category.
+    Variants are shuffled to their products: before they are made, Spark may take many for few and send them all to the driver.
     """
     category = products.select(F.col("id").alias("_product"), "category_id")
-    hop = variants.select(F.col("id").alias("_variant"), "product_id").join(category, F.col("product_id") == F.col("_product"), "left")
+    hop = variants.select(F.col("id").alias("_variant"), "product_id").hint("merge") \
+        .join(category, F.col("product_id") == F.col("_product"), "left")
     return items.join(hop.drop("_product"), F.col(variant) == F.col("_variant")).drop("_variant")
 
 
@@ -78,17 +80,22 @@ def elite_ids(metrics: DataFrame, diversity: DataFrame, min_categories: int, k:
 
 
 def group_consumption(
-    group: DataFrame, orders: DataFrame, lines: DataFrame, categories: DataFrame
+    group: DataFrame, orders: DataFrame, lines: DataFrame, categories: DataFrame,
+    variants: DataFrame | None = None, products: DataFrame | None = None,
 ) -> DataFrame:
-    """What a group of customers bought, by category. Whether the group is broadcast is left to its size."""
+    """What a group of customers bought, by category. Whether the group is broadcast is left to its size.
+
+    With ``variants`` and ``products`` (see ``line_products``) the lines name their variant alone, and only the group's meet it.
+    """
     theirs = orders.select("order_id", "customer_id").join(group, "customer_id")
-    bought = (
-        lines.select("order_id", "category_id", "quantidade").join(theirs, "order_id")
-        .groupBy("category_id").agg(
-            F.sum("quantidade").alias("total_itens_comprados"),
-            F.count(F.lit(1)).alias("linhas_de_item"),
-            F.count_distinct("customer_id").alias("clientes_do_grupo"),
-        )
+    if variants is None:
+        met = lines.select("order_id", "category_id", "quantidade").join(theirs, "order_id")
+    else:
+        met = line_products(lines.select("order_id", "product_variant_id", "quantidade").join(theirs, "order_id"), variants, products)
+    bought = met.groupBy("category_id").agg(
+        F.sum("quantidade").alias("total_itens_comprados"),
+        F.count(F.lit(1)).alias("linhas_de_item"),
+        F.count_distinct("customer_id").alias("clientes_do_grupo"),
     )
     return bought.join(categories.select("category_id", "categoria"), "category_id").select(
         "category_id", "categoria", "total_itens_comprados", "linhas_de_item", "clientes_do_grupo"

@@ -138,8 +138,9 @@ def elite_ranking(c: Context):
     "JOIN s_categorias c ON c.category_id = pr.category_id GROUP BY 1, 2"))
 def elite_consumption(c: Context):
     group = customers.elite_ids(c.metrics, c.diversity, MIN_CATEGORIES, ELITE_SIZE)
+    lines = c.raw["order_items"].select("order_id", "product_variant_id", F.col("quantity").alias("quantidade"))
     return customers.group_consumption(
-        group, c.silver["pedidos"], c.lines, c.silver["categorias"])
+        group, c.silver["pedidos"], lines, c.silver["categorias"], c.raw["product_variants"], c.raw["products"])
 
 
 @query("diversity_histogram", over_ctes(
