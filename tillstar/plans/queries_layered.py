@@ -31,14 +31,17 @@ def _once(checks, name: str):
 
 
 def _publish_layers(c: Context):
-    """Silver published from the sources, gold from the stored silver; the stored tables and their checks."""
+    """Silver published from the sources, gold from the stored silver; the stored tables and their checks.
+
+    Tables are written one after the other, so the shuffles of two large joins are not on disk at once.
+    """
     root = f"{shared_dir(c.spark)}/tillstar-run/{c.spark.sparkContext.applicationId}-{next(_runs)}"
     totals = retail.control_totals(c.raw)
     check_silver = _once(lambda t: quality.silver_checks(t, totals["orders"], totals["items"]), "silver-checks")
     check_gold = _once(lambda t: quality.gold_checks(t, ELITE_SIZE, totals), "gold-checks")
-    silver = publish.publish(c.spark, f"{root}/silver", c.silver, "run", check_silver)
+    silver = publish.publish(c.spark, f"{root}/silver", c.silver, "run", check_silver, jobs=1)
     built = retail.gold(silver, c.raw["brands"], c.as_of, MIN_CATEGORIES, ELITE_SIZE)
-    gold = publish.publish(c.spark, f"{root}/gold", {t: built[t] for t in retail.GOLD_TABLES}, "run", check_gold)
+    gold = publish.publish(c.spark, f"{root}/gold", {t: built[t] for t in retail.GOLD_TABLES}, "run", check_gold, jobs=1)
     return root, silver, gold, check_silver(silver), check_gold(gold)
 
 

@@ -18,10 +18,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillstar.operators.quality import require
+from tillstar.session import freed_shuffles
 from tillstar.sources.csv import check_files, file_names, load_tables, one_row_per_table, path_exists, reconcile
 from tillstar.sources.tables import Tables
 
-# Tables written at the same time.
+# Tables written at the same time, unless the caller says otherwise.
 JOBS = 4
 POINTERS = "current"
 
@@ -33,12 +34,14 @@ def publish(
     run: str,
     checks: Callable[[Tables], DataFrame] | None = None,
     base: int | None = None,
+    jobs: int = JOBS,
 ) -> Tables:
     """Write ``tables`` below ``root`` as an attempt named after ``run``; make them current if ``checks`` hold.
 
     ``checks`` gets the written tables and returns rows of (check, expected, actual, ok). ``base`` is the version the
     tables were made from (``current_version``), by default the one that is current now; if another one is published
-    before the end, ``RivalError`` is raised and that one stays.
+    before the end, ``RivalError`` is raised and that one stays. ``jobs`` tables are written at the same time; the shuffle
+    files of all of them lie side by side, and those of a table go when it is written.
     """
     base = current_version(spark, root) if base is None else base
     attempt = f"{run}-{uuid.uuid4().hex}"
@@ -46,12 +49,13 @@ def publish(
     def write(name: str) -> None:
         tables[name].write.option("compression", "snappy").parquet(f"{root}/run={attempt}/{name}")
 
-    # Each table is a Spark job of its own; submitting several keeps the executors busy.
-    with ThreadPoolExecutor(max_workers=JOBS) as pool:
-        list(pool.map(write, tables))
-    written = read_run(spark, root, attempt, tuple(tables))
-    if checks is not None:
-        require(checks(written))
+    with freed_shuffles(spark):
+        # Each table is a Spark job of its own; submitting several keeps the executors busy.
+        with ThreadPoolExecutor(max_workers=jobs) as pool:
+            list(pool.map(write, tables))
+        written = read_run(spark, root, attempt, tuple(tables))
+        if checks is not None:
+            require(checks(written))
     _point_at(spark, root, attempt, tuple(tables), base + 1)
     return written
 
