@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tillstar.plans import queries_layered
 from tillstar.plans.registry import Context
 from tillstar.session import FREE_SHUFFLES, freed_shuffles
-from tillstar.sources import publish
+from tillstar.sources import export, publish
 
 
 def _shuffles(spark):
@@ -76,3 +76,11 @@ def test_jobs_bound_the_writes_at_a_time(spark, tmp_path):
 
     publish.publish(spark, f"{tmp_path}/lake", Seen({t: spark.range(3) for t in "abcd"}), "run", jobs=1)
     assert len(threads) == 1
+
+
+def test_layers_are_stored_small_and_exports_as_snappy(spark, tmp_path):
+    kept = publish.publish(spark, f"{tmp_path}/lake", {"t": spark.range(3)}, "run")["t"]
+    export.write_parquet(kept, f"{tmp_path}/export")
+    assert all(f.endswith(".zstd.parquet") for f in kept.inputFiles())
+    assert all(f.endswith(".snappy.parquet") for f in spark.read.parquet(f"{tmp_path}/export").inputFiles())
+    assert rows(kept) == rows(spark.read.parquet(f"{tmp_path}/export")) == [(0,), (1,), (2,)]

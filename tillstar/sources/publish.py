@@ -24,6 +24,8 @@ from tillstar.sources.tables import Tables
 
 # Tables written at the same time, unless the caller says otherwise.
 JOBS = 4
+# Layers are read by Spark; what BI tools read is exported (``export.write_parquet``) as snappy.
+CODEC = "zstd"
 POINTERS = "current"
 
 
@@ -47,7 +49,7 @@ def publish(
     attempt = f"{run}-{uuid.uuid4().hex}"
 
     def write(name: str) -> None:
-        tables[name].write.option("compression", "snappy").parquet(f"{root}/run={attempt}/{name}")
+        tables[name].write.option("compression", CODEC).parquet(f"{root}/run={attempt}/{name}")
 
     with freed_shuffles(spark):
         # Each table is a Spark job of its own; submitting several keeps the executors busy.
